@@ -20,7 +20,6 @@ COLUMNS = (
     "primary_diagnosis", "heart_rate_bpm", "systolic_bp_mmhg", "diastolic_bp_mmhg", "temp_celsius",
     "oxygen_sat_pct", "weight_kg",
 )
-RULED = ("icd10_code", *VITAL_BOUNDS)
 
 
 def bad(column: str) -> str:
@@ -54,8 +53,10 @@ def ranked(source: str, keys: str, order: str) -> str:
     return f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS pos FROM {source})"
 
 
-TIES = (*RULED, *(c for c in COLUMNS if c not in RULED and c != "patient_id"))
-LATEST = "CAST(admission_date AS DATE) DESC NULLS LAST, " + ", ".join(f"{c} DESC NULLS LAST" for c in TIES)
+BY_DATE = "CAST(admission_date AS DATE) DESC NULLS LAST"
+BY_PASSED = f"CASE WHEN {CODE_BAD} THEN 0 WHEN {ANY_BAD} THEN 1 ELSE 2 END DESC"
+BY_REST = ", ".join(f"{c} DESC NULLS LAST" for c in COLUMNS if c != "patient_id")
+LATEST = f"{BY_DATE}, {BY_PASSED}, {BY_REST}"
 RANKED = ranked("records", "patient_id", LATEST)
 LATEST_ORDER = "o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST"
 ORDERS = """orders_d AS (
@@ -210,7 +211,10 @@ FROM records WHERE {CODE_BAD} ORDER BY icd10_status, patient_id"""
 FROM records WHERE {ANY_BAD} ORDER BY patient_id"""
     ),
     # cleaning
-    "dedup_latest": over_records(RANKED, select=f"SELECT {', '.join(COLUMNS)} FROM ranked WHERE pos = 1"),
+    "dedup_latest": over_records(
+        ranked("records", "patient_id", f"{BY_DATE}, {BY_REST}"),
+        select=f"SELECT {', '.join(COLUMNS)} FROM ranked WHERE pos = 1",
+    ),
     "drop_invalid_code": over_records(select=f"SELECT * FROM records WHERE NOT {CODE_BAD}"),
     "drop_out_of_range": over_records(select=f"SELECT * FROM records WHERE NOT {ANY_BAD}"),
     "standardize_dates": over_records(select=f"SELECT {replaced(COLUMNS, **DATES)} FROM records"),

@@ -176,8 +176,7 @@ def validate_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dedup_latest")
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = presets.ADMISSIONS
-    return keep_latest(records(spark, sf_dir), rules.key, leading=rules.rule_columns)
+    return keep_latest(records(spark, sf_dir), presets.PATIENT_KEY)
 
 
 @query("drop_invalid_code")

@@ -1,26 +1,38 @@
-"""A hash of a row that is the same every time the row is read, used to split hot groups."""
+"""A hash of a row that is the same every time the row is read, used to split hot groups.
+
+It covers the row's contents, which spread different rows of one key, and the file the row was read
+from, which spreads exact copies. Both are properties of the stored row, so a task that is run again
+computes the same hash; row numbers or random values would not promise that after a shuffle.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def with_row_hash(df: DataFrame, name: str, origin: tuple[Column, ...] | None = None) -> DataFrame:
-    """Add ``name``, a BIGINT hash of the row's contents and of the file it was read from.
+def sortable_columns(df: DataFrame) -> list[str]:
+    """Columns that Spark can compare and hash."""
+    return [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
 
-    Contents spread different rows of one key; the file spreads exact copies. Both are properties of
-    the stored row, so a task that is run again computes the same hash; row numbers or random values
-    would not promise that after a shuffle. Spark cannot name the file of a row that comes out of a
-    join, and gives '' after a shuffle: the hash then rests on contents alone. ``origin`` replaces the
-    file name by columns of the caller's choice.
+def with_origin(df: DataFrame, name: str, origin: Column | None = None) -> DataFrame:
+    """Add ``name``: ``origin`` if given, else the file the row was read from.
+
+    Spark cannot name the file of a row that comes out of a join, and names none after a shuffle. The
+    column is then empty and a hash rests on contents alone.
     """
-    contents = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     if origin is not None:
-        return df.withColumn(name, F.xxhash64(*contents, *origin))
+        return df.withColumn(name, origin)
     try:
-        return df.withColumn(name, F.xxhash64(*contents, F.input_file_name()))
+        return df.withColumn(name, F.input_file_name())
     except AnalysisException:
-        return df.withColumn(name, F.xxhash64(*contents))
+        return df.withColumn(name, F.lit(""))
+
+
+def row_hash(columns: Iterable[str]) -> Column:
+    return F.xxhash64(*(F.col(f"`{c}`") for c in columns))

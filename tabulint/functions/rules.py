@@ -17,8 +17,8 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tabulint.functions.row_hash import sortable_columns
 from tabulint.functions.standard_forms import as_date
 
 
@@ -156,8 +156,8 @@ class UniqueKey:
 
     def deciding_columns(self, df: DataFrame, leading: tuple[str, ...] = ()) -> list[str]:
         """Tie-break columns in order: declared, ``leading``, then the rest of ``df``."""
-        sortable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        return [c for c in dict.fromkeys((*self.tiebreak, *leading, *sortable)) if c not in self.columns]
+        named = dict.fromkeys((*self.tiebreak, *leading, *sortable_columns(df)))
+        return [c for c in named if c not in self.columns]
 
 
 @dataclass(frozen=True)
@@ -195,7 +195,3 @@ class RuleSet:
     @property
     def rules(self) -> tuple[Rule, ...]:
         return tuple(rule for stage in self.stages for rule in stage.rules)
-
-    @property
-    def rule_columns(self) -> tuple[str, ...]:
-        return tuple(dict.fromkeys(rule.column for rule in self.rules))

@@ -12,15 +12,16 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulint.functions.row_hash import with_row_hash
+from tabulint.functions.row_hash import row_hash, sortable_columns, with_origin
 from tabulint.functions.rules import InRange, Matches, UniqueKey
 
-SPREAD = "__dq_spread"
+ORIGIN = "__dq_origin"
 
 
 def _sorted(df: DataFrame, *order: Column) -> DataFrame:
     """Global sort whose range partitions can be cut inside a run of equal sort keys."""
-    return df.orderBy(*order, F.col(SPREAD)).drop(SPREAD)
+    within = row_hash([*sortable_columns(df), ORIGIN])
+    return with_origin(df, ORIGIN).orderBy(*order, within).drop(ORIGIN)
 
 
 def duplicate_keys(
@@ -51,7 +52,7 @@ def format_failures(
     )
     if not ordered:
         return bad
-    return _sorted(with_row_hash(bad, SPREAD), F.asc(status), *(F.asc_nulls_first(c) for c in ids))
+    return _sorted(bad, F.asc(status), *(F.asc_nulls_first(c) for c in ids))
 
 
 def format_status(df: DataFrame, rule: Matches, *, status: str = "status") -> DataFrame:
@@ -77,4 +78,4 @@ def range_failures(
     bad = df.filter(any_bad).select(*ids, *values, labels.alias(flagged))
     if not ordered:
         return bad
-    return _sorted(with_row_hash(bad, SPREAD), *(F.asc_nulls_first(c) for c in ids))
+    return _sorted(bad, *(F.asc_nulls_first(c) for c in ids))

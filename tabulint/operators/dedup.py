@@ -5,20 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulint.functions.row_hash import with_row_hash
+from tabulint.functions.row_hash import row_hash, sortable_columns, with_origin
 from tabulint.functions.rules import UniqueKey
 
+# Helper columns; input tables must not use these names.
 RANK = "__dq_rn"
-SALT = "__dq_salt"
-HASH = "__dq_hash"
+SLICE = "__dq_slice"
+ORIGIN = "__dq_origin"
 WINNER = "__dq_winner"
+HOT = "__dq_hot_"
+
+# Below every date as a day number.
+NO_DATE = -(1 << 32)
+
+
+def _names(columns: list[str] | tuple[str, ...]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in columns]
 
 
 def _latest_first(df: DataFrame, key: UniqueKey, leading: tuple[str, ...]) -> list[Column]:
-    return [
-        key.order_value().desc_nulls_last(),
-        *(F.col(f"`{c}`").desc_nulls_last() for c in key.deciding_columns(df, leading)),
-    ]
+    deciding = key.deciding_columns(df, leading)
+    return [c.desc_nulls_last() for c in (key.order_value(), *_names(deciding))]
 
 
 def keep_latest(df: DataFrame, key: UniqueKey, leading: tuple[str, ...] = ()) -> DataFrame:
@@ -32,19 +39,21 @@ def keep_latest(df: DataFrame, key: UniqueKey, leading: tuple[str, ...] = ()) ->
     return df.withColumn(RANK, F.row_number().over(per_key)).filter(F.col(RANK) == 1).drop(RANK)
 
 
-def latest_values(df: DataFrame, key: UniqueKey, columns: tuple[str, ...]) -> DataFrame:
-    """Per key: ``n_rows`` and the values of ``columns`` in the row that ``keep_latest`` keeps.
+def latest_grade(df: DataFrame, key: UniqueKey, grade: Column, grades: int) -> DataFrame:
+    """(key, n_rows, grade): rows per key and the grade of the row that ``keep_latest`` keeps.
 
-    It picks the same row as ``keep_latest(df, key, leading=columns)``, as both compare the order
-    value, the tie-break and then ``columns``; the columns after that cannot change the answer. It is a
-    partial aggregation on the named columns only, with no window.
+    ``grade`` is an integer in ``0 .. grades - 1``, and the kept row is the one ``keep_latest`` finds when
+    the grade leads the tie-break; the columns compared after it cannot change the answer. It is a
+    partial aggregation over a few narrow values, with no window. When the order is a date, date and
+    grade fit one BIGINT, which Spark can keep in a hash aggregate.
     """
-    wanted = [c for c in dict.fromkeys((*key.tiebreak, *columns)) if c not in key.columns]
-    best = F.max(F.struct(key.order_value().alias(RANK), *(F.col(f"`{c}`") for c in wanted)))
-    grouped = df.groupBy(*key.columns).agg(F.count(F.lit(1)).alias("n_rows"), best.alias(WINNER))
-    return grouped.select(
-        *key.columns, "n_rows", *(F.col(WINNER)[c].alias(c) for c in columns if c not in key.columns)
-    )
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+    if key.order_as_date and not key.tiebreak:
+        day = F.coalesce(F.unix_date(key.order_value()).cast("bigint"), F.lit(NO_DATE))
+        best = F.max(day * F.lit(grades) + grade)
+        return df.groupBy(*key.columns).agg(n_rows, F.pmod(best, F.lit(grades)).cast("int").alias("grade"))
+    best = F.max(F.struct(key.order_value().alias(RANK), *_names(key.tiebreak), grade.alias("grade")))
+    return df.groupBy(*key.columns).agg(n_rows, best["grade"].alias("grade"))
 
 
 def mark_superseded(
@@ -55,14 +64,14 @@ def mark_superseded(
     *,
     hot_share: float = 1e-5,
     hot_rows: int = 1_000_000,
-    salts: int = 4096,
-    origin: tuple[Column, ...] | None = None,
+    slices: int = 4096,
+    origin: Column | None = None,
 ) -> DataFrame:
     """Every input row plus boolean ``flag``: true for the rows that ``keep_latest`` drops.
 
     All rows are needed here, so the pruning of ``keep_latest`` cannot apply and a hot key would put
     its whole group into one task. Hot keys, those with more than ``hot_rows`` rows and more than
-    ``hot_share`` of the table, are therefore ranked in ``salts`` slices:
+    ``hot_share`` of the table, are therefore ranked in slices:
 
     1. count rows per key (partial aggregation on the key columns) and keep the hot keys. There are
        fewer than ``1 / hot_share`` of them whatever the table holds, which bounds the broadcast;
@@ -70,44 +79,42 @@ def mark_superseded(
     3. rank rows per (key, slice) in one shuffle. A row is kept if it is first in its slice and the
        slice is the winning one. Other keys have a single slice, 0.
 
-    The slice of a row depends on its contents and file only (``with_row_hash``), so all steps agree
-    also when tasks are lost and run again.
+    The slice of a row depends on its contents and its file (``origin`` replaces the file), so all
+    steps agree also when tasks are lost and run again.
     """
     columns = df.columns
-    order = _latest_first(df, key, leading)
-    hashed = with_row_hash(df, HASH, origin)
-    sliced = hashed.withColumn(SALT, F.pmod(F.col(HASH), F.lit(salts)).cast("int")).drop(HASH)
+    located = with_origin(df, ORIGIN, origin)
+    own_slice = F.pmod(row_hash([*sortable_columns(df), ORIGIN]), F.lit(slices)).cast("int")
+
+    def same_key(other: DataFrame) -> list[Column]:
+        return [located[c].eqNullSafe(other[HOT + c]) for c in key.columns]
 
     counts = df.groupBy(*key.columns).agg(F.count(F.lit(1)).alias(RANK))
     table_rows = df.agg(F.count(F.lit(1)).alias(RANK)).scalar()
     is_hot = F.col(RANK) > F.greatest(F.lit(float(hot_rows)), table_rows * F.lit(hot_share))
-    hot_keys = counts.filter(is_hot).select(*(F.col(c).alias(f"__dq_hot_{c}") for c in key.columns))
+    hot_keys = counts.filter(is_hot).select(*(F.col(c).alias(HOT + c) for c in key.columns))
 
-    def same_key(left: DataFrame, right: DataFrame) -> list[Column]:
-        return [left[c].eqNullSafe(right[f"__dq_hot_{c}"]) for c in key.columns]
-
-    hot_rows_df = sliced.join(F.broadcast(hot_keys), same_key(sliced, hot_keys), "left_semi")
     best = F.max(
         F.struct(
             key.order_value().alias(RANK),
-            *(F.col(f"`{c}`") for c in key.deciding_columns(df, leading)),
-            F.col(SALT),
+            *_names(key.deciding_columns(df, leading)),
+            own_slice.alias(SLICE),
         )
     )
     winners = (
-        hot_rows_df.groupBy(*key.columns)
-        .agg(best.alias(WINNER))
-        .select(
-            *(F.col(c).alias(f"__dq_hot_{c}") for c in key.columns),
-            F.col(WINNER)[SALT].alias(WINNER),
-        )
+        located.join(F.broadcast(hot_keys), same_key(hot_keys), "left_semi")
+        .groupBy(*key.columns)
+        .agg(best[SLICE].alias(WINNER))
+        .select(*(F.col(c).alias(HOT + c) for c in key.columns), WINNER)
     )
 
-    placed = sliced.join(F.broadcast(winners), same_key(sliced, winners), "left")
-    slice_no = F.when(F.col(WINNER).isNotNull(), F.col(SALT)).otherwise(0)
-    per_slice = Window.partitionBy(*key.columns, SALT).orderBy(*order)
-    ranked = placed.select(
-        *(F.col(f"`{c}`") for c in columns), slice_no.alias(SALT), F.coalesce(WINNER, F.lit(0)).alias(WINNER)
-    ).withColumn(RANK, F.row_number().over(per_slice))
-    superseded = (F.col(RANK) > 1) | (F.col(SALT) != F.col(WINNER))
-    return ranked.select(*(F.col(f"`{c}`") for c in columns), superseded.alias(flag))
+    sliced = located.join(F.broadcast(winners), same_key(winners), "left").select(
+        *_names(columns),
+        F.when(F.col(WINNER).isNotNull(), own_slice).otherwise(0).alias(SLICE),
+        F.coalesce(WINNER, F.lit(0)).alias(WINNER),
+    )
+    per_slice = Window.partitionBy(*key.columns, SLICE).orderBy(*_latest_first(df, key, leading))
+    superseded = (F.col(RANK) > 1) | (F.col(SLICE) != F.col(WINNER))
+    return sliced.withColumn(RANK, F.row_number().over(per_slice)).select(
+        *_names(columns), superseded.alias(flag)
+    )

@@ -1,7 +1,8 @@
 """A cleaning run: one row per key, then the filter stages in order, then standard forms.
 
 Dedup comes before validation: when the latest row of a key is invalid the key is gone, and no older
-valid row takes its place.
+valid row takes its place. Only among rows that tie on everything the key declares does the row that
+gets through more stages win; that makes the choice repeatable and lets the funnel work on narrow rows.
 """
 
 from __future__ import annotations
@@ -10,12 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulint.functions.rules import RuleSet
-from tabulint.operators.dedup import keep_latest, latest_values, mark_superseded
+from tabulint.operators.dedup import keep_latest, latest_grade, mark_superseded
 from tabulint.operators.standardize import standardize, standardize_codes
-from tabulint.operators.validity import keep_valid
 
 DEDUP_STAGE = "dedup"
 KEPT_STAGE = "kept"
+PASSED = "__dq_passed"
 SUPERSEDED = "__dq_superseded"
 
 
@@ -25,36 +26,40 @@ def stage_names(rules: RuleSet) -> list[str]:
     return [f"{i}_{name}" for i, name in enumerate(names, start=1)]
 
 
+def stages_passed(rules: RuleSet) -> Column:
+    """How many filter stages a row gets through before one drops it."""
+    passed = F.lit(len(rules.stages))
+    for i, stage in reversed(list(enumerate(rules.stages))):
+        passed = F.when(stage.violation(), i).otherwise(passed)
+    return passed
+
+
 def clean(df: DataFrame, rules: RuleSet, *, normalize_first: bool = False) -> DataFrame:
     """The clean table, as one lazy plan with a single shuffle.
 
-    ``normalize_first`` tidies the codes before they are checked, which repairs codes that are only
-    untidy. It is off by default: an untidy code is an invalid code.
+    Every rule is evaluated once, before the shuffle, to the number of stages passed; the filter after
+    the dedup only reads that number. ``normalize_first`` tidies the codes before they are checked,
+    which repairs codes that are only untidy. It is off by default: an untidy code is an invalid code.
     """
     if normalize_first:
         df = standardize_codes(df, *rules.standards.codes)
-    kept = keep_latest(df, rules.key, leading=rules.rule_columns)
-    return standardize(keep_valid(kept, *rules.rules), rules.standards)
+    graded = df.withColumn(PASSED, stages_passed(rules))
+    latest = keep_latest(graded, rules.key, leading=(PASSED,))
+    kept = latest.filter(F.col(PASSED) == len(rules.stages)).drop(PASSED)
+    return standardize(kept, rules.standards)
 
 
 def funnel(df: DataFrame, rules: RuleSet) -> DataFrame:
     """(stage, before, after, removed) for every stage of ``clean``, in one pass over the table.
 
-    It reads only the key, the order value and the ruled columns; the shuffle carries one row per key
-    and map task. Stages that remove nothing are listed too, also on an empty table.
+    It reads only the key, the order value and the ruled columns; the shuffle carries one narrow row
+    per key and map task. Stages that remove nothing are listed too, also on an empty table.
     """
     names = stage_names(rules)
-    best = latest_values(df, rules.key, rules.rule_columns)
-
-    passed: list[Column] = []
-    so_far = F.lit(True)
-    for stage in rules.stages:
-        so_far = so_far & ~stage.violation()
-        passed.append(F.count_if(so_far))
+    best = latest_grade(df, rules.key, stages_passed(rules), grades=len(rules.stages) + 1)
     totals = best.agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("left_0"),
-        F.count(F.lit(1)).alias("left_1"),
-        *(counted.alias(f"left_{i}") for i, counted in enumerate(passed, start=2)),
+        *(F.count_if(F.col("grade") >= i).alias(f"left_{i + 1}") for i in range(len(rules.stages) + 1)),
     )
 
     last = len(names) - 1
@@ -78,17 +83,20 @@ def flag_rows(df: DataFrame, rules: RuleSet, **hot_key_options) -> DataFrame:
     Options are those of ``mark_superseded``.
     """
     names = stage_names(rules)
-    marked = mark_superseded(df, rules.key, SUPERSEDED, leading=rules.rule_columns, **hot_key_options)
+    graded = df.withColumn(PASSED, stages_passed(rules))
+    marked = mark_superseded(graded, rules.key, SUPERSEDED, leading=(PASSED,), **hot_key_options)
 
-    first = F.when(F.col(SUPERSEDED), names[0])
-    for name, stage in zip(names[1:], rules.stages):
-        first = first.when(stage.violation(), name)
-    broken = F.array_compact(
+    stage = F.when(F.col(SUPERSEDED), names[0])
+    for i, name in enumerate(names[1:]):
+        stage = stage.when(F.col(PASSED) == i, name)
+    labels = F.array_compact(
         F.array(F.when(F.col(SUPERSEDED), F.lit("superseded")), *(rule.failure() for rule in rules.rules))
     )
+    faultless = ~F.col(SUPERSEDED) & (F.col(PASSED) == len(rules.stages))
+    broken = F.when(faultless, F.array().cast("array<string>")).otherwise(labels)
     return marked.select(
         *(F.col(f"`{c}`") for c in df.columns),
-        first.otherwise(names[-1]).alias("first_failed_stage"),
+        stage.alias("first_failed_stage"),
         broken.alias("failed_rules"),
     )
 
