@@ -12,12 +12,11 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def sortable_columns(df: DataFrame) -> list[str]:
-    """Columns that Spark can compare and hash."""
-    return [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    """Columns that Spark can compare and hash: those without a map or variant inside."""
+    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
 
 
 def with_origin(df: DataFrame, name: str, origin: Column | None = None) -> DataFrame:

@@ -14,6 +14,8 @@ SLICE = "__dq_slice"
 ORIGIN = "__dq_origin"
 WINNER = "__dq_winner"
 HOT = "__dq_hot_"
+ROWS = "__dq_rows"
+GRADE = "__dq_grade"
 
 # Below every date as a day number.
 NO_DATE = -(1 << 32)
@@ -40,20 +42,20 @@ def keep_latest(df: DataFrame, key: UniqueKey, leading: tuple[str, ...] = ()) ->
 
 
 def latest_grade(df: DataFrame, key: UniqueKey, grade: Column, grades: int) -> DataFrame:
-    """(key, n_rows, grade): rows per key and the grade of the row that ``keep_latest`` keeps.
+    """Per key ``ROWS``, its number of rows, and ``GRADE``, the grade of the row ``keep_latest`` keeps.
 
     ``grade`` is an integer in ``0 .. grades - 1``, and the kept row is the one ``keep_latest`` finds when
     the grade leads the tie-break; the columns compared after it cannot change the answer. It is a
     partial aggregation over a few narrow values, with no window. When the order is a date, date and
     grade fit one BIGINT, which Spark can keep in a hash aggregate.
     """
-    n_rows = F.count(F.lit(1)).alias("n_rows")
+    n_rows = F.count(F.lit(1)).alias(ROWS)
     if key.order_as_date and not key.tiebreak:
         day = F.coalesce(F.unix_date(key.order_value()).cast("bigint"), F.lit(NO_DATE))
         best = F.max(day * F.lit(grades) + grade)
-        return df.groupBy(*key.columns).agg(n_rows, F.pmod(best, F.lit(grades)).cast("int").alias("grade"))
-    best = F.max(F.struct(key.order_value().alias(RANK), *_names(key.tiebreak), grade.alias("grade")))
-    return df.groupBy(*key.columns).agg(n_rows, best["grade"].alias("grade"))
+        return df.groupBy(*key.columns).agg(n_rows, F.pmod(best, F.lit(grades)).cast("int").alias(GRADE))
+    best = F.max(F.struct(key.order_value().alias(RANK), *_names(key.tiebreak), grade.alias(GRADE)))
+    return df.groupBy(*key.columns).agg(n_rows, best[GRADE].alias(GRADE))
 
 
 def mark_superseded(
@@ -79,8 +81,10 @@ def mark_superseded(
     3. rank rows per (key, slice) in one shuffle. A row is kept if it is first in its slice and the
        slice is the winning one. Other keys have a single slice, 0.
 
-    The slice of a row depends on its contents and its file (``origin`` replaces the file), so all
-    steps agree also when tasks are lost and run again.
+    The slice of a row depends on its contents and its file, so all steps agree also when tasks are
+    lost and run again. Exact copies share a slice only within one file. When ``df`` comes out of a
+    shuffle, its rows have no file: store it first if a hot key may consist of exact copies, or give
+    an ``origin`` column that tells copies apart.
     """
     columns = df.columns
     located = with_origin(df, ORIGIN, origin)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulint.functions.rules import RuleSet
-from tabulint.operators.dedup import keep_latest, latest_grade, mark_superseded
+from tabulint.operators.dedup import GRADE, ROWS, keep_latest, latest_grade, mark_superseded
 from tabulint.operators.standardize import standardize, standardize_codes
 
 DEDUP_STAGE = "dedup"
@@ -58,8 +58,8 @@ def funnel(df: DataFrame, rules: RuleSet) -> DataFrame:
     names = stage_names(rules)
     best = latest_grade(df, rules.key, stages_passed(rules), grades=len(rules.stages) + 1)
     totals = best.agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("left_0"),
-        *(F.count_if(F.col("grade") >= i).alias(f"left_{i + 1}") for i in range(len(rules.stages) + 1)),
+        F.coalesce(F.sum(ROWS), F.lit(0)).alias("left_0"),
+        *(F.count_if(F.col(GRADE) >= i).alias(f"left_{i + 1}") for i in range(len(rules.stages) + 1)),
     )
 
     last = len(names) - 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import types as T
 
 from tabulint.functions.rules import InRange, Matches, RuleSet, Stage, Standards, UniqueKey
@@ -21,6 +23,12 @@ VITALS = (
 
 MALFORMED_CODES = ("123", "XYZ", "A1", "99B", "ABCDE", "Z999999", "00A", "!23", "A0B", "11Z")
 
+
+def as_text(rules: tuple[InRange, ...]) -> tuple[InRange, ...]:
+    """The same ranges for columns that hold numbers as text."""
+    return tuple(replace(rule, text=True) for rule in rules)
+
+
 CODE = Matches("icd10_code", CODE_PATTERN)
 PATIENT_KEY = UniqueKey(("patient_id",), order_by="admission_date", order_as_date=True)
 

@@ -13,6 +13,10 @@ CSV_CORRUPT = "_corrupt_record"
 # Quotes are doubled inside a quoted field, as most writers of CSV do.
 CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"'}
 
+# Spark reads a field equal to its null marker as NULL, and the default marker is '', which would turn
+# quoted empty fields into NULL as well. An unquoted empty field is NULL under any marker.
+NO_TEXT = "\0"
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table; projections and filters on it reach the scan."""
@@ -27,14 +31,16 @@ def read_csv(
     keep_corrupt: bool = False,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header line.
+    """CSV with a header line. An empty field is NULL, a quoted empty one is ''.
 
     With a declared ``schema`` the data is read once. Without one Spark reads it all beforehand to infer
     types: a fallback for exploring. A field that does not fit its type is read as NULL;
     ``keep_corrupt`` adds the whole line as ``_corrupt_record`` for such rows. ``multi_line`` allows
     line breaks inside quoted fields, at the price of one task per file.
     """
-    reader = spark.read.options(**CSV_FORMAT, mode="PERMISSIVE", multiLine=str(multi_line).lower())
+    reader = spark.read.options(
+        **CSV_FORMAT, nullValue=NO_TEXT, mode="PERMISSIVE", multiLine=str(multi_line).lower()
+    )
     if schema is None:
         return reader.csv(path, inferSchema=True)
     if keep_corrupt:
