@@ -1,0 +1,155 @@
+"""Random small tables with every kind of trouble, against plain Python loops."""
+
+import datetime
+import math
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+from tabulint.functions import InRange, Matches, RuleSet, Stage, UniqueKey
+from tabulint.operators import checks, profile
+from tabulint.plans import cleaning
+
+SCHEMA = "k string, d string, code string, x double, n int, row int"
+CODE = Matches("code", r"^[A-Z][0-9]{2}$")
+RANGES = (InRange("x", 0, 10, label="x"), InRange("n", -5, 5, label="n"))
+NAN = float("nan")
+
+
+def table(seed, size):
+    pick = random.Random(seed)
+    keys = [None, *"abcdefgh", *["hot"] * 6]
+    dates = [None, "", "soon", "2020-13-45", *(f"2020-0{m}-0{d}" for m in (1, 2) for d in (1, 2, 3))]
+    codes = [None, "", "A00", "B15", "C34", "a00", "A0", " A00", "A000"]
+    xs = [None, NAN, 0.0, 10.0, -0.1, 10.1, 5.0, 5.0, 5.0, math.inf]
+    ns = [None, -5, 5, -6, 6, 0, 0, 0]
+    rows = [tuple(map(pick.choice, (keys, dates, codes, xs, ns))) for _ in range(size)]
+    rows += [pick.choice(rows) for _ in range(size // 3)]
+    return [(*row, i) for i, row in enumerate(rows)]
+
+
+def day(text):
+    try:
+        return datetime.date.fromisoformat(text or "")
+    except ValueError:
+        return None
+
+
+def code_bad(code):
+    return code is None or not re.fullmatch(r"[A-Z][0-9]{2}", code)
+
+
+def outside(value, lo, hi):
+    return value is not None and not lo <= value <= hi
+
+
+def passed(row):
+    _, _, code, x, n, _ = row
+    if code_bad(code):
+        return 0
+    return 1 if outside(x, 0, 10) or outside(n, -5, 5) else 2
+
+
+def winners(rows):
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[0]].append(row)
+    # the row number is the declared tie-break
+    return {max(group, key=lambda r: (day(r[1]) or datetime.date.min, r[5]))[5] for group in groups.values()}
+
+
+@pytest.fixture(params=[(1, 30), (2, 200), (3, 1000), (4, 1)], ids=str)
+def case(request, spark):
+    rows = table(*request.param)
+    return rows, spark.createDataFrame(rows, SCHEMA)
+
+
+RULES = RuleSet(
+    UniqueKey(("k",), order_by="d", tiebreak=("row",), order_as_date=True),
+    (Stage("code", (CODE,)), Stage("ranges", RANGES)),
+)
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 3, "slices": 5}])
+def test_flags(case, options):
+    rows, df = case
+    kept = winners(rows)
+    stage = {0: "2_code", 1: "3_ranges", 2: "4_kept"}
+    expected = {}
+    for row in rows:
+        labels = [
+            label
+            for label, bad in (
+                ("superseded", row[5] not in kept),
+                ("code", code_bad(row[2])),
+                ("x", outside(row[3], 0, 10)),
+                ("n", outside(row[4], -5, 5)),
+            )
+            if bad
+        ]
+        expected[row[5]] = (stage[passed(row)] if row[5] in kept else "1_dedup", labels)
+    flagged = cleaning.flag_rows(df, RULES, **options).collect()
+    assert {r.row: (r.first_failed_stage, r.failed_rules) for r in flagged} == expected
+    assert len(flagged) == len(rows)
+
+
+def test_clean_and_funnel(case):
+    rows, df = case
+    kept = winners(rows)
+    clean_rows = sorted(r[5] for r in rows if r[5] in kept and passed(r) == 2)
+    assert sorted(r.row for r in cleaning.clean(df, RULES).collect()) == clean_rows
+    sizes = [len(rows), len(kept), sum(r[5] in kept and passed(r) > 0 for r in rows), len(clean_rows)]
+    steps = cleaning.funnel(df, RULES).collect()
+    assert [s.before for s in steps] == sizes
+    assert [s.after for s in steps] == [*sizes[1:], sizes[3]]
+
+
+def test_ties_without_declared_tiebreak(case):
+    """Only date and contents decide: the same contents remain whatever the order of rows."""
+    rows, df = case
+    rules = RuleSet(UniqueKey(("k",), order_by="d", order_as_date=True), RULES.stages)
+    counts = cleaning.funnel(df.drop("row"), rules).collect()
+    kept = cleaning.clean(df.drop("row"), rules)
+    assert counts[-1].after == kept.count()
+    best = defaultdict(lambda: (datetime.date.min, -1))
+    for row in rows:
+        best[row[0]] = max(best[row[0]], (day(row[1]) or datetime.date.min, passed(row)))
+    assert counts[-1].after == sum(grade == 2 for _, grade in best.values())
+    flagged = cleaning.flag_rows(df.drop("row"), rules, hot_rows=3, slices=2)
+    assert flagged.filter("first_failed_stage = '4_kept'").count() == counts[-1].after
+
+
+def test_checks_and_profile(case):
+    rows, df = case
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[0]].append(day(row[1]))
+    expected = {}
+    for key, days in groups.items():
+        known = [d for d in days if d]
+        if len(days) > 1:
+            expected[key] = (len(days), min(known, default=None), max(known, default=None))
+    found = checks.duplicate_keys(df, RULES.key).collect()
+    assert {r.k: (r.occurrence_count, r.earliest, r.latest) for r in found} == expected
+
+    bad = {r.row: r.status for r in checks.format_failures(df, CODE, ("row",)).collect()}
+    assert bad == {r[5]: "MISSING" if r[2] is None else "INVALID_FORMAT" for r in rows if code_bad(r[2])}
+
+    ranges = {r.row: r.flagged_fields for r in checks.range_failures(df, RANGES, ("row",)).collect()}
+    labels = {
+        r[5]: ", ".join(c for c, out in (("x", outside(r[3], 0, 10)), ("n", outside(r[4], -5, 5))) if out) for r in rows
+    }
+    assert ranges == {i: text for i, text in labels.items() if text}
+
+    distinct = {r[0] for r in rows if r[0] is not None}
+    assert profile.surplus_rows(df, ("k",)).first()[0] == len(rows) - len(distinct)
+    assert profile.surplus_rows(df, ("k",), digest=True).first()[0] == len(rows) - len(distinct)
+    nulls = {r["column"]: r.n_null for r in profile.null_counts(df).collect()}
+    assert nulls == {c: sum(r[i] is None for r in rows) for i, c in enumerate(df.columns)}
+    years = {r.year: r.n_rows for r in profile.year_counts(df, "d").collect()}
+    tally = defaultdict(int)
+    for row in rows:
+        tally[day(row[1]).year if day(row[1]) else None] += 1
+    assert years == dict(tally)

@@ -5,6 +5,8 @@ from pyspark.sql import types as T
 
 from tabulint.catalog.records import records
 from tabulint.functions import RuleSet, Stage
+from tabulint.operators.standardize import standardize
+from tabulint.operators.validity import keep_valid
 from tabulint.plans import cleaning, presets
 from tabulint.sources import tables
 from tests.oracle import _rows
@@ -94,3 +96,24 @@ def test_scratch_path_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (tables.scratch_path(spark, "t") for _ in range(2))
     assert first.startswith(shared) and first != second
+
+
+def test_empty_table_survives_csv(spark, folder):
+    df = spark.createDataFrame([], presets.ADMISSIONS_SCHEMA)
+    tables.write_csv(df, folder)
+    back = tables.read_csv(spark, folder, presets.ADMISSIONS_SCHEMA)
+    assert back.count() == 0 and back.schema == df.schema
+
+
+def test_filters_and_forms_accept_a_stream(spark, sf_small, folder):
+    df = records(spark, sf_small)
+    tables.write_table(df, folder)
+    stream = spark.readStream.schema(presets.ADMISSIONS_SCHEMA).parquet(folder)
+    sound = standardize(keep_valid(stream, *presets.ADMISSIONS.rules), presets.ADMISSIONS.standards)
+    running = sound.writeStream.format("memory").queryName("sound").trigger(availableNow=True).start()
+    try:
+        running.processAllAvailable()
+        expected = standardize(keep_valid(df, *presets.ADMISSIONS.rules), presets.ADMISSIONS.standards)
+        assert bag(spark.table("sound")) == bag(expected)
+    finally:
+        running.stop()
