@@ -255,6 +255,8 @@ UNION ALL SELECT * FROM orders_d WHERE {scrambled('o_orderkey', 1)} % 64 = 0""",
     "inject_out_of_range": over_records(select=f"SELECT {replaced(COLUMNS, **MOVED)} FROM records"),
     "select_k_rows": f"""WITH {ORDERS}
 SELECT * FROM orders_d ORDER BY {scrambled('o_orderkey', 5)}, o_orderkey LIMIT 800""",
+    "select_k_rows_by_threshold": f"""WITH {ORDERS}
+SELECT * FROM orders_d ORDER BY {scrambled('o_orderkey', 6)}, o_orderkey LIMIT 800""",
     # the same operators with other rules
     "orders_latest_per_customer": f"""WITH {ORDERS}, {ORDERS_RANKED}
 SELECT {', '.join(ORDER_COLUMNS)} FROM ranked WHERE pos = 1""",

@@ -277,6 +277,12 @@ def select_k_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inject.select_k_rows(orders(spark, sf_dir), 800, "o_orderkey", seed=5)
 
 
+@query("select_k_rows_by_threshold")
+def select_k_rows_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form for a large k, which passes no task the whole choice."""
+    return inject.select_k_rows(orders(spark, sf_dir), 800, "o_orderkey", seed=6, merge_rows=0)
+
+
 # --- the same operators with other rules ---------------------------------------------------------
 
 

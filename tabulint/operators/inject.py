@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulint.functions.rules import InRange
@@ -19,6 +19,12 @@ from tabulint.functions.rules import InRange
 SCRAMBLE_MODULUS = 1_000_003
 SCRAMBLE_FACTOR = 7_919
 
+# Helper columns; input tables must not use these names.
+COPY = "__dq_copy"
+PLACE = "__dq_place"
+AT = "__dq_at"
+UP_TO = "__dq_up_to"
+
 
 def scramble(key: Column, seed: int = 0) -> Column:
     """A repeatable pseudo-random number below ``SCRAMBLE_MODULUS`` for an integer key."""
@@ -34,7 +40,7 @@ def one_in(key: Column, every: int, seed: int = 0) -> Column:
 def inject_duplicates(df: DataFrame, selected: Column, copies: int = 1) -> DataFrame:
     """Append ``copies`` exact copies of each selected row, in the same pass over the table."""
     times = F.when(selected, F.lit(copies + 1)).otherwise(F.lit(1))
-    return df.withColumn("__dq_copy", F.explode(F.sequence(F.lit(1), times))).drop("__dq_copy")
+    return df.withColumn(COPY, F.explode(F.sequence(F.lit(1), times))).drop(COPY)
 
 
 def inject_nulls(df: DataFrame, selected: Column, variant: Column, columns: Iterable[str]) -> DataFrame:
@@ -69,9 +75,29 @@ def inject_out_of_range(
     return df.withColumns(moved)
 
 
-def select_k_rows(df: DataFrame, k: int, key: str, seed: int = 0) -> DataFrame:
+def select_k_rows(df: DataFrame, k: int, key: str, seed: int = 0, *, merge_rows: int = 1_000_000) -> DataFrame:
     """Exactly ``k`` rows, or all if there are fewer: the first by scrambled key.
 
-    ``k`` is the feature, a fixed sample size. Each task keeps its own best ``k`` before they are merged.
+    ``key`` is a unique integer key without NULL. Up to ``merge_rows`` it is a top-k: each task keeps its
+    best ``k`` and one task merges them. Beyond, no task sees the whole choice: a tally of rows per
+    scrambled number, at most ``SCRAMBLE_MODULUS`` rows whatever the table holds, tells at which number
+    the k-th row lies. All rows below it are taken by a filter; only the rows at that number are ranked.
     """
-    return df.orderBy(scramble(F.col(key), seed), F.col(key)).limit(k)
+    place = scramble(F.col(key), seed)
+    if k <= merge_rows:
+        return df.orderBy(place, F.col(key)).limit(k)
+
+    tally = df.groupBy(place.alias(PLACE)).agg(F.count(F.lit(1)).alias(AT))
+    up_to = F.sum(AT).over(Window.orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edge = (
+        tally.withColumn(UP_TO, up_to)
+        .filter(F.col(UP_TO) >= k)
+        .agg(F.min(F.struct(PLACE, (F.col(UP_TO) - F.col(AT)).alias(AT))).alias(UP_TO))
+    )
+    edge_place = edge.select(F.col(UP_TO)[PLACE]).scalar()
+    below_edge = edge.select(F.col(UP_TO)[AT]).scalar()
+
+    inside = df.filter(place < F.coalesce(edge_place, F.lit(SCRAMBLE_MODULUS)))
+    by_key = Window.orderBy(key)
+    at_edge = df.filter(place == edge_place).withColumn(UP_TO, F.row_number().over(by_key))
+    return inside.unionByName(at_edge.filter(F.col(UP_TO) <= F.lit(k) - below_edge).drop(UP_TO))

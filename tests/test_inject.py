@@ -97,3 +97,20 @@ def test_large_and_negative_keys_do_not_overflow(spark):
     df = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (-1,)], "k bigint")
     values = [r[0] for r in df.select(inject.scramble(F.col("k"), 5)).collect()]
     assert all(0 <= v < inject.SCRAMBLE_MODULUS for v in values)
+
+
+@pytest.mark.parametrize("k", [1, 799, 1499, 1500, 5000])
+def test_large_k_chooses_the_same_rows(spark, sf_small, k):
+    df = read_table(spark, f"{sf_small}/orders.parquet")
+    small = inject.select_k_rows(df, k, "o_orderkey", seed=7)
+    large = inject.select_k_rows(df, k, "o_orderkey", seed=7, merge_rows=0)
+    assert large.columns == df.columns
+    assert sorted(r[0] for r in large.collect()) == sorted(r[0] for r in small.collect())
+
+
+def test_large_k_cuts_inside_a_scrambled_number(spark):
+    df = spark.createDataFrame([(i + j * inject.SCRAMBLE_MODULUS,) for i in range(20) for j in range(10)], "k bigint")
+    for k in (5, 55, 100, 200):
+        small = {r.k for r in inject.select_k_rows(df, k, "k").collect()}
+        large = [r.k for r in inject.select_k_rows(df, k, "k", merge_rows=0).collect()]
+        assert len(large) == k and set(large) == small
