@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -71,9 +72,15 @@ def register_view(df: DataFrame, name: str) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for intermediate tables in the shared folder that the cluster names.
+    """A fresh path for intermediate tables in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only where ``spark.checkpoint.dir`` is unset, as in a local test, it is a new temporary folder.
+    What is written there stays until its owner clears the folder. Where the setting is missing, a
+    session on one machine (``local[n]``) gets a new temporary folder; on a cluster, whose machines
+    do not see each other's folders, it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
