@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabulint.llm.line_dedup import drop_repeated_lines
 from tabulint.llm.storage import stored
@@ -15,7 +16,8 @@ ORACLE_SQL = None
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that a repeated three-line window covers go, but for the window's first occurrence."""
-    return drop_repeated_lines(docs.select(*COLUMNS)).select(*COLUMNS)
+    kept = drop_repeated_lines(docs.select(*COLUMNS))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 STAGES = [("line_dedup", line_dedup)]

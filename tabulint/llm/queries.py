@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulint.llm import language, quality
 from tabulint.llm.line_dedup import drop_repeated_lines
 from tabulint.llm.sharding import assign_shards
 from tabulint.sources.tables import read_table
@@ -38,3 +39,23 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.col("text").alias("kept_text"))
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, f"{sf_dir}/labels.parquet"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return found.select("doc_id", quality.held_out().alias("held_out"), "lang_pred", "score", "rejected")
