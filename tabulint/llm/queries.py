@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabulint.llm import language, quality
 from tabulint.llm.line_dedup import drop_repeated_lines
+from tabulint.llm.packing import pack, public_tokenizer
 from tabulint.llm.sharding import assign_shards
 from tabulint.sources.tables import read_table
 
@@ -59,3 +60,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = language.identify(docs.select("doc_id", "text"), language.train(docs))
     return found.select("doc_id", quality.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizer(), keep_ids=False)
