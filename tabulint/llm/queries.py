@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulint.llm import language, quality
 from tabulint.llm.line_dedup import drop_repeated_lines
+from tabulint.llm.near_dedup import near_duplicates
 from tabulint.llm.packing import pack, public_tokenizer
 from tabulint.llm.sharding import assign_shards
+from tabulint.llm.shipping import ship
 from tabulint.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +24,13 @@ SHARDS = 40
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
-        return function
+        @wraps(function)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = shipped
+        return shipped
 
     return register
 
@@ -65,3 +73,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizer(), keep_ids=False)
+
+
+@query("op1_near_dedup")
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
