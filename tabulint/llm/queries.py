@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulint.llm import language, quality
+from tabulint.llm.decontamination import leaks
 from tabulint.llm.line_dedup import drop_repeated_lines
 from tabulint.llm.near_dedup import near_duplicates
 from tabulint.llm.packing import pack, public_tokenizer
@@ -78,3 +79,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_near_dedup")
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(documents(spark, sf_dir), read_table(spark, f"{sf_dir}/benchmark.parquet"))
