@@ -194,3 +194,10 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", threshold: float =
     return signed.join(names, signed["label"] == names["of"], "left").select(
         F.col("id").alias(key), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n", F.lit(1)).alias("class_size")
     )
+
+
+def one_of_each_class(docs: DataFrame, *, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with the least key of each class only; of repeated rows one stays, and a NULL text stays."""
+    classes = near_duplicates(docs, key=key, threshold=threshold)
+    kept = classes.filter(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__key")).distinct()
+    return docs.join(kept, docs[key].eqNullSafe(kept["__key"]), "left_semi").dropDuplicates([key, "text"])
