@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -135,10 +135,11 @@ def verified(pairs: DataFrame, feats: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "ha", "wa", "ta", "hb", "wb", "tb").mapInArrow(compare, schema).filter(F.col("similarity") >= threshold)
 
 
-def near_links(members: DataFrame, feats: DataFrame, threshold: float) -> DataFrame:
+def near_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(a, b, similarity): verified links that connect all that candidates in a common bucket connect.
 
-    ``members`` is (bucket, node, place), places from 0 without gaps. In a round the next few places of
+    ``members`` is (bucket, node, place), places from 0 without gaps; ``verify`` keeps of pairs (a, b)
+    those that are links and adds their similarity. In a round the next few places of
     a bucket, the pivots, meet the members behind them that are not yet in their group, so a bucket of
     like texts is done after one round, with as many pairs as members; only members that stay apart
     from the others go on. Every pair of a bucket is compared unless links already join the two.
@@ -153,13 +154,16 @@ def near_links(members: DataFrame, feats: DataFrame, threshold: float) -> DataFr
         open_buckets = now.groupBy("bucket").agg(F.max("place").alias("top"), F.min("label").alias("x"), F.max("label").alias("y")).filter((F.col("x") != F.col("y")) & (F.col("top") > first)).select("bucket")
         now = stored(now.join(open_buckets, "bucket"), "open")
         if now.isEmpty():
-            return links if links is not None else members.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
+            if links is not None:
+                return links
+            nothing = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+            return nothing.withColumn("similarity", F.lit(0.0))
         pivots = now.filter(F.col("place").between(first, first + width - 1)).select(
             "bucket", F.col("node").alias("a"), F.col("place").alias("a_place"), F.col("label").alias("a_label")
         )
         met = now.join(pivots, "bucket").filter((F.col("place") > F.col("a_place")) & (F.col("label") != F.col("a_label")))
         pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        fresh = verified(pairs, feats, threshold)
+        fresh = verify(pairs)
         links = stored(fresh if links is None else links.unionByName(fresh), "near")
         labels = components(links)
         first, width = first + width, width * PIVOT_GROWTH
@@ -187,7 +191,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", threshold: float =
     members = stored(members, "members")
     wanted = members.select("id", "node").distinct()
     feats = stored(features(docs, wanted, table, key), "features")
-    links = near_links(stored(ranked(members.select("bucket", "node"), ["bucket"], ["node"], "place"), "places"), feats, threshold)
+    places = stored(ranked(members.select("bucket", "node"), ["bucket"], ["node"], "place"), "places")
+    links = near_links(places, lambda pairs: verified(pairs, feats, threshold))
     labels = components(links)
     signed = signed.join(labels, signed["digest"] == labels["node"], "left").withColumn("label", F.coalesce("label", "digest"))
     names = signed.filter("label IS NOT NULL").groupBy(F.col("label").alias("of")).agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"))

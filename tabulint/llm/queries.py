@@ -8,8 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulint.llm import language, quality
+from tabulint.llm import language, quality, substring_dedup, suffix_dedup
 from tabulint.llm.decontamination import leaks
+from tabulint.llm.fingerprints import edited_neighbours
 from tabulint.llm.line_dedup import drop_repeated_lines
 from tabulint.llm.near_dedup import near_duplicates
 from tabulint.llm.packing import pack, public_tokenizer
@@ -84,3 +85,20 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_decontamination")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), read_table(spark, f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op5_fingerprints")
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_neighbours(documents(spark, sf_dir))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return suffix_dedup.digests(suffix_dedup.drop_repeated_bytes(docs))
+
+
+@query("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return substring_dedup.digests(substring_dedup.drop_repeated_words(docs))
