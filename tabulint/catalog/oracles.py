@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabulint.catalog.records import RECORDS_SQL
+from tabulint.catalog.records import KEYS_BY_UNION, RECORDS_SQL, TEXT_VITALS
 
 # Fixed values, as in the presets; spelled again here so that the oracle does not lean on the library.
 CODE_OK = r"regexp_matches(icd10_code, '^[A-Z][0-9]{2}(\.[0-9A-Z]{1,4})?$')"
@@ -37,8 +37,11 @@ def joined(items: str) -> str:
     return f"array_to_string(list_filter([{items}], lambda x: x IS NOT NULL), ', ')"
 
 
+RECORDS = RECORDS_SQL.replace("{keys}", KEYS_BY_UNION)
+
+
 def over_records(*ctes: str, select: str) -> str:
-    views = [f"records AS ({RECORDS_SQL.format(orders='orders')})", *ctes]
+    views = [f"records AS ({RECORDS})", *ctes]
     return "WITH " + ",\n".join(views) + "\n" + select
 
 
@@ -121,7 +124,7 @@ def range_rows(where: str) -> str:
 
 
 def scrambled(key: str, seed: int) -> str:
-    return f"((({key}) % 1000003) * 7919 + {seed}) % 1000003"
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
 
 
 NUMBER = "CAST(substr(patient_id, 2) AS BIGINT)"
@@ -138,6 +141,50 @@ MOVED = {
 }
 MOVED = {c: f"CAST({e} AS {'INT' if c in ('diastolic_bp_mmhg', 'oxygen_sat_pct') else 'DOUBLE'})" for c, e in MOVED.items()}
 
+# Text vitals: what is no number, or a fraction in a whole number, is bad; so is what is out of bounds.
+WHOLE = ("diastolic_bp_mmhg", "oxygen_sat_pct")
+
+
+def unreadable(column: str) -> str:
+    number = f"TRY_CAST({column} AS DOUBLE)"
+    fraction = f" OR {number} <> floor({number})" if column in WHOLE else ""
+    return f"({column} IS NOT NULL AND ({number} IS NULL{fraction}))"
+
+
+def text_bad(column: str) -> str:
+    _, _, lo, hi = VITAL_BOUNDS[column]
+    number = f"TRY_CAST({column} AS DOUBLE)"
+    return f"({unreadable(column)} OR coalesce({number} < {lo} OR {number} > {hi}, false))"
+
+
+TEXT_ANY_BAD = "(" + " OR ".join(text_bad(c) for c in VITAL_BOUNDS) + ")"
+TEXT_LABELS = ", ".join(
+    f"CASE WHEN {unreadable(c)} THEN '{label}: not_numeric' WHEN {text_bad(c)} THEN '{label}' END"
+    for c, (label, *_) in VITAL_BOUNDS.items()
+)
+TEXT_RECORDS = (
+    "texts AS (SELECT "
+    + ", ".join(f"{TEXT_VITALS.get(c, c)} AS {c}" for c in COLUMNS)
+    + f" FROM (SELECT *, {NUMBER} AS n FROM records))"
+)
+TEXT_PASSED = f"CASE WHEN {CODE_BAD} THEN 0 WHEN {TEXT_ANY_BAD} THEN 1 ELSE 2 END DESC"
+TEXT_RANKED = ranked("texts", "patient_id", f"{BY_DATE}, {TEXT_PASSED}, {BY_REST}")
+TEXT_NUMBERS = {c: f"CAST(CAST({c} AS DOUBLE) AS {'INT' if c in WHOLE else 'DOUBLE'})" for c in VITAL_BOUNDS}
+TEXT_STANDARD = replaced(COLUMNS, **DATES, icd10_code=TIDY_CODE, **NAMES, **TEXT_NUMBERS, length_of_stay_days=STAY)
+TEXT_STAGE = f"CASE WHEN pos > 1 THEN '1_dedup' WHEN {CODE_BAD} THEN '3_icd10' ELSE '4_vitals' END"
+TEXT_BROKEN = joined(f"CASE WHEN pos > 1 THEN 'superseded' END, CASE WHEN {CODE_BAD} THEN 'icd10_code' END, {TEXT_LABELS}")
+
+TIDIED = f"tidied AS (SELECT {replaced(COLUMNS, icd10_code=TIDY_CODE)} FROM records)"
+TIDIED_RANKED = ranked("tidied", "patient_id", LATEST)
+TIED = ranked(
+    "orders_d",
+    "o_orderstatus",
+    f"CASE WHEN {PRIORITY_BAD} THEN 0 WHEN {PRICE_BAD} THEN 1 ELSE 2 END DESC, o_orderkey DESC NULLS LAST",
+)
+TIED_CLEAN = f"""WITH {ORDERS}, {TIED}
+SELECT {replaced(ORDER_COLUMNS, o_orderpriority=title('o_orderpriority'))}
+FROM ranked WHERE pos = 1 AND NOT {PRIORITY_BAD} AND NOT {PRICE_BAD}"""
+
 KNOWN = "heart_rate_bpm IS NOT NULL"
 
 ORACLES: dict[str, str] = {
@@ -223,13 +270,29 @@ FROM records WHERE {ANY_BAD} ORDER BY patient_id"""
     "standardize_names": over_records(select=f"SELECT {replaced(COLUMNS, **NAMES)} FROM records"),
     "standardize": over_records(select=f"SELECT {STANDARD} FROM records"),
     "clean_records": over_records(RANKED, select=CLEAN),
-    "clean_records_normalize_first": over_records(
-        f"tidied AS (SELECT {replaced(COLUMNS, icd10_code=TIDY_CODE)} FROM records)",
-        ranked("tidied", "patient_id", LATEST),
-        select=CLEAN,
+    "clean_records_normalize_first": over_records(TIDIED, TIDIED_RANKED, select=CLEAN),
+    "clean_funnel_normalize_first": funnel(
+        f"records AS ({RECORDS}), {TIDIED}, {TIDIED_RANKED}", "icd10", "vitals", CODE_BAD, ANY_BAD
+    ),
+    "rejected_rows_normalize_first": over_records(
+        TIDIED, TIDIED_RANKED, FLAGGED, select="SELECT * FROM flagged WHERE first_failed_stage <> '4_kept'"
+    ),
+    "flagged_rows_normalize_first": over_records(TIDIED, TIDIED_RANKED, FLAGGED, select="SELECT * FROM flagged"),
+    "clean_text_records": over_records(
+        TEXT_RECORDS,
+        TEXT_RANKED,
+        select=f"SELECT {TEXT_STANDARD} FROM ranked WHERE pos = 1 AND NOT {CODE_BAD} AND NOT {TEXT_ANY_BAD}",
+    ),
+    "rejected_text_records": over_records(
+        TEXT_RECORDS,
+        TEXT_RANKED,
+        select=f"""SELECT {', '.join(COLUMNS)}, {TEXT_STAGE} AS first_failed_stage, {TEXT_BROKEN} AS failed_rules
+FROM ranked WHERE pos > 1 OR {CODE_BAD} OR {TEXT_ANY_BAD}""",
     ),
+    "orders_tied_step_by_step": TIED_CLEAN,
+    "orders_tied_clean": TIED_CLEAN,
     "clean_funnel": funnel(
-        f"records AS ({RECORDS_SQL.format(orders='orders')}), {RANKED}", "icd10", "vitals", CODE_BAD, ANY_BAD
+        f"records AS ({RECORDS}), {RANKED}", "icd10", "vitals", CODE_BAD, ANY_BAD
     ),
     "rejected_rows": over_records(RANKED, FLAGGED, select="SELECT * FROM flagged WHERE first_failed_stage <> '4_kept'"),
     "flagged_rows": over_records(RANKED, FLAGGED, select="SELECT * FROM flagged"),
@@ -256,7 +319,7 @@ UNION ALL SELECT * FROM orders_d WHERE {scrambled('o_orderkey', 1)} % 64 = 0""",
     "select_k_rows": f"""WITH {ORDERS}
 SELECT * FROM orders_d ORDER BY {scrambled('o_orderkey', 5)}, o_orderkey LIMIT 800""",
     "select_k_rows_by_threshold": f"""WITH {ORDERS}
-SELECT * FROM orders_d ORDER BY {scrambled('o_orderkey', 6)}, o_orderkey LIMIT 800""",
+SELECT * FROM orders_d ORDER BY {scrambled('o_orderkey', 6)}, o_orderkey LIMIT 7000""",
     # the same operators with other rules
     "orders_latest_per_customer": f"""WITH {ORDERS}, {ORDERS_RANKED}
 SELECT {', '.join(ORDER_COLUMNS)} FROM ranked WHERE pos = 1""",

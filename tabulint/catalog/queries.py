@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulint.catalog.records import records
+from tabulint.catalog.records import records, text_records
 from tabulint.operators import checks, inject, profile, standardize
 from tabulint.operators.dedup import keep_latest
 from tabulint.operators.validity import keep_valid
@@ -226,6 +226,54 @@ def clean_records_normalize_first(spark: SparkSession, sf_dir: str) -> DataFrame
     return cleaning.clean(records(spark, sf_dir), presets.ADMISSIONS, normalize_first=True)
 
 
+def text_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text records written as CSV to the session's scratch folder, where they stay, and read back."""
+    path = tables.scratch_path(spark, "text_csv")
+    tables.write_csv(text_records(spark, sf_dir), path)
+    return tables.read_csv(spark, path, presets.ADMISSIONS_TEXT_SCHEMA, keep_corrupt=True)
+
+
+@query("clean_text_records")
+def clean_text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file cleaned with nothing turned into a missing value unseen; the types are those of the table."""
+    return cleaning.clean(text_csv(spark, sf_dir), presets.ADMISSIONS_TEXT).drop(tables.CSV_CORRUPT)
+
+
+@query("rejected_text_records")
+def rejected_text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = cleaning.rejected_rows(text_csv(spark, sf_dir), presets.ADMISSIONS_TEXT)
+    return joined_labels(rejected).drop(tables.CSV_CORRUPT)
+
+
+@query("clean_funnel_normalize_first")
+def clean_funnel_normalize_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.funnel(records(spark, sf_dir), presets.ADMISSIONS, normalize_first=True)
+
+
+@query("rejected_rows_normalize_first")
+def rejected_rows_normalize_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joined_labels(cleaning.rejected_rows(records(spark, sf_dir), presets.ADMISSIONS, normalize_first=True))
+
+
+@query("flagged_rows_normalize_first")
+def flagged_rows_normalize_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joined_labels(cleaning.flag_rows(records(spark, sf_dir), presets.ADMISSIONS, normalize_first=True))
+
+
+@query("orders_tied_step_by_step")
+def orders_tied_step_by_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dedup, filters and standard forms one by one, over keys with many ties of good and bad rows."""
+    rules = presets.TIED_ORDERS
+    kept = cleaning.latest(orders(spark, sf_dir), rules)
+    return standardize.standardize(keep_valid(kept, *rules.rules), rules.standards)
+
+
+@query("orders_tied_clean")
+def orders_tied_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one run."""
+    return cleaning.clean(orders(spark, sf_dir), presets.TIED_ORDERS)
+
+
 @query("clean_funnel")
 def clean_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.funnel(records(spark, sf_dir), presets.ADMISSIONS)
@@ -279,8 +327,8 @@ def select_k_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select_k_rows_by_threshold")
 def select_k_rows_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The form for a large k, which passes no task the whole choice."""
-    return inject.select_k_rows(orders(spark, sf_dir), 800, "o_orderkey", seed=6, merge_rows=0)
+    """A large share of the table, chosen in the same way."""
+    return inject.select_k_rows(orders(spark, sf_dir), 7000, "o_orderkey", seed=6)
 
 
 # --- the same operators with other rules ---------------------------------------------------------

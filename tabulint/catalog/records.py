@@ -1,6 +1,7 @@
 """The admissions table of the checks, derived from the whole ``orders`` table by one SQL text.
 
-The text runs unchanged in Spark and in the oracle; only the name of the orders relation differs.
+The text runs unchanged in Spark and in the oracle, but for the keys: Spark makes exact copies and
+later versions of rows in one scan, the oracle by a union.
 """
 
 from __future__ import annotations
@@ -10,13 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabulint.sources.tables import read_table
 
 RECORDS_SQL = r"""
-WITH k AS (
-  SELECT o_orderkey AS i, CAST(o_orderdate AS DATE) AS adm, o_custkey AS c, 0 AS copy_no FROM {orders}
-  UNION ALL
-  SELECT o_orderkey, CAST(o_orderdate AS DATE), o_custkey, 0 FROM {orders} WHERE o_orderkey % 64 = 7
-  UNION ALL
-  SELECT o_orderkey, CAST(o_orderdate AS DATE) + 45, o_custkey, 1 FROM {orders} WHERE o_orderkey % 64 = 9
-)
+WITH k AS ({keys})
 SELECT
   'P' || lpad(CAST(i + 1 AS STRING), 7, '0') AS patient_id,
   CASE WHEN i % 4 = 0 THEN '  mary ' WHEN i % 4 = 1 THEN 'JOHN' WHEN i % 4 = 2 THEN 'linda ann' ELSE 'Thomas' END AS first_name,
@@ -42,6 +37,40 @@ FROM k
 """
 
 
+KEYS_BY_UNION = """
+  SELECT o_orderkey AS i, CAST(o_orderdate AS DATE) AS adm, o_custkey AS c, 0 AS copy_no FROM orders
+  UNION ALL
+  SELECT o_orderkey, CAST(o_orderdate AS DATE), o_custkey, 0 FROM orders WHERE o_orderkey % 64 = 7
+  UNION ALL
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) + 45, o_custkey, 1 FROM orders WHERE o_orderkey % 64 = 9
+"""
+KEYS_IN_ONE_SCAN = """
+  SELECT i, date_add(day, 45 * copy_no) AS adm, c, copy_no FROM (
+    SELECT o_orderkey AS i, CAST(o_orderdate AS DATE) AS day, o_custkey AS c,
+           explode(CASE o_orderkey % 64 WHEN 7 THEN array(0, 0) WHEN 9 THEN array(0, 1) ELSE array(0) END) AS copy_no
+    FROM {orders})
+"""
+
+
+# Vitals as a CSV file may hold them: no number, a fraction's dot in a whole number, out of range, nothing.
+TEXT_VITALS = {
+    "heart_rate_bpm": "CASE WHEN n % 211 = 5 THEN 'fast' ELSE CAST(heart_rate_bpm AS STRING) END",
+    "systolic_bp_mmhg": "CAST(systolic_bp_mmhg AS STRING)",
+    "diastolic_bp_mmhg": "CASE WHEN n % 211 = 6 THEN '200.0' WHEN n % 3 = 0 THEN CAST(CAST(diastolic_bp_mmhg AS DOUBLE) AS STRING) "
+    "ELSE CAST(diastolic_bp_mmhg AS STRING) END",
+    "temp_celsius": "CAST(temp_celsius AS STRING)",
+    "oxygen_sat_pct": "CASE WHEN n % 211 = 7 THEN '130.0' WHEN n % 211 = 8 THEN NULL WHEN n % 211 = 9 THEN '97.5' "
+    "ELSE CAST(oxygen_sat_pct AS STRING) END",
+    "weight_kg": "CAST(weight_kg AS STRING)",
+}
+
+
+def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The admissions with all vitals as text, some of them unreadable or written as fractions."""
+    numbered = records(spark, sf_dir).selectExpr("*", "CAST(substr(patient_id, 2) AS BIGINT) AS n")
+    return numbered.selectExpr(*[f"{TEXT_VITALS.get(c, c)} AS {c}" for c in numbered.columns if c != "n"])
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The admissions table of one data folder."""
-    return spark.sql(RECORDS_SQL, orders=read_table(spark, f"{sf_dir}/orders.parquet"))
+    return spark.sql(RECORDS_SQL.replace("{keys}", KEYS_IN_ONE_SCAN), orders=read_table(spark, f"{sf_dir}/orders.parquet"))

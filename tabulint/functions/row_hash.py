@@ -12,11 +12,35 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def quoted(name: str) -> Column:
+    """The column of this very name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def _comparable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_comparable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _comparable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def sortable_columns(df: DataFrame) -> list[str]:
-    """Columns that Spark can compare and hash: those without a map or variant inside."""
-    return [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    """Columns that Spark can compare and hash: those without a map or variant inside, at any depth.
+
+    Maps and variants take no part in ties: of rows that differ only in them any may be chosen.
+    """
+    return [f.name for f in df.schema.fields if _comparable(f.dataType)]
+
+
+def refuse_reserved(df: DataFrame, *names: str) -> None:
+    """Raises if the table has a column that a run needs for itself."""
+    taken = sorted(set(names) & set(df.columns))
+    if taken:
+        raise ValueError(f"columns with reserved names: {', '.join(taken)}")
 
 
 def with_origin(df: DataFrame, name: str, origin: Column | None = None) -> DataFrame:
@@ -34,4 +58,4 @@ def with_origin(df: DataFrame, name: str, origin: Column | None = None) -> DataF
 
 
 def row_hash(columns: Iterable[str]) -> Column:
-    return F.xxhash64(*(F.col(f"`{c}`") for c in columns))
+    return F.xxhash64(*map(quoted, columns))

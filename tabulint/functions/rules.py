@@ -18,8 +18,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulint.functions.row_hash import sortable_columns
-from tabulint.functions.standard_forms import as_date
+from tabulint.functions.row_hash import quoted, sortable_columns
+from tabulint.functions.standard_forms import as_date, as_number, as_whole
 
 
 @dataclass(frozen=True)
@@ -34,10 +34,31 @@ class NotNull:
         return self.label or self.column
 
     def violation(self) -> Column:
-        return F.col(self.column).isNull()
+        return quoted(self.column).isNull()
 
     def accepts(self) -> Column:
-        return F.col(self.column).isNotNull()
+        return quoted(self.column).isNotNull()
+
+    def failure(self) -> Column:
+        return F.when(self.violation(), F.lit(self.name))
+
+
+@dataclass(frozen=True)
+class IsNull:
+    """The column must be empty, as the record of a line that could not be read is for a sound line."""
+
+    column: str
+    label: str = ""
+
+    @property
+    def name(self) -> str:
+        return self.label or self.column
+
+    def violation(self) -> Column:
+        return quoted(self.column).isNotNull()
+
+    def accepts(self) -> Column:
+        return quoted(self.column).isNull()
 
     def failure(self) -> Column:
         return F.when(self.violation(), F.lit(self.name))
@@ -58,14 +79,14 @@ class Matches:
 
     def malformed(self) -> Column:
         """There is a text and it does not match."""
-        value = F.col(self.column)
+        value = quoted(self.column)
         return value.isNotNull() & ~value.rlike(self.pattern)
 
     def violation(self) -> Column:
-        return self.malformed() if self.null_ok else self.malformed() | F.col(self.column).isNull()
+        return self.malformed() if self.null_ok else self.malformed() | quoted(self.column).isNull()
 
     def accepts(self) -> Column:
-        value = F.col(self.column)
+        value = quoted(self.column)
         if self.null_ok:
             return value.isNull() | value.rlike(self.pattern)
         return value.isNotNull() & value.rlike(self.pattern)
@@ -76,7 +97,7 @@ class Matches:
     def status(self) -> Column:
         """MISSING, INVALID_FORMAT or VALID."""
         return (
-            F.when(F.col(self.column).isNull(), "MISSING")
+            F.when(quoted(self.column).isNull(), "MISSING")
             .when(self.malformed(), "INVALID_FORMAT")
             .otherwise("VALID")
         )
@@ -87,7 +108,8 @@ class InRange:
     """The number must lie in ``lo..hi``, both ends included; a NULL passes unless ``null_ok=False``.
 
     NaN sorts above every number, so it is out of range. Set ``text=True`` for a column of strings:
-    the text is read leniently and a text that is no number fails as ``<label>: not_numeric``.
+    the text is read leniently and a text that is no number fails as ``<label>: not_numeric``; with
+    ``whole=True`` so does a fraction (``80.0`` is whole).
     """
 
     column: str
@@ -97,6 +119,7 @@ class InRange:
     null_ok: bool = True
     text: bool = False
     counter: str = ""
+    whole: bool = False
 
     @property
     def name(self) -> str:
@@ -108,11 +131,12 @@ class InRange:
         return self.counter or f"bad_{self.name}"
 
     def _number(self) -> Column:
-        value = F.col(self.column)
-        return value.try_cast("double") if self.text else value
+        if not self.text:
+            return quoted(self.column)
+        return as_whole(self.column) if self.whole else as_number(self.column)
 
     def _not_numeric(self) -> Column:
-        return F.col(self.column).isNotNull() & self._number().isNull()
+        return quoted(self.column).isNotNull() & self._number().isNull()
 
     def out_of_range(self) -> Column:
         """There is a value and it lies outside the range (or is no number at all)."""
@@ -120,11 +144,11 @@ class InRange:
         return outside | self._not_numeric() if self.text else outside
 
     def violation(self) -> Column:
-        return self.out_of_range() if self.null_ok else self.out_of_range() | F.col(self.column).isNull()
+        return self.out_of_range() if self.null_ok else self.out_of_range() | quoted(self.column).isNull()
 
     def accepts(self) -> Column:
         inside = self._number().between(self.lo, self.hi)
-        return F.col(self.column).isNull() | inside if self.null_ok else inside
+        return quoted(self.column).isNull() | inside if self.null_ok else inside
 
     def failure(self) -> Column:
         label = F.lit(self.name)
@@ -133,7 +157,7 @@ class InRange:
         return F.when(self.violation(), label)
 
 
-Rule = NotNull | Matches | InRange
+Rule = NotNull | IsNull | Matches | InRange
 
 
 @dataclass(frozen=True)
@@ -152,7 +176,7 @@ class UniqueKey:
     order_as_date: bool = False
 
     def order_value(self) -> Column:
-        return as_date(self.order_by) if self.order_as_date else F.col(self.order_by)
+        return as_date(self.order_by) if self.order_as_date else quoted(self.order_by)
 
     def deciding_columns(self, df: DataFrame, leading: tuple[str, ...] = ()) -> list[str]:
         """Tie-break columns in order: declared, ``leading``, then the rest of ``df``."""
@@ -162,26 +186,32 @@ class UniqueKey:
 
 @dataclass(frozen=True)
 class Stage:
-    """A named filter step of a cleaning run: a row must pass all its rules."""
+    """A named filter step of a cleaning run: a row must pass all its rules; without rules it passes."""
 
     name: str
     rules: tuple[Rule, ...]
 
     def violation(self) -> Column:
-        return reduce(or_, (rule.violation() for rule in self.rules))
+        return reduce(or_, (rule.violation() for rule in self.rules), F.lit(False))
 
     def accepts(self) -> Column:
-        return reduce(and_, (rule.accepts() for rule in self.rules))
+        return reduce(and_, (rule.accepts() for rule in self.rules), F.lit(True))
 
 
 @dataclass(frozen=True)
 class Standards:
-    """Which columns get which standard form; ``day_spans`` maps a new column to (start, end)."""
+    """Which columns get which standard form; ``day_spans`` maps a new column to (start, end).
+
+    ``numbers`` and ``integers`` are text columns that become DOUBLE and INT; a text that is no such
+    number becomes NULL, so check it first (``InRange`` with ``text``).
+    """
 
     dates: tuple[str, ...] = ()
     day_spans: dict[str, tuple[str, str]] = field(default_factory=dict)
     codes: tuple[str, ...] = ()
     names: tuple[str, ...] = ()
+    numbers: tuple[str, ...] = ()
+    integers: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

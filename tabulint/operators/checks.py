@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulint.functions.row_hash import row_hash, sortable_columns, with_origin
+from tabulint.functions.row_hash import quoted, row_hash, sortable_columns, with_origin
 from tabulint.functions.rules import InRange, Matches, UniqueKey
 
 ORIGIN = "__dq_origin"
@@ -34,25 +34,25 @@ def duplicate_keys(
     """
     when = key.order_value()
     found = (
-        df.groupBy(*key.columns)
+        df.groupBy(*map(quoted, key.columns))
         .agg(F.count(F.lit(1)).alias("occurrence_count"), F.min(when).alias(earliest), F.max(when).alias(latest))
         .filter(F.col("occurrence_count") > 1)
     )
     if not ordered:
         return found
-    return found.orderBy(F.desc("occurrence_count"), *(F.asc_nulls_first(c) for c in key.columns))
+    return found.orderBy(F.desc("occurrence_count"), *(quoted(c).asc_nulls_first() for c in key.columns))
 
 
 def format_failures(
     df: DataFrame, rule: Matches, ids: tuple[str, ...], *, status: str = "status", ordered: bool = True
 ) -> DataFrame:
     """Rows whose text is missing or malformed, with the status; sorted by status and id."""
-    bad = df.filter(F.col(rule.column).isNull() | rule.malformed()).select(
-        *ids, rule.column, rule.status().alias(status)
+    bad = df.filter(quoted(rule.column).isNull() | rule.malformed()).select(
+        *map(quoted, ids), quoted(rule.column), rule.status().alias(status)
     )
     if not ordered:
         return bad
-    return _sorted(bad, F.asc(status), *(F.asc_nulls_first(c) for c in ids))
+    return _sorted(bad, F.asc(status), *(quoted(c).asc_nulls_first() for c in ids))
 
 
 def format_status(df: DataFrame, rule: Matches, *, status: str = "status") -> DataFrame:
@@ -72,10 +72,10 @@ def range_failures(
 
     A NULL is not out of range here, whatever the rule's ``null_ok``.
     """
-    values = [rule.column for rule in rules]
+    values = [quoted(rule.column) for rule in rules]
     labels = F.concat_ws(", ", *(F.when(rule.out_of_range(), F.lit(rule.name)) for rule in rules))
-    any_bad = reduce(or_, (rule.out_of_range() for rule in rules))
-    bad = df.filter(any_bad).select(*ids, *values, labels.alias(flagged))
+    any_bad = reduce(or_, (rule.out_of_range() for rule in rules), F.lit(False))
+    bad = df.filter(any_bad).select(*map(quoted, ids), *values, labels.alias(flagged))
     if not ordered:
         return bad
-    return _sorted(bad, *(F.asc_nulls_first(c) for c in ids))
+    return _sorted(bad, *(quoted(c).asc_nulls_first() for c in ids))

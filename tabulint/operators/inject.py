@@ -1,23 +1,27 @@
 """Plant known defects in any table, to measure what the rules find.
 
-Rows are picked by integer arithmetic on a key, not by a random stream: a run is repeatable on any
+Rows are picked by a digest of a key, not by a random stream: a run is repeatable on any
 partitioning, and a lost task plants the same defects again. All but ``select_k_rows`` are
 projections: one scan, no shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tabulint.functions.row_hash import quoted
 from tabulint.functions.rules import InRange
 
-# Fixed values of the row arithmetic: a prime modulus and a multiplier small enough that the product
-# stays far inside BIGINT.
-SCRAMBLE_MODULUS = 1_000_003
-SCRAMBLE_FACTOR = 7_919
+# Hexadecimal digits of a digest that make a row's number: 60 bits, so that a number fits a BIGINT.
+DIGITS = 15
+NUMBERS = 16**DIGITS
+# Numbers are tallied without their last bits, by their leading 20.
+TALLY_BITS = 40
 
 # Helper columns; input tables must not use these names.
 COPY = "__dq_copy"
@@ -27,13 +31,13 @@ UP_TO = "__dq_up_to"
 
 
 def scramble(key: Column, seed: int = 0) -> Column:
-    """A repeatable pseudo-random number below ``SCRAMBLE_MODULUS`` for an integer key."""
-    spread = F.pmod(key, F.lit(SCRAMBLE_MODULUS)) * F.lit(SCRAMBLE_FACTOR) + F.lit(seed)
-    return F.pmod(spread, F.lit(SCRAMBLE_MODULUS))
+    """A repeatable pseudo-random number below ``NUMBERS`` for any key; NULL is a key too."""
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("NULL")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, DIGITS), 16, 10).cast("bigint")
 
 
 def one_in(key: Column, every: int, seed: int = 0) -> Column:
-    """True for about one row in ``every``."""
+    """True for about one row in ``every``, however large that is."""
     return F.pmod(scramble(key, seed), F.lit(every)) == 0
 
 
@@ -47,7 +51,7 @@ def inject_nulls(df: DataFrame, selected: Column, variant: Column, columns: Iter
     """Blank one of ``columns`` in each selected row; ``variant`` (an integer) decides which."""
     names = list(columns)
     hit = {c: selected & (F.pmod(variant, F.lit(len(names))) == i) for i, c in enumerate(names)}
-    return df.withColumns({c: F.when(~F.coalesce(hit[c], F.lit(False)), F.col(c)) for c in names})
+    return df.withColumns({c: F.when(~F.coalesce(hit[c], F.lit(False)), quoted(c)) for c in names})
 
 
 def inject_invalid_codes(
@@ -64,40 +68,56 @@ def inject_out_of_range(
 ) -> DataFrame:
     """Move every ruled field of each selected row ``distance`` below or above its range.
 
-    The side alternates from field to field and with ``variant``. Column types are kept.
+    The side alternates from field to field and with ``variant``. Column types are kept: in a whole-number
+    column the value moves on to the next whole number away from the range.
     """
     moved = {}
     for i, rule in enumerate(rules):
         kind = df.schema[rule.column].dataType
-        below, above = (F.lit(v).cast(kind) for v in (rule.lo - distance, rule.hi + distance))
+        ends = rule.lo - distance, rule.hi + distance
+        if isinstance(kind, T.IntegralType):
+            ends = math.floor(ends[0]), math.ceil(ends[1])
+        below, above = (F.lit(v).cast(kind) for v in ends)
         side = F.when(F.pmod(variant + F.lit(i), F.lit(2)) == 0, below).otherwise(above)
         moved[rule.column] = F.when(selected, side).otherwise(F.col(rule.column))
     return df.withColumns(moved)
 
 
-def select_k_rows(df: DataFrame, k: int, key: str, seed: int = 0, *, merge_rows: int = 1_000_000) -> DataFrame:
-    """Exactly ``k`` rows, or all if there are fewer: the first by scrambled key.
+def select_k_rows(df: DataFrame, k: int, key: str, seed: int = 0) -> DataFrame:
+    """Exactly ``k`` rows, or all if there are fewer: those whose keys have the lowest numbers.
 
-    ``key`` is a unique integer key without NULL. Up to ``merge_rows`` it is a top-k: each task keeps its
-    best ``k`` and one task merges them. Beyond, no task sees the whole choice: a tally of rows per
-    scrambled number, at most ``SCRAMBLE_MODULUS`` rows whatever the table holds, tells at which number
-    the k-th row lies. All rows below it are taken by a filter; only the rows at that number are ranked.
+    No task sees the whole choice. A tally of rows by the leading bits of their numbers, at most
+    2**20 rows whatever the table holds, tells in which step the k-th number lies;
+    the numbers of that step alone, about a millionth of all, are put in order to find it; and a filter
+    takes the rows up to it. Two narrow scans and one of whole rows, which are not shuffled.
+    ``key`` tells rows apart, NULL being a key like any other. Where rows share the key at which the
+    choice would have to stop, no choice of ``k`` is defined by keys, and the query raises an error.
     """
-    place = scramble(F.col(key), seed)
-    if k <= merge_rows:
-        return df.orderBy(place, F.col(key)).limit(k)
-
-    tally = df.groupBy(place.alias(PLACE)).agg(F.count(F.lit(1)).alias(AT))
+    if k <= 0:
+        return df.limit(0)
+    place = scramble(quoted(key), seed)
+    numbers = df.select(place.alias(PLACE))
+    step = F.shiftright(PLACE, TALLY_BITS)
+    tally = numbers.groupBy(step.alias(PLACE)).agg(F.count(F.lit(1)).alias(AT))
     up_to = F.sum(AT).over(Window.orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     edge = (
         tally.withColumn(UP_TO, up_to)
         .filter(F.col(UP_TO) >= k)
         .agg(F.min(F.struct(PLACE, (F.col(UP_TO) - F.col(AT)).alias(AT))).alias(UP_TO))
     )
-    edge_place = edge.select(F.col(UP_TO)[PLACE]).scalar()
-    below_edge = edge.select(F.col(UP_TO)[AT]).scalar()
+    edge_step = edge.select(F.col(UP_TO)[PLACE]).scalar()
+    before_edge = edge.select(F.col(UP_TO)[AT]).scalar()
 
-    inside = df.filter(place < F.coalesce(edge_place, F.lit(SCRAMBLE_MODULUS)))
-    by_key = Window.orderBy(key)
-    at_edge = df.filter(place == edge_place).withColumn(UP_TO, F.row_number().over(by_key))
-    return inside.unionByName(at_edge.filter(F.col(UP_TO) <= F.lit(k) - below_edge).drop(UP_TO))
+    at_edge = numbers.filter(step == edge_step).groupBy(PLACE).agg(F.count(F.lit(1)).alias(AT))
+    stop = (
+        at_edge.withColumn(UP_TO, up_to + before_edge)
+        .filter(F.col(UP_TO) >= k)
+        .agg(F.min(F.struct(PLACE, UP_TO)).alias(UP_TO))
+        .select(
+            F.when(F.col(UP_TO).isNull(), F.lit(NUMBERS))
+            .when(F.col(UP_TO)[UP_TO] == k, F.col(UP_TO)[PLACE])
+            .otherwise(F.raise_error(F.lit(f"rows share the key at which a choice of {k} rows stops")).cast("bigint"))
+        )
+        .scalar()
+    )
+    return df.filter(place <= stop)

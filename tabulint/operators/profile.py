@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulint.functions.row_hash import quoted
 from tabulint.functions.rules import InRange, Matches
 from tabulint.functions.standard_forms import as_date
 
@@ -24,13 +25,13 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def null_count(column: str) -> Column:
-    return F.count_if(F.col(f"`{column}`").isNull())
+    return F.count_if(quoted(column).isNull())
 
 
 def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """(column, n_null) for every column, from one global aggregate."""
     names = list(columns or df.columns)
-    return df.agg(*(null_count(c).alias(c) for c in names)).unpivot([], names, "column", "n_null")
+    return df.agg(*(null_count(c).alias(c) for c in names)).unpivot([], [quoted(c) for c in names], "column", "n_null")
 
 
 def null_rates(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -38,7 +39,7 @@ def null_rates(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame
     names = list(columns or df.columns)
     counted = df.agg(F.count(F.lit(1)).alias("__dq_rows"), *(null_count(c).alias(c) for c in names))
     return (
-        counted.unpivot(["__dq_rows"], names, "column", "n_null")
+        counted.unpivot(["__dq_rows"], [quoted(c) for c in names], "column", "n_null")
         .filter(F.col("n_null") > 0)
         .select("column", "n_null", (F.col("n_null") / F.col("__dq_rows")).alias("null_rate"))
     )
@@ -51,15 +52,16 @@ def surplus_rows(
 
     A row with a NULL in its key has no distinct key, so it counts as surplus. ``digest`` compares
     SHA-256 digests, for long text keys: the shuffle then moves 64 characters per key. With a
-    ``relative_error`` the distinct count is estimated without any shuffle of keys.
+    ``relative_error`` the distinct count is estimated without any shuffle of keys, and an estimate
+    above the number of rows counts as no surplus.
     """
-    columns = [F.sha2(F.col(c), 256) if digest else F.col(c) for c in keys]
+    columns = [F.sha2(quoted(c).cast("string").cast("binary"), 256) if digest else quoted(c) for c in keys]
     if relative_error is not None:
         complete = F.when(~F.greatest(*(c.isNull() for c in columns), F.lit(False)), F.struct(*columns))
         distinct = F.approx_count_distinct(F.xxhash64(complete) if len(columns) > 1 else columns[0], relative_error)
     else:
         distinct = F.count_distinct(*columns)
-    return df.agg((F.count(F.lit(1)) - distinct).alias("duplicate_rows"))
+    return df.agg(F.greatest(F.count(F.lit(1)) - distinct, F.lit(0).cast("bigint")).alias("duplicate_rows"))
 
 
 def malformed_count(df: DataFrame, rule: Matches) -> DataFrame:

@@ -35,4 +35,6 @@ def standardize(df: DataFrame, standards: Standards) -> DataFrame:
     formed |= {c: forms.days_between(start, end) for c, (start, end) in standards.day_spans.items()}
     formed |= {c: forms.tidy_code(c) for c in standards.codes}
     formed |= {c: forms.tidy_name(c) for c in standards.names}
+    formed |= {c: forms.as_number(c) for c in standards.numbers}
+    formed |= {c: forms.as_whole(c) for c in standards.integers}
     return df.withColumns(formed) if formed else df

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulint.functions.row_hash import quoted, refuse_reserved
 from tabulint.functions.rules import RuleSet
 from tabulint.operators.dedup import GRADE, ROWS, keep_latest, latest_grade, mark_superseded
 from tabulint.operators.standardize import standardize, standardize_codes
@@ -34,6 +35,20 @@ def stages_passed(rules: RuleSet) -> Column:
     return passed
 
 
+def _normalized(df: DataFrame, rules: RuleSet, normalize_first: bool) -> DataFrame:
+    refuse_reserved(df, PASSED, SUPERSEDED)
+    return standardize_codes(df, *rules.standards.codes) if normalize_first else df
+
+
+def latest(df: DataFrame, rules: RuleSet) -> DataFrame:
+    """The rows that the dedup of ``clean`` keeps, unfiltered: on ties the row that gets through more stages.
+
+    ``latest``, ``keep_valid`` with the rules and ``standardize`` in turn give what ``clean`` gives.
+    """
+    graded = _normalized(df, rules, False).withColumn(PASSED, stages_passed(rules))
+    return keep_latest(graded, rules.key, leading=(PASSED,)).drop(PASSED)
+
+
 def clean(df: DataFrame, rules: RuleSet, *, normalize_first: bool = False) -> DataFrame:
     """The clean table, as one lazy plan with a single shuffle.
 
@@ -41,21 +56,20 @@ def clean(df: DataFrame, rules: RuleSet, *, normalize_first: bool = False) -> Da
     the dedup only reads that number. ``normalize_first`` tidies the codes before they are checked,
     which repairs codes that are only untidy. It is off by default: an untidy code is an invalid code.
     """
-    if normalize_first:
-        df = standardize_codes(df, *rules.standards.codes)
-    graded = df.withColumn(PASSED, stages_passed(rules))
-    latest = keep_latest(graded, rules.key, leading=(PASSED,))
-    kept = latest.filter(F.col(PASSED) == len(rules.stages)).drop(PASSED)
+    graded = _normalized(df, rules, normalize_first).withColumn(PASSED, stages_passed(rules))
+    newest = keep_latest(graded, rules.key, leading=(PASSED,))
+    kept = newest.filter(F.col(PASSED) == len(rules.stages)).drop(PASSED)
     return standardize(kept, rules.standards)
 
 
-def funnel(df: DataFrame, rules: RuleSet) -> DataFrame:
+def funnel(df: DataFrame, rules: RuleSet, *, normalize_first: bool = False) -> DataFrame:
     """(stage, before, after, removed) for every stage of ``clean``, in one pass over the table.
 
     It reads only the key, the order value and the ruled columns; the shuffle carries one narrow row
     per key and map task. Stages that remove nothing are listed too, also on an empty table.
     """
     names = stage_names(rules)
+    df = _normalized(df, rules, normalize_first)
     best = latest_grade(df, rules.key, stages_passed(rules), grades=len(rules.stages) + 1)
     totals = best.agg(
         F.coalesce(F.sum(ROWS), F.lit(0)).alias("left_0"),
@@ -74,8 +88,8 @@ def funnel(df: DataFrame, rules: RuleSet) -> DataFrame:
     return totals.select(F.inline(F.array(*steps))).withColumn("removed", F.col("before") - F.col("after"))
 
 
-def flag_rows(df: DataFrame, rules: RuleSet, **hot_key_options) -> DataFrame:
-    """Every input row, unchanged, plus ``first_failed_stage`` and ``failed_rules``.
+def flag_rows(df: DataFrame, rules: RuleSet, *, normalize_first: bool = False, **hot_key_options) -> DataFrame:
+    """Every input row, unchanged (with ``normalize_first`` its codes tidied), plus ``first_failed_stage`` and ``failed_rules``.
 
     ``first_failed_stage`` is the stage of ``clean`` that drops the row, or the kept stage. ``failed_rules``
     lists all rules the row breaks, so it can name rules of later stages too. To store the clean rows
@@ -83,6 +97,7 @@ def flag_rows(df: DataFrame, rules: RuleSet, **hot_key_options) -> DataFrame:
     Options are those of ``mark_superseded``.
     """
     names = stage_names(rules)
+    df = _normalized(df, rules, normalize_first)
     graded = df.withColumn(PASSED, stages_passed(rules))
     marked = mark_superseded(graded, rules.key, SUPERSEDED, leading=(PASSED,), **hot_key_options)
 
@@ -95,13 +110,13 @@ def flag_rows(df: DataFrame, rules: RuleSet, **hot_key_options) -> DataFrame:
     faultless = ~F.col(SUPERSEDED) & (F.col(PASSED) == len(rules.stages))
     broken = F.when(faultless, F.array().cast("array<string>")).otherwise(labels)
     return marked.select(
-        *(F.col(f"`{c}`") for c in df.columns),
+        *map(quoted, df.columns),
         stage.alias("first_failed_stage"),
         broken.alias("failed_rules"),
     )
 
 
-def rejected_rows(df: DataFrame, rules: RuleSet, **hot_key_options) -> DataFrame:
+def rejected_rows(df: DataFrame, rules: RuleSet, *, normalize_first: bool = False, **hot_key_options) -> DataFrame:
     """The rows ``clean`` drops, with the stage that drops them and all rules they break."""
-    flagged = flag_rows(df, rules, **hot_key_options)
+    flagged = flag_rows(df, rules, normalize_first=normalize_first, **hot_key_options)
     return flagged.filter(F.col("first_failed_stage") != stage_names(rules)[-1])

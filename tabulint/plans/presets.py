@@ -6,7 +6,8 @@ from dataclasses import replace
 
 from pyspark.sql import types as T
 
-from tabulint.functions.rules import InRange, Matches, RuleSet, Stage, Standards, UniqueKey
+from tabulint.functions.rules import InRange, IsNull, Matches, RuleSet, Stage, Standards, UniqueKey
+from tabulint.sources.tables import CSV_CORRUPT
 
 # The code pattern, the vital ranges (inclusive) with their report labels and counter
 # names, and the malformed example codes.
@@ -62,6 +63,21 @@ ADMISSIONS_SCHEMA = T.StructType(
     ]
 )
 
+# The same table as CSV holds it: all text, so that a value that is no number can be told from a missing
+# one, with the line itself where a line does not fit the columns.
+ADMISSIONS_TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in ADMISSIONS_SCHEMA.fields])
+WHOLE_VITALS = tuple(f.name for f in ADMISSIONS_SCHEMA.fields if f.dataType == T.IntegerType())
+TEXT_VITALS = tuple(replace(rule, text=True, whole=rule.column in WHOLE_VITALS) for rule in VITALS)
+ADMISSIONS_TEXT = RuleSet(
+    key=PATIENT_KEY,
+    stages=(Stage("readable", (IsNull(CSV_CORRUPT, label="corrupt_line"),)), Stage("icd10", (CODE,)), Stage("vitals", TEXT_VITALS)),
+    standards=replace(
+        ADMISSIONS.standards,
+        numbers=tuple(rule.column for rule in VITALS if rule.column not in WHOLE_VITALS),
+        integers=WHOLE_VITALS,
+    ),
+)
+
 # Latest order per customer; several orders of one customer can share a date, hence the tie-break.
 LATEST_ORDERS = RuleSet(
     key=UniqueKey(("o_custkey",), order_by="o_orderdate", tiebreak=("o_orderkey",)),
@@ -72,6 +88,10 @@ LATEST_ORDERS = RuleSet(
     standards=Standards(dates=("o_orderdate",), names=("o_orderpriority",)),
 )
 
+# Orders by status share their latest date in great numbers, and some of these are faulty: ties that
+# the stages decide.
+TIED_ORDERS = replace(LATEST_ORDERS, key=UniqueKey(("o_orderstatus",), order_by="o_orderstatus"))
+
 LINE_KEY = UniqueKey(("l_orderkey", "l_linenumber"), order_by="l_shipdate")
 EVENT_VALUE = InRange("value", 1, 400, label="value")
 CUSTOMER_NAME = Matches("c_name", r"^Customer#[0-9]{9}$")

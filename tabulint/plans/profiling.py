@@ -32,14 +32,12 @@ def profile_report(df: DataFrame, rules: RuleSet, guard: Column | None = None) -
     # (section, metric, aggregate, reported only when above zero)
     measures: list[tuple[str, str, Column, bool]] = [
         ("shape", "rows", n_rows, False),
-        ("shape", "columns", F.max(F.lit(len(df.columns))), False),
         *(("null_count", c, p.null_count(c), True) for c in df.columns),
         *(("invalid_format", r.column, F.count_if(r.malformed()), False) for r in formats),
         *(("out_of_range", r.counter_name, p.out_of_range_count(r, guard), True) for r in ranges),
         *(("unparsable_date", c, F.count_if(unparsable_date(c)), True) for c in dates),
     ]
     summary = df.agg(
-        n_rows.alias("n_rows"),
         *(value.cast("double").alias(f"m{i}") for i, (_, _, value, _) in enumerate(measures)),
     )
 
@@ -51,12 +49,11 @@ def profile_report(df: DataFrame, rules: RuleSet, guard: Column | None = None) -
             F.lit(hide_zero).alias("hide_zero"),
         )
 
-    cells = []
+    cells = [cell("shape", "columns", F.lit(float(len(df.columns))), False)]
     for i, (section, metric, _, hide_zero) in enumerate(measures):
-        value = F.lit(float(len(df.columns))) if metric == "columns" else F.col(f"m{i}")
-        cells.append(cell(section, metric, value, hide_zero))
+        cells.append(cell(section, metric, F.col(f"m{i}"), hide_zero))
         if section == "null_count":
-            cells.append(cell("null_rate", metric, F.try_divide(F.col(f"m{i}"), F.col("n_rows")), True))
+            cells.append(cell("null_rate", metric, F.try_divide(F.col(f"m{i}"), F.col("m0")), True))
     measured = (
         summary.select(F.inline(F.array(*cells)))
         .filter(~F.col("hide_zero") | (F.col("value") > 0))

@@ -23,6 +23,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -72,7 +72,7 @@ RULES = RuleSet(
 )
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 3, "slices": 5}])
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 3, "slice_rows": 2}])
 def test_flags(case, options):
     rows, df = case
     kept = winners(rows)
@@ -117,7 +117,7 @@ def test_ties_without_declared_tiebreak(case):
     for row in rows:
         best[row[0]] = max(best[row[0]], (day(row[1]) or datetime.date.min, passed(row)))
     assert counts[-1].after == sum(grade == 2 for _, grade in best.values())
-    flagged = cleaning.flag_rows(df.drop("row"), rules, hot_rows=3, slices=2)
+    flagged = cleaning.flag_rows(df.drop("row"), rules, hot_rows=3, slice_rows=2)
     assert flagged.filter("first_failed_stage = '4_kept'").count() == counts[-1].after
 
 

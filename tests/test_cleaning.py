@@ -65,7 +65,7 @@ def test_three_notions_of_duplicate_on_null_keys(spark):
     group = checks.duplicate_keys(df, KEY).collect()
     assert [(g.k, g.occurrence_count) for g in group] == [(None, 2)]
     assert keep_latest(df, KEY).count() == 1
-    marked = mark_superseded(df, KEY, "dup", hot_rows=0, slices=3)
+    marked = mark_superseded(df, KEY, "dup", hot_rows=0, slice_rows=1)
     assert sorted((r.t, r.dup) for r in marked.collect()) == [(1, True), (2, False)]
 
 
@@ -240,7 +240,7 @@ def test_hot_key_holds_a_third(skewed):
     assert skewed.filter("patient_id = 'P0000001'").count() * 3 > skewed.count()
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 100}, {"hot_rows": 0}, {"hot_rows": 100, "slices": 3}])
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 100}, {"hot_rows": 0}, {"hot_rows": 100, "slice_rows": 50}])
 def test_hot_keys_in_slices_equal_one_window(skewed, options):
     flagged = cleaning.flag_rows(skewed, RULES, **options)
     assert bag(flagged.drop("first_failed_stage", "failed_rules")) == bag(skewed)

@@ -1,5 +1,7 @@
 """Planted defects are found, whole and nothing else."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,8 +62,7 @@ def test_invalid_codes_are_all_found(sound):
 @pytest.mark.parametrize("distance", [1, 0.5])
 def test_out_of_range_values_are_all_found(sound, distance):
     hit = inject.one_in(patient_number(), 30, seed=4)
-    # half a step outside is not representable in the integer columns
-    rules = [r for r in presets.VITALS if distance == 1 or r.column not in ("diastolic_bp_mmhg", "oxygen_sat_pct")]
+    rules = presets.VITALS
     planted = inject.inject_out_of_range(sound, hit, patient_number(), rules, distance)
     assert planted.schema == sound.schema
     found = checks.range_failures(planted, presets.VITALS, ("patient_id",))
@@ -69,7 +70,8 @@ def test_out_of_range_values_are_all_found(sound, distance):
     assert {r.flagged_fields for r in found.collect()} == {", ".join(r.name for r in rules)}
     for rule in rules:
         values = {r[0] for r in found.select(rule.column).distinct().collect()}
-        assert values == {rule.lo - distance, rule.hi + distance}
+        step = 1 if rule.column in presets.WHOLE_VITALS else distance  # whole numbers move to the next one
+        assert values == {rule.lo - step, rule.hi + step}
 
 
 def test_injection_is_the_same_on_any_partitioning(sound):
@@ -96,21 +98,43 @@ def test_one_in_picks_the_right_share(spark):
 def test_large_and_negative_keys_do_not_overflow(spark):
     df = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (-1,)], "k bigint")
     values = [r[0] for r in df.select(inject.scramble(F.col("k"), 5)).collect()]
-    assert all(0 <= v < inject.SCRAMBLE_MODULUS for v in values)
+    assert all(0 <= v < inject.NUMBERS for v in values)
+
+
+def number(key, seed=0):
+    text = f"{'NULL' if key is None else key}:{seed}".encode()
+    return int(hashlib.md5(text).hexdigest()[: inject.DIGITS], 16)
+
+
+def test_k_rows_equal_brute_force(spark):
+    keys = [None, -3, -1, 0, 2**63 - 1, *(i * 1_000_003 for i in range(1, 9)), *range(10, 30)]
+    df = spark.createDataFrame([(k, f"row {k}") for k in keys], "k bigint, v string").repartition(3)
+    for k in (*range(0, len(keys) + 2, 4), 1, len(keys), len(keys) + 1):
+        chosen = [r.k for r in inject.select_k_rows(df, k, "k", seed=2).collect()]
+        assert sorted(chosen, key=number) == sorted(sorted(keys, key=lambda x: number(x, 2))[:k], key=number)
+
+
+def test_k_rows_refuse_to_cut_between_equal_keys(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k bigint")
+    first = min((1, 2), key=number)
+    whole = 2 if first == 1 else 1
+    assert {r.k for r in inject.select_k_rows(df, whole, "k").collect()} == {first}
+    with pytest.raises(Exception, match="share the key"):
+        inject.select_k_rows(df, 1 if first == 1 else 2, "k").collect()
 
 
-@pytest.mark.parametrize("k", [1, 799, 1499, 1500, 5000])
-def test_large_k_chooses_the_same_rows(spark, sf_small, k):
+def test_k_rows_move_no_whole_rows_into_one_task(spark, sf_small):
     df = read_table(spark, f"{sf_small}/orders.parquet")
-    small = inject.select_k_rows(df, k, "o_orderkey", seed=7)
-    large = inject.select_k_rows(df, k, "o_orderkey", seed=7, merge_rows=0)
-    assert large.columns == df.columns
-    assert sorted(r[0] for r in large.collect()) == sorted(r[0] for r in small.collect())
-
-
-def test_large_k_cuts_inside_a_scrambled_number(spark):
-    df = spark.createDataFrame([(i + j * inject.SCRAMBLE_MODULUS,) for i in range(20) for j in range(10)], "k bigint")
-    for k in (5, 55, 100, 200):
-        small = {r.k for r in inject.select_k_rows(df, k, "k").collect()}
-        large = [r.k for r in inject.select_k_rows(df, k, "k", merge_rows=0).collect()]
-        assert len(large) == k and set(large) == small
+    plan = inject.select_k_rows(df, 700, "o_orderkey")._jdf.queryExecution().executedPlan().toString()
+    main = plan.split("Subqueries")[0]
+    assert "Exchange" not in main.split("Subquery")[0] and "o_comment" not in "".join(
+        line for line in plan.splitlines() if "SinglePartition" in line
+    )
+
+
+@pytest.mark.parametrize("every", [10**6, 10**7, 10**9])
+def test_one_in_has_no_limit(every):
+    """By arithmetic: the numbers that are picked are spread over the whole range, 1 in ``every``."""
+    assert inject.NUMBERS // every > 10**8
+    picked = len(range(0, inject.NUMBERS, every)) / inject.NUMBERS
+    assert abs(picked * every - 1) < 1e-8

@@ -13,6 +13,7 @@ from tabulint.plans import cleaning, presets
 from tabulint.sources import tables
 
 import __spark_entry__ as driver
+from tabulint.catalog import QUERIES
 
 RULES = presets.ADMISSIONS
 
@@ -144,9 +145,9 @@ def test_bucketed_table_needs_no_shuffle(spark, stored, capsys):
         spark.sql("DROP TABLE bucketed_records")
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join_anywhere(spark, sf_small, capsys, name):
-    text = plan(driver.queries()[name](spark, sf_small), capsys)
+    text = plan(QUERIES[name](spark, sf_small), capsys)
     for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in text
 

@@ -57,6 +57,42 @@ def test_unfitting_fields_become_null_and_are_kept_aside(spark, tmp_path):
     assert [r.b for r in tables.read_csv(spark, str(tmp_path), schema).orderBy("a").collect()] == [2.5, None]
 
 
+def test_text_preset_rejects_what_is_no_number(spark, tmp_path):
+    names = [f.name for f in presets.ADMISSIONS_TEXT_SCHEMA.fields]
+    good = ["P1", "a", "b", "1950-01-01", "2020-01-01", "2020-01-03", "A00", "d", "80.0", "120", "80.0", "37.0", "97.0", "70"]
+    rows = [good, *([f"P{i}", *good[1:]] for i in range(2, 8))]
+    rows[1][8], rows[2][10], rows[3][12], rows[4][12], rows[5][8] = "fast", "200.0", "130.0", "97.5", ""
+    lines = [",".join(names), *(",".join(r) for r in rows), "P8,a,b"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    df = tables.read_csv(spark, str(tmp_path), presets.ADMISSIONS_TEXT_SCHEMA, keep_corrupt=True)
+    kept = cleaning.clean(df, presets.ADMISSIONS_TEXT).drop(tables.CSV_CORRUPT)
+    assert sorted(r.patient_id for r in kept.collect()) == ["P1", "P6", "P7"]
+    typed = cleaning.clean(spark.createDataFrame([], presets.ADMISSIONS_SCHEMA), presets.ADMISSIONS)
+    assert kept.dtypes == typed.dtypes
+    rejected = {r.patient_id: (r.first_failed_stage, r.failed_rules) for r in cleaning.rejected_rows(df, presets.ADMISSIONS_TEXT).collect()}
+    assert rejected.pop("P8")[0] == "2_readable"
+    assert rejected == {
+        "P2": ("4_vitals", ["heart_rate: not_numeric"]),
+        "P3": ("4_vitals", ["diastolic_bp"]),
+        "P4": ("4_vitals", ["oxygen_sat"]),
+        "P5": ("4_vitals", ["oxygen_sat: not_numeric"]),
+    }
+
+
+def test_scratch_path_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.scratch_path(Session, "t")
+    Context.master = "local[2]"
+    assert "run-" in tables.scratch_path(Session, "t")
+
+
 def test_inference_is_a_fallback(spark, tmp_path):
     (tmp_path / "in.csv").write_text("a,b,d\n1,2.5,2020-01-01\n")
     assert dict(tables.read_csv(spark, str(tmp_path)).dtypes) == {"a": "int", "b": "double", "d": "date"}
