@@ -19,5 +19,48 @@ SELECT l.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone_a
             ELSE coalesce(list_aggregate(list_filter(lines, lambda x, i: NOT list_contains(gone_at, i)), 'string_agg', chr(10)), '')
        END AS kept_text
 FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id
+""",
+    "op6_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS words FROM documents
+), win AS (
+  SELECT doc_id, p, array_to_string(words[p:p + 34], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS p FROM w)
+), again AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY s) AS n FROM win) WHERE n > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT q) AS gone_at FROM (SELECT doc_id, unnest(range(p, p + 35)) AS q FROM again) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone_at), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(
+         CASE WHEN gone_at IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(gone_at, i)) END, ' '), '')) AS kept_sha256
+FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id
+""",
+    "op4_suffix_dedup": r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS piece
+  FROM (SELECT doc_id, h, unnest(range(0, CAST(length(h) // 2 AS BIGINT) - 99)) AS p FROM d)
+), later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY piece ORDER BY doc_id, p) AS n FROM s) WHERE n > 1
+), marked AS (
+  SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS new FROM later
+), numbered AS (
+  SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked
+), spans AS (
+  SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, span
+), kept AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM spans
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(b), 0), CAST(length(any_value(h)) // 2 AS BIGINT) FROM d LEFT JOIN spans ON spans.doc_id = d.doc_id GROUP BY d.doc_id
+), texts AS (
+  SELECT d.doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS kept_hex FROM kept JOIN d ON d.doc_id = kept.doc_id GROUP BY d.doc_id
+), sums AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept_hex)) AS kept_sha256
+FROM d JOIN texts ON texts.doc_id = d.doc_id LEFT JOIN sums ON sums.doc_id = d.doc_id
 """,
 }
