@@ -263,3 +263,19 @@ def test_flags_on_a_joined_input(spark, skewed):
     """Spark cannot name the file of a joined row; contents alone then spread the hot key."""
     joined = skewed.join(skewed.select("patient_id").distinct(), "patient_id")
     assert bag(cleaning.flag_rows(joined, RULES, hot_rows=10)) == bag(cleaning.flag_rows(skewed, RULES).select(*joined.columns, "first_failed_stage", "failed_rules"))
+
+
+def test_a_key_with_nine_tenths_of_the_rows(spark, skewed, tmp_path):
+    """Slices follow the key's count, and whole rows are shuffled once beside the search for winners."""
+    most = F.when(F.xxhash64("patient_id", "admission_date") % 10 != 0, F.lit("P0000001")).otherwise(F.col("patient_id"))
+    skewed.withColumn("patient_id", most).write.parquet(str(tmp_path / "most"))
+    df = spark.read.parquet(str(tmp_path / "most"))
+    assert df.filter("patient_id = 'P0000001'").count() > 0.85 * df.count()
+    for slice_rows in (10, 400):
+        flagged = cleaning.flag_rows(df, RULES, hot_rows=100, slice_rows=slice_rows)
+        kept = flagged.filter("first_failed_stage != '1_dedup'").drop("first_failed_stage", "failed_rules")
+        graded = df.withColumn("passed", cleaning.stages_passed(RULES))
+        assert bag(kept) == bag(keep_latest(graded, RULES.key, leading=("passed",)).drop("passed"))
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert sum("Exchange hashpartitioning(patient_id" in line and "__dq_slice#" in line for line in plan.splitlines()) == 1
