@@ -2,11 +2,13 @@
 
 Equal windows lie in regions of one name (see ``regions``). Regions of a name meet in one shuffle of
 narrow rows; equal regions are settled there, and only regions that share a name but differ are
-fetched with their text and compared inside, group by group.
+fetched with their text and compared inside, group by group. Where very many different regions share
+a name, single windows are settled in the same way as regions, by digests.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,7 +22,7 @@ from tabulint.llm.regions import Regions, regions, sequence_sums
 from tabulint.llm.storage import stored
 from tabulint.llm.words import gram_hash, mixed, prefix_hash, slices, spaces, span_hash, word_bounds
 
-# A name with more different regions than this is dealt out by what its windows hold.
+# A name with more different regions than this is settled window by window, not in one shard.
 GROUP_REGIONS = 2000
 SHARD_UNITS = 1 << 20
 
@@ -104,77 +106,88 @@ def narrow_regions(docs: DataFrame, units: Units, key: str) -> DataFrame:
 
 
 def settled(found: DataFrame, keep_first: bool) -> DataFrame:
-    """(id, first, n, name, shards, gone, open): regions that go whole, and regions to be compared inside.
+    """(id, first, n, name, crowded, gone, open): regions that go whole, and regions to be compared inside.
 
     A region goes if an equal one comes before it or, without ``keep_first``, anywhere else. Of equal
     regions the first is compared, with all different regions of its name, or with itself if its name
-    occurs in it twice. ``shards`` tells into how many a group is dealt.
+    occurs in it twice. ``crowded`` tells that there are more than GROUP_REGIONS of these.
     """
-    group = Window.partitionBy("name", F.col("kind") == 2)
+    group = Window.partitionBy("name", "copy")
     sort = group.orderBy("digest", "id", "first")
     before = F.lag(F.struct("digest", "id", "first")).over(sort)
-    after = F.lead("digest").over(sort)
-    rows = found.withColumn("before", before).withColumn("after", after)
+    rows = found.withColumn("copy", F.col("kind") == 2)
+    rows = rows.withColumn("before", before)
+    equal = F.coalesce(F.col("before.digest") == F.col("digest"), F.lit(False))
     # a repeated row of one document is that document
-    rows = rows.withColumn("again", F.coalesce((F.col("before.digest") == F.col("digest")) & (F.col("before.id") == F.col("id")) & (F.col("before.first") == F.col("first")), F.lit(False)))
-    later = F.coalesce(F.col("before.digest") == F.col("digest"), F.lit(False)) & ~F.col("again")
-    rows = rows.withColumn("later", later | (F.col("kind") == 2))
-    different = F.sum(F.when(F.col("later") | F.col("again"), 0).otherwise(1)).over(group)
+    rows = rows.filter(~(equal & (F.col("before.id") == F.col("id")) & (F.col("before.first") == F.col("first"))))
+    rows = rows.withColumn("later", equal | F.col("copy")).withColumn("after", F.lead("digest").over(sort))
+    different = F.sum(F.when(F.col("later"), 0).otherwise(1)).over(group)
     gone = F.col("later") if keep_first else F.col("later") | (F.col("kind") == 1) | F.coalesce(F.col("after") == F.col("digest"), F.lit(False))
     rows = rows.withColumn("different", different).withColumn("gone", gone)
-    rows = rows.withColumn("open", ~F.col("later") & ~F.col("again") & (F.col("inner") | (F.col("different") > 1)))
-    return rows.filter((F.col("gone") & ~F.col("again")) | F.col("open")).select(
-        "id", "first", "n", "name", F.ceil(F.col("different") / GROUP_REGIONS).cast("int").alias("shards"), "gone", "open"
+    rows = rows.withColumn("open", ~F.col("later") & (F.col("inner") | (F.col("different") > 1)))
+    return rows.filter("gone OR open").select(
+        "id", "first", "n", "name", (F.col("different") > GROUP_REGIONS).alias("crowded"), "gone", "open"
     )
 
 
 def open_texts(docs: DataFrame, regions_: DataFrame, units: Units, key: str) -> DataFrame:
-    """(name, shard, id, first, n, body): the regions to be compared, with their text.
+    """(name, id, first, n, body, digest): the regions to be compared, with their text.
 
-    A group of many regions is dealt into shards by the hash of each window, window by window, so that
-    equal windows still meet and no shard grows with the group.
+    The regions of crowded names come window by window instead, with a digest of 128 bits for a body.
     """
-    wanted = regions_.filter("open").groupBy("id").agg(F.collect_list(F.struct("first", "n", "name", "shards")).alias("regions"))
+    wanted = regions_.filter("open").groupBy("id").agg(F.collect_list(F.struct("first", "n", "name", "crowded")).alias("regions"))
     texts = docs.select(F.col(key).alias("of"), "text").join(wanted, F.col("of") == F.col("id")).select("id", "text", "regions")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[tuple] = []
-            bodies: list[bytes] = []
+            bodies: list[bytes | None] = []
+            digests: list[bytes | None] = []
             for i in range(batch.num_rows):
                 rows = batch.column("regions")[i].values
-                first, n, name, shards = (rows.field(c).to_numpy() for c in ("first", "n", "name", "shards"))
-                dealt = np.where(shards > 1, n, 1)
+                first, n, name = (rows.field(c).to_numpy() for c in ("first", "n", "name"))
+                crowded = rows.field("crowded").to_numpy(zero_copy_only=False)
+                dealt = np.where(crowded, n, 1)
                 at = np.repeat(np.arange(len(n)), dealt)
                 inside = np.arange(len(at)) - np.repeat(np.cumsum(dealt) - dealt, dealt)
-                first, n, name, shards = first[at] + inside, np.where(shards > 1, 1, n)[at], name[at], shards[at]
-                found = units.cut(batch.column("text")[i].as_py().encode(), first, n)
-                shard = np.array([hash_of(b) % s if s > 1 else 0 for b, s in zip(found, shards.tolist())], np.int32)
-                parts.append((name, shard, np.full(len(at), i), first, n))
-                bodies += found
+                alone = crowded[at]
+                first, n, name = first[at] + inside, np.where(alone, 1, n[at]), name[at]
+                for body, single in zip(units.cut(batch.column("text")[i].as_py().encode(), first, n), alone):
+                    bodies.append(None if single else body)
+                    digests.append(hashlib.md5(body).digest() if single else None)
+                parts.append((name, np.full(len(at), i), first, n))
             if parts:
-                name, shard, row, first, n = (np.concatenate(x) for x in zip(*parts))
+                name, row, first, n = (np.concatenate(x) for x in zip(*parts))
                 ids = batch.column("id").take(pa.array(row))
-                columns = [pa.array(name), pa.array(shard), ids, pa.array(first), pa.array(n), pa.array(bodies, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["name", "shard", "id", "first", "n", "body"])
+                columns = [pa.array(name), ids, pa.array(first), pa.array(n), pa.array(bodies, pa.binary()), pa.array(digests, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["name", "id", "first", "n", "body", "digest"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return texts.mapInArrow(fetch, f"name long, shard int, id {kind}, first long, n long, body binary")
+    return texts.mapInArrow(fetch, f"name long, id {kind}, first long, n long, body binary, digest binary")
 
 
-def hash_of(body: bytes) -> int:
-    data = np.frombuffer(body, np.uint8)
-    return int(span_hash(prefix_hash(data), np.array([0]), np.array([len(data)]))[0])
+def crowded_windows(texts: DataFrame, keep_first: bool) -> DataFrame:
+    """(id, first, n): the windows of crowded names that go.
+
+    Their first places and numbers are added up before the shuffle, so however many documents share a
+    window, a task sends one row of it, and the join back splits it where it is hot.
+    """
+    windows = texts.filter("digest IS NOT NULL").select("digest", "id", "first", "n")
+    firsts = windows.groupBy("digest").agg(F.min(F.struct("id", "first")).alias("least"), F.count(F.lit(1)).alias("times"))
+    again = windows.join(firsts.filter("times > 1"), "digest")
+    if keep_first:
+        again = again.filter((F.col("id") != F.col("least.id")) | (F.col("first") != F.col("least.first")))
+    return again.select("id", "first", "n")
 
 
-Compare = Callable[[list[tuple[int, int]], np.ndarray, list[bytes]], np.ndarray]
+Compare = Callable[[list[int], np.ndarray, list[bytes]], np.ndarray]
 
 
 def compared(texts: DataFrame, compare: Compare) -> DataFrame:
     """(id, first, n): the window starts that ``compare`` finds to go.
 
     Groups arrive one after the other, sorted by key and place, and are handed over in shards of about
-    SHARD_UNITS bytes, whole groups each: (name, shard) per region, its number of window starts, and
+    SHARD_UNITS bytes, whole groups each: the name of each region, its number of window starts, and
     its text. ``compare`` gives a flag per start, region after region.
     """
     kind = texts.schema["id"].dataType.simpleString()
@@ -184,35 +197,37 @@ def compared(texts: DataFrame, compare: Compare) -> DataFrame:
         size = 0
         for batch in batches:
             kind_of_id = batch.column("id").type
-            for row in zip(*(batch.column(c).to_pylist() for c in ("name", "shard", "id", "first", "n", "body"))):
-                if size >= SHARD_UNITS and row[:2] != held[-1][:2]:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("name", "id", "first", "n", "body"))):
+                if size >= SHARD_UNITS and row[0] != held[-1][0]:
                     yield from closed(held, kind_of_id)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[4])
         if held:
             yield from closed(held, kind_of_id)
 
     def closed(held: list[tuple], kind_of_id: pa.DataType) -> Iterator[pa.RecordBatch]:
-        n = np.array([row[4] for row in held])
-        gone = compare([row[:2] for row in held], n, [row[5] for row in held])
+        n = np.array([row[3] for row in held])
+        gone = compare([row[0] for row in held], n, [row[4] for row in held])
         region = np.repeat(np.arange(len(held)), n)
         start = np.arange(len(gone)) - np.repeat(np.cumsum(n) - n, n)
         begins = np.flatnonzero(gone & np.r_[True, ~gone[:-1] | (region[1:] != region[:-1])])
         ends = np.flatnonzero(gone & np.r_[~gone[1:] | (region[1:] != region[:-1]), True])
         if len(begins):
-            first = np.array([row[3] for row in held])[region[begins]] + start[begins]
-            ids = pa.array([held[r][2] for r in region[begins]], kind_of_id)
+            first = np.array([row[2] for row in held])[region[begins]] + start[begins]
+            ids = pa.array([held[r][1] for r in region[begins]], kind_of_id)
             yield pa.RecordBatch.from_arrays([ids, pa.array(first), pa.array(ends - begins + 1)], ["id", "first", "n"])
 
-    grouped = texts.repartition("name", "shard").sortWithinPartitions("name", "shard", "id", "first")
+    whole = texts.filter("body IS NOT NULL").drop("digest")
+    grouped = whole.repartition("name").sortWithinPartitions("name", "id", "first")
     return grouped.mapInArrow(run, RUNS.format(key=kind))
 
 
 def runs_to_remove(docs: DataFrame, units: Units, compare: Compare, *, key: str, keep_first: bool) -> DataFrame:
     """(id, runs): for each document that loses something, its runs (first, n) of window starts that go."""
     known = stored(settled(narrow_regions(docs, units, key), keep_first), "regions")
-    inside = compared(open_texts(docs, known, units, key), compare)
+    texts = stored(open_texts(docs, known, units, key), "texts")
+    inside = compared(texts, compare).unionByName(crowded_windows(texts, keep_first))
     runs = known.filter("gone").select("id", "first", "n").unionByName(inside)
     return runs.groupBy("id").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
 
@@ -226,8 +241,8 @@ def covered(size: int, first: np.ndarray, n: np.ndarray, window: int) -> np.ndar
 
 
 def runs_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first, n) of the runs of one row; none for NULL."""
-    runs = batch.column("runs")[i]
+    """(first, n) of the ``__runs`` of one row; none for NULL."""
+    runs = batch.column("__runs")[i]
     if not runs.is_valid:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return runs.values.field("first").to_numpy(), runs.values.field("n").to_numpy()

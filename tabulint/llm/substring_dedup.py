@@ -39,14 +39,14 @@ def deep_nodes(groups: np.ndarray, starts: np.ndarray, words: np.ndarray, depth:
 def repeated_starts(window: int):
     """Flags the window starts whose word sequence another start of the shard has."""
 
-    def compare(groups: list[tuple[int, int]], n: np.ndarray, bodies: list[bytes]) -> np.ndarray:
+    def compare(groups: list[int], n: np.ndarray, bodies: list[bytes]) -> np.ndarray:
         number: dict[bytes, int] = {}
         words, sizes = [], []
         for body in bodies:
             part = [number.setdefault(w, len(number)) for w in body.split(b" ")]
             words += part
             sizes.append(len(part))
-        roots: dict[tuple[int, int], int] = {}
+        roots: dict[int, int] = {}
         root = np.array([roots.setdefault(g, len(roots)) for g in groups])
         begins = np.cumsum(sizes) - sizes
         starts = np.repeat(begins, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -63,10 +63,11 @@ def drop_repeated_words(docs: DataFrame, *, key: str = "doc_id", window: int = W
     starts anywhere else, in the same document too; all occurrences go. Sequences are judged on the
     input. A NULL text has no words; a text of fewer words than ``window`` stays whole, as does one whose
     key is NULL. Rows that repeat a document, key and text, count as one document; different texts need
-    different keys.
+    different keys. Columns that have the new names are replaced.
     """
+    docs = docs.drop("kept_text", "n_words", "n_removed")
     units = Units(window=window, gram=min(GRAM_WORDS, window), by_word=True)
-    gone = runs_to_remove(docs, units, repeated_starts(window), key=key, keep_first=False).withColumnRenamed("id", "__key")
+    gone = runs_to_remove(docs, units, repeated_starts(window), key=key, keep_first=False).withColumnsRenamed({"id": "__key", "runs": "__runs"})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,14 +79,14 @@ def drop_repeated_words(docs: DataFrame, *, key: str = "doc_id", window: int = W
                 kept.append(b" ".join([w for w, a in zip(words, away) if not a]) if len(first) else b" ".join(words))
                 sizes.append(len(words))
                 removed.append(int(away.sum()))
-            others = batch.drop_columns(["runs"])
+            others = batch.drop_columns(["__runs"])
             yield pa.RecordBatch.from_arrays(
                 [*others.columns, pa.array(kept, pa.binary()).cast(pa.string()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64())],
                 [*others.schema.names, "kept_text", "n_words", "n_removed"],
             )
 
     added = T.StructType([*docs.schema.fields]).add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
-    joined = docs.join(gone, docs[key] == gone["__key"], "left").select(*[docs[c] for c in docs.columns], "runs")
+    joined = docs.join(gone, docs[key] == gone["__key"], "left").select(*[docs[c] for c in docs.columns], F.col("__runs"))
     return joined.mapInArrow(cut, added)
 
 

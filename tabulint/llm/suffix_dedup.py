@@ -27,7 +27,7 @@ def later_starts(window: int):
     first place of a class stays.
     """
 
-    def compare(groups: list[tuple[int, int]], n: np.ndarray, bodies: list[bytes]) -> np.ndarray:
+    def compare(groups: list[int], n: np.ndarray, bodies: list[bytes]) -> np.ndarray:
         sizes = np.array([len(b) + 1 for b in bodies])
         begins = np.cumsum(sizes) - sizes
         text = np.full(sizes.sum() + 1, PART, np.uint16)
@@ -54,10 +54,11 @@ def drop_repeated_bytes(docs: DataFrame, *, key: str = "doc_id", window: int = W
     a smaller key, or further up in the same one. Strings are judged on the input and never cross
     documents. A NULL text counts as empty; a text shorter than ``window`` stays whole, as does one
     whose key is NULL. Rows that repeat a document, key and text, count as one document and lose the
-    same bytes; different texts need different keys.
+    same bytes; different texts need different keys. Columns that have the new names are replaced.
     """
+    docs = docs.drop("kept", "n_bytes", "n_removed", "spans")
     units = Units(window=window, gram=min(GRAM_BYTES, window), by_word=False)
-    gone = runs_to_remove(docs, units, later_starts(window), key=key, keep_first=True).withColumnRenamed("id", "__key")
+    gone = runs_to_remove(docs, units, later_starts(window), key=key, keep_first=True).withColumnsRenamed({"id": "__key", "runs": "__runs"})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,7 +73,7 @@ def drop_repeated_bytes(docs: DataFrame, *, key: str = "doc_id", window: int = W
                 removed.append(int(away.sum()))
                 spans.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            others = batch.drop_columns(["runs"])
+            others = batch.drop_columns(["__runs"])
             yield pa.RecordBatch.from_arrays(
                 [*others.columns, pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind)],
                 [*others.schema.names, "kept", "n_bytes", "n_removed", "spans"],
@@ -81,7 +82,7 @@ def drop_repeated_bytes(docs: DataFrame, *, key: str = "doc_id", window: int = W
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     added = T.StructType([*docs.schema.fields]).add("kept", "binary").add("n_bytes", "long").add("n_removed", "long")
     added = added.add("spans", T.ArrayType(span))
-    joined = docs.join(gone, docs[key] == gone["__key"], "left").select(*[docs[c] for c in docs.columns], "runs")
+    joined = docs.join(gone, docs[key] == gone["__key"], "left").select(*[docs[c] for c in docs.columns], F.col("__runs"))
     return joined.mapInArrow(cut, added)
 
 
