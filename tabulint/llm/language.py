@@ -155,8 +155,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and rejected.
 
     A text that is NULL or has no letter is UNKNOWN with score 0. Any other text gets a learned language;
-    ``rejected`` tells that its score is below what the calibration trusts.
+    ``rejected`` tells that its score is below what the calibration trusts. Columns that have the new names are replaced.
     """
+    docs = docs.drop("lang_pred", "score", "rejected")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def predictions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

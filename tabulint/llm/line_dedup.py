@@ -72,8 +72,9 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     lines they cover together. The first occurrence, by key and then by position, stays. Adds n_lines
     and n_removed (long). A NULL text stays NULL with no lines; a text without line feeds has one line,
     and texts of fewer than three lines are kept whole. The key must tell documents apart: rows that
-    share a key and a text lose the same lines, if any. A document all of whose lines go has an empty text.
+    share a key and a text lose the same lines, if any. A document all of whose lines go has an empty text. Columns that have the new names are replaced.
     """
+    docs = docs.drop("n_lines", "n_removed")
     found = later_windows(docs, key).withColumnRenamed(key, "__key")
     joined = docs.join(found, docs[key].eqNullSafe(found["__key"]), "left")
     result = joined.withColumn("__cut", _cut("text", "positions"))

@@ -92,18 +92,17 @@ def features(docs: DataFrame, wanted: DataFrame, table: np.ndarray, key: str) ->
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
             for first, found in wm.shingles(batch.column("text")):
+                rows = []
                 weight = wm.weights(found, sent.value)
                 for i, (a, b) in enumerate(zip(found.starts[:-1], found.starts[1:])):
                     if wm.digest(found, i) == batch.column("node")[first + i].as_py():
                         part = weight[a:b]
                         rows.append((first + i, found.hashes[a:b].tobytes(), part.tobytes(), float(part.sum(dtype=float))))
-            at, hashes, values, totals = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(pa.array(at, pa.int64())), pa.array(hashes, pa.binary()), pa.array(values, pa.binary()), pa.array(totals, pa.float64())],
-                ["node", "hashes", "weights", "total"],
-            )
+                if rows:
+                    at, hashes, values, totals = zip(*rows)
+                    columns = [batch.column("node").take(pa.array(at)), pa.array(hashes), pa.array(values), pa.array(totals)]
+                    yield pa.RecordBatch.from_arrays(columns, ["node", "hashes", "weights", "total"])
 
     texts = docs.select(F.col(key).alias("of"), "text").join(wanted, F.col("of").eqNullSafe(F.col("id")))
     found = texts.select("node", "text").mapInArrow(weigh, "node binary, hashes binary, weights binary, total double")
@@ -153,6 +152,7 @@ def near_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
             now = members.withColumn("label", F.col("node"))
         open_buckets = now.groupBy("bucket").agg(F.max("place").alias("top"), F.min("label").alias("x"), F.max("label").alias("y")).filter((F.col("x") != F.col("y")) & (F.col("top") > first)).select("bucket")
         now = stored(now.join(open_buckets, "bucket"), "open")
+        members = now.select("bucket", "node", "place")
         if now.isEmpty():
             if links is not None:
                 return links

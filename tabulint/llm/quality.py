@@ -200,7 +200,11 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text, 0 to 1; a NULL or empty text has the score of no n-grams."""
+    """``docs`` with the score of each whole text, 0 to 1; a NULL or empty text has the score of no n-grams.
+
+    A column that has the new name is replaced.
+    """
+    docs = docs.drop(name)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,4 @@
-"""Lets Python workers import this package wherever the driver found it."""
+"""Readies a session: workers can import this package, and get texts in batches of bounded size."""
 
 from __future__ import annotations
 
@@ -10,9 +10,19 @@ from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
 
+# Bytes of rows that a worker gets at once, unless the session says otherwise. What a task holds beside
+# Spark's own memory is a small multiple of it.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Hands the package's modules to the session's workers, once; a package that came as a zip is there already."""
+    """Hands the package's modules to the session's workers, once; a package that came as a zip is there already.
+
+    Where the session leaves the size of batches at Spark's default, it is set to BATCH_BYTES.
+    """
+    if spark.conf.get(BATCH_SETTING).rstrip("b") == str(64 << 20):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     package = Path(__file__).resolve().parent.parent
     context = spark.sparkContext
     if context.applicationId in _SHIPPED or not package.is_dir():

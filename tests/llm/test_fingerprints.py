@@ -1,0 +1,76 @@
+import hashlib
+import random
+
+import numpy as np
+
+from tabulint.llm import edit_embedding as ee
+from tabulint.llm.fingerprints import edited, edited_neighbours, fingerprints, near_copies
+
+
+def brute_walk(text):
+    """One walk, a step at a time."""
+    cells = np.zeros(ee.CELLS, np.uint8)
+    marks = [(int(ee.mixed((np.uint64(ord(c)) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))) >> 32) | 1 for c in text]
+    at = step = 0
+    while at < len(marks):
+        multipliers, sampled = ee.schedule().block(step // ee.BLOCK)
+        j = step % ee.BLOCK
+        if j in sampled:
+            value = (marks[at] * (int(multipliers[j]) ^ 0x5BD1E994) & 0xFFFFFFFF) >> 28
+            cells[sampled[j]] = max(value, 1)
+        at += (marks[at] * int(multipliers[j]) & 0xFFFFFFFF) >> 31
+        step += 1
+    return cells
+
+
+def test_walks_in_step_equal_single_walks():
+    with np.errstate(over="ignore"):
+        texts = ["", "a", "abc", "héllo wörld 🙂", "word " * 300, "x" * 1000]
+        found = ee.walk([ee.code_points(t) for t in texts])
+        assert all((row == brute_walk(t)).all() for row, t in zip(found, texts))
+
+
+def test_few_edits_stay_near_and_other_texts_do_not():
+    r = random.Random(1)
+    text = "".join(r.choice("abcdefgh ") for _ in range(4000))
+    other = "".join(r.choice("abcdefgh ") for _ in range(4000))
+    changed = text[:2000] + "zz" + text[2001:]
+    a, b, c = ee.walk([ee.code_points(t) for t in (text, changed, other)])
+    assert ee.likeness(a, b) > 0.6 > 0.4 > ee.likeness(a, c)
+    assert ee.likeness(a, a) == 1.0 and ee.likeness(np.zeros(ee.CELLS), np.zeros(ee.CELLS)) == 1.0
+
+
+def test_neighbours_equal_brute_force(odd, rows):
+    order = sorted(dict(rows), reverse=True)
+    following = dict(zip(order, order[1:] + order[:1]))
+    texts = {i: t or "" for i, t in rows}
+    for parts in (1, 7):
+        found = {r.doc_id: r for r in edited_neighbours(odd, parts=parts).collect()}
+        assert set(found) == set(texts)
+        for i, r in found.items():
+            changed = edited(texts[i], texts[following[i]])
+            assert r.n_chars == len(texts[i]) and r.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+            own, other = (ee.spelled(ee.walk([ee.code_points(t)])[0]) for t in (texts[i], changed))
+            assert (r.fingerprint, r.edited_fingerprint) == (own, other)
+            assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+            assert r.near_next == found[i].near_next
+        by_text = {}
+        for i, r in found.items():
+            assert by_text.setdefault(texts[i], r.fingerprint) == r.fingerprint
+
+
+def test_single_empty_and_repeated(llm, empty):
+    one = llm.createDataFrame([(1, "abcdef")], "doc_id long, text string")
+    assert edited_neighbours(one).first().edited_sha256 == hashlib.sha256(b"abcabc").hexdigest()
+    assert edited_neighbours(empty).count() == 0
+    same = llm.createDataFrame([(1, "ab"), (1, "ab"), (None, "cd"), (2, None)], "doc_id long, text string")
+    assert edited_neighbours(same, parts=3).count() == 4
+
+
+def test_near_copies(llm):
+    r = random.Random(3)
+    base = ["".join(r.choice("abcdefghij ") for _ in range(3000)) for _ in range(6)]
+    texts = [t for t in base for _ in range(3)] + [t[:-20] + "other end of the text" for t in base]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_copies(fingerprints(docs)).collect()}
+    assert all(found[i] == i // 3 * 3 for i in range(18)) and all(found[18 + g] == 3 * g for g in range(6))
