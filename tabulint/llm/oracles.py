@@ -2,7 +2,85 @@
 
 from __future__ import annotations
 
+# The primes of the public 64-bit xxHash, Spark's seed for it, and the CRC-32 polynomial.
+PRIME = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+SEED = 42
+POLYNOMIAL = 3988292384
+WORD = 2**64
+
+
+def times(a: str, b: int) -> str:
+    return f"CAST((CAST({a} AS UHUGEINT) * {b}) % {WORD} AS UBIGINT)"
+
+
+def plus(a: str, b: str) -> str:
+    return f"CAST((CAST({a} AS UHUGEINT) + {b}) % {WORD} AS UBIGINT)"
+
+
+def turned(a: str, bits: int) -> str:
+    """``a`` with its bits turned to the left."""
+    return f"({times(a, 2**bits)} + ({a} >> {64 - bits}))"
+
+
+def hashed(source: str, seed: str, value: str, out: str, *, size: int) -> list[str]:
+    """CTEs that add ``out`` to ``source``: the hash of a number of ``size`` bytes, from a seed column; NULL keeps the seed.
+
+    A step each, as SQL would repeat an expression for every use of its value. The last is named ``source_out``.
+    """
+    one, two, three, four, five = PRIME
+    number = f"CAST(CAST({value} AS HUGEINT) + CASE WHEN {value} < 0 THEN {WORD} ELSE 0 END AS UBIGINT)"
+    if size == 8:
+        steps = [times(number, two), times(turned("x", 31), one)]
+        mix = f"xor({plus(seed, str(five + 8))}, x)"
+        rest = [plus(times(turned("x", 27), one), str(four))]
+    else:
+        steps = [times(number, one)]
+        mix = f"xor({plus(seed, str(five + 4))}, x)"
+        rest = [plus(times(turned("x", 23), two), str(three))]
+    steps += [mix, *rest, "xor(x, x >> 33)", times("x", two), "xor(x, x >> 29)", times("x", three), "xor(x, x >> 32)"]
+    ctes, last = [], source
+    for i, step in enumerate(steps):
+        kept = "*" if i == 0 else "* EXCLUDE (x)"
+        ctes.append(f"{source}_{out}_{i} AS (SELECT {kept}, {step} AS x FROM {last})")
+        last = f"{source}_{out}_{i}"
+    ctes.append(f"{source}_{out} AS (SELECT * EXCLUDE (x), CASE WHEN {value} IS NULL THEN {seed} ELSE x END AS {out} FROM {last})")
+    return ctes
+
+
+def sharded(shards: int, extra_bytes: int, buckets: int) -> str:
+    steps = [
+        # CRC-32 a byte at a time, with the table of the polynomial
+        f"""crc_table AS (
+  SELECT list(list_reduce(list_prepend(CAST(n AS UBIGINT), [CAST(0 AS UBIGINT) FOR k IN range(8)]),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST({POLYNOMIAL} AS UBIGINT)) ELSE c >> 1 END) ORDER BY n) AS crcs
+  FROM range(256) t(n))""",
+        "spelt AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents)",
+        f"""d AS (
+  SELECT doc_id, CAST(length(h) // 2 AS BIGINT) + {extra_bytes} AS size,
+    CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+      list_transform(regexp_extract_all(h, '..'), lambda b: CAST('0x' || b AS UBIGINT))),
+      lambda c, b: xor(c >> 8, crcs[CAST(xor(c, b) % 256 AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) AS BIGINT) AS text_crc32,
+    CAST({SEED} AS UBIGINT) AS seed
+  FROM spelt, crc_table)""",
+        *hashed("d", "seed", "doc_id", "h1", size=8),
+        f"draws AS (SELECT d_h1.*, CAST(s AS BIGINT) AS s FROM d_h1, range({shards + 1}) t(s))",
+        *hashed("draws", "h1", "s", "h2", size=4),
+        f"""best AS (
+  SELECT doc_id, size, text_crc32, h1,
+    CAST(arg_max(s, (h2 >> 12) * 64 + 63 - s) FILTER (WHERE s < {shards}) AS INT) AS shard,
+    CAST(arg_max(s, (h2 >> 12) * 64 + 63 - s) AS INT) AS grown_shard
+  FROM draws_h2 GROUP BY ALL)""",
+        *hashed("best", "h1", "size", "h3", size=8),
+        *hashed("best_h3", "h3", "text_crc32", "h4", size=8),
+    ]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY h4 % {buckets}, doc_id, size, text_crc32) - 1 AS slot, grown_shard
+FROM best_h3_h4"""
+
+
 ORACLES: dict[str, str] = {
+    "op3_sharding": sharded(shards=40, extra_bytes=16, buckets=1024),
     "op10_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
