@@ -8,19 +8,25 @@ from pyspark.sql import functions as F
 from tabulint.llm.storage import stored
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b); the label is the least node of its component.
 
     Each round a node takes the least label among its own and its neighbours', and then the label of
-    that label, so that a chain shrinks by more than half; the rounds end when no label moves.
+    that label, so that a chain shrinks by more than half; the rounds end when no label moves. With a
+    number of ``rounds`` they end then: nodes of one label are connected, but not all connected nodes
+    have one label yet.
     """
     both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
     both = stored(both, "links")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("label")), "labels")
+    done = 0
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("of")).agg(F.min("label").alias("near"))
         hooked = labels.join(near, labels["node"] == near["of"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         hooked = stored(hooked, "labels")
+        done += 1
+        if done == rounds:
+            return hooked.select("node", "label")
         roots = hooked.select(F.col("node").alias("root"), F.col("label").alias("further"))
         jumped = hooked.join(roots, hooked["label"] == roots["root"]).select("node", "old", F.least("label", "further").alias("label"))
         jumped = stored(jumped, "labels")

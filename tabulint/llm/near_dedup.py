@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulint.llm import weighted_minhash as wm
@@ -15,8 +15,16 @@ from tabulint.llm.components import components
 from tabulint.llm.ranking import ranked
 from tabulint.llm.storage import stored
 
+# The columns of one of two members, by name.
+Side = Callable[[str], Column]
+
 THRESHOLD = 0.8
-PIVOT_GROWTH = 8
+PIVOT_GROWTH = 32
+# Parts of the hash space in which shared weights are compared: a power of two.
+CHUNKS = 32
+# The weight that marks a shingle as shared, and what sums of weights may differ by.
+SHARED = -1.0
+ROUNDING = 1e-3
 
 
 def frequency_weights(docs: DataFrame) -> np.ndarray:
@@ -87,7 +95,10 @@ def signatures(docs: DataFrame, table: np.ndarray, key: str) -> DataFrame:
 
 
 def features(docs: DataFrame, wanted: DataFrame, table: np.ndarray, key: str) -> DataFrame:
-    """(node, hashes, weights, total) of the ``wanted`` (id, node), from the text of one document each."""
+    """(node, hashes, weights, total, sums) of the ``wanted`` (id, node), from the text of one document each.
+
+    ``sums`` has the weight in each of CHUNKS parts of the hash space.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,22 +109,92 @@ def features(docs: DataFrame, wanted: DataFrame, table: np.ndarray, key: str) ->
                 for i, (a, b) in enumerate(zip(found.starts[:-1], found.starts[1:])):
                     if wm.digest(found, i) == batch.column("node")[first + i].as_py():
                         part = weight[a:b]
-                        rows.append((first + i, found.hashes[a:b].tobytes(), part.tobytes(), float(part.sum(dtype=float))))
+                        sums = np.bincount(chunk_of(found.hashes[a:b]), weights=part, minlength=CHUNKS)
+                        rows.append((first + i, found.hashes[a:b].tobytes(), part.tobytes(), float(sums.sum()), sums))
                 if rows:
-                    at, hashes, values, totals = zip(*rows)
+                    at, hashes, values, totals, sums = zip(*rows)
                     columns = [batch.column("node").take(pa.array(at)), pa.array(hashes), pa.array(values), pa.array(totals)]
-                    yield pa.RecordBatch.from_arrays(columns, ["node", "hashes", "weights", "total"])
+                    columns.append(pa.array([s.tolist() for s in sums], pa.list_(pa.float64())))
+                    yield pa.RecordBatch.from_arrays(columns, ["node", "hashes", "weights", "total", "sums"])
 
     texts = docs.select(F.col(key).alias("of"), "text").join(wanted, F.col("of").eqNullSafe(F.col("id")))
-    found = texts.select("node", "text").mapInArrow(weigh, "node binary, hashes binary, weights binary, total double")
+    found = texts.select("node", "text").mapInArrow(weigh, "node binary, hashes binary, weights binary, total double, sums array<double>")
     return found.dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, feats: DataFrame, threshold: float) -> DataFrame:
-    """The ``pairs`` (a, b) whose weighted Jaccard similarity is at least ``threshold``, with it.
+def chunk_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(20)).astype(np.int64) & (CHUNKS - 1)
+
 
-    Totals alone bound the similarity, which spares most unlike pairs the comparison.
+def shared_weights(feats: DataFrame) -> DataFrame:
+    """(node, total, shared, s): the weight of all shingles, and of those that any other node has.
+
+    ``s`` has the latter by CHUNKS parts of the hash space.
+
+    A shingle that a batch holds twice is known to be shared and sent once, without its nodes; so
+    however many nodes have a shingle, few rows of it meet.
     """
+    parts = 8 * int(feats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("hashes")]
+            if not hashes:
+                continue
+            node = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
+            weight = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in batch.column("weights")])
+            found, first, times = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
+            names = np.frombuffer(b"".join(batch.column("node").to_pylist()), "V16")[node[first]]
+            weight = np.where(times == 1, weight[first], SHARED).astype(np.float32)
+            part = ((found >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            rows = [(p, order[a:b]) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+            blobs = [pa.array([x[at].tobytes() for _, at in rows], pa.binary()) for x in (found, names, weight)]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), *blobs], ["part", "hashes", "nodes", "weights"])
+
+    def alone(part: pa.Table) -> pa.Table:
+        hashes, nodes, weight = (
+            np.frombuffer(b"".join(part.column(c).to_pylist()), kind)
+            for c, kind in (("hashes", np.uint64), ("nodes", "S16"), ("weights", np.float32))
+        )
+        _, first, times = np.unique(hashes, return_index=True, return_counts=True)
+        single = first[(times == 1) & (weight[first] != SHARED)]
+        names, place = np.unique(nodes[single], return_inverse=True)
+        cells = place * CHUNKS + chunk_of(hashes[single])
+        sums = np.bincount(cells, weights=weight[single], minlength=len(names) * CHUNKS)
+        some = np.flatnonzero(sums)
+        whole = [names[i].ljust(16, b"\0") for i in some // CHUNKS]
+        columns = {"node": pa.array(whole, pa.binary()), "chunk": pa.array((some % CHUNKS).astype(np.int32)), "alone": pa.array(sums[some])}
+        return pa.table(columns)
+
+    dealt = feats.select("node", "hashes", "weights").mapInArrow(deal, "part int, hashes binary, nodes binary, weights binary")
+    single = dealt.groupBy("part").applyInArrow(alone, "node binary, chunk int, alone double")
+    by_chunk = [F.sum(F.when(F.col("chunk") == c, F.col("alone")).otherwise(0.0)) for c in range(CHUNKS)]
+    single = single.groupBy("node").agg(F.sum("alone").alias("alone"), F.array(*by_chunk).alias("by_chunk"))
+    joined = feats.select("node", "total", "sums").join(single, "node", "left")
+    shared = F.when(F.col("alone").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "by_chunk", lambda x, y: x - y))
+    return joined.select("node", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("shared"), shared.alias("s"))
+
+
+def may_link(threshold: float) -> Callable[[Side, Side], Column]:
+    """Whether two members of a bucket are to be compared here.
+
+    They are if they can be similar enough: what both have in common is in each chunk at most what
+    either shares with any node. And they are compared only in the first band they have in common.
+    """
+
+    def may(own: Side, other: Side) -> Column:
+        shared = F.aggregate(F.zip_with(own("s"), other("s"), lambda x, y: F.least(x, y)), F.lit(0.0), lambda x, y: x + y)
+        enough = shared * (1 + threshold) >= (own("total") + other("total")) * threshold - ROUNDING
+        before = F.zip_with(F.slice(own("bands"), F.lit(1), own("band")), F.slice(other("bands"), F.lit(1), own("band")), lambda x, y: x == y)
+        return enough & ~F.array_contains(before, True)
+
+    return may
+
+
+def verified(pairs: DataFrame, feats: DataFrame, threshold: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose weighted Jaccard similarity is at least ``threshold``, with it."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,24 +205,23 @@ def verified(pairs: DataFrame, feats: DataFrame, threshold: float) -> DataFrame:
     def buffers(column: pa.Array) -> Iterator:
         return (v.as_py() if pa.types.is_floating(column.type) else v.as_buffer() for v in column)
 
-    totals = feats.select("node", "total")
-    near = (
-        pairs.join(totals.toDF("a", "x"), "a").join(totals.toDF("b", "y"), "b")
-        .filter(F.least("x", "y") >= F.lit(threshold) * F.greatest("x", "y")).select("a", "b")
-    )
-    both = near.join(feats.toDF("b", "hb", "wb", "tb"), "b").join(feats.toDF("a", "ha", "wa", "ta"), "a")
+    blobs = feats.drop("sums")
+    both = pairs.join(blobs.toDF("b", "hb", "wb", "tb"), "b").join(blobs.toDF("a", "ha", "wa", "ta"), "a")
     schema = "a binary, b binary, similarity double"
     return both.select("a", "b", "ha", "wa", "ta", "hb", "wb", "tb").mapInArrow(compare, schema).filter(F.col("similarity") >= threshold)
 
 
-def near_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def near_links(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], may: Callable[[Side, Side], Column] | None = None
+) -> DataFrame:
     """(a, b, similarity): verified links that connect all that candidates in a common bucket connect.
 
     ``members`` is (bucket, node, place), places from 0 without gaps; ``verify`` keeps of pairs (a, b)
     those that are links and adds their similarity. In a round the next few places of
     a bucket, the pivots, meet the members behind them that are not yet in their group, so a bucket of
     like texts is done after one round, with as many pairs as members; only members that stay apart
-    from the others go on. Every pair of a bucket is compared unless links already join the two.
+    from the others go on. Every pair of a bucket is compared unless links already join the two or
+    ``may``, of their further columns, says that this is not needed.
     """
     links, labels, first, width = None, None, 0, 1
     while True:
@@ -152,20 +232,23 @@ def near_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
             now = members.withColumn("label", F.col("node"))
         open_buckets = now.groupBy("bucket").agg(F.max("place").alias("top"), F.min("label").alias("x"), F.max("label").alias("y")).filter((F.col("x") != F.col("y")) & (F.col("top") > first)).select("bucket")
         now = stored(now.join(open_buckets, "bucket"), "open")
-        members = now.select("bucket", "node", "place")
+        members = now.drop("label")
         if now.isEmpty():
             if links is not None:
                 return links
             nothing = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
             return nothing.withColumn("similarity", F.lit(0.0))
         pivots = now.filter(F.col("place").between(first, first + width - 1)).select(
-            "bucket", F.col("node").alias("a"), F.col("place").alias("a_place"), F.col("label").alias("a_label")
+            "bucket", F.col("node").alias("a"), *(F.col(c).alias(f"a_{c}") for c in now.columns if c not in ("bucket", "node"))
         )
-        met = now.join(pivots, "bucket").filter((F.col("place") > F.col("a_place")) & (F.col("label") != F.col("a_label")))
+        apart = (F.col("place") > F.col("a_place")) & (F.col("label") != F.col("a_label"))
+        if may is not None:
+            apart &= may(F.col, lambda name: F.col(f"a_{name}"))
+        met = now.join(pivots, "bucket").filter(apart)
         pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         fresh = verify(pairs)
         links = stored(fresh if links is None else links.unionByName(fresh), "near")
-        labels = components(links)
+        labels = components(links, rounds=2)
         first, width = first + width, width * PIVOT_GROWTH
 
 
@@ -184,15 +267,19 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", threshold: float =
     nodes = signed.filter("bands IS NOT NULL").groupBy(F.col("digest").alias("node")).agg(
         F.min("id").alias("id"), F.first("bands").alias("bands")
     )
-    entries = stored(nodes.select("node", "id", F.posexplode("bands").alias("band", "value")), "bands")
+    entries = stored(nodes.select("node", "id", "bands", F.posexplode("bands").alias("band", "value")), "bands")
     bucket = [F.col("band"), F.col("value")]
     shared = entries.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    members = entries.join(shared, ["band", "value"]).select(F.xxhash64(*bucket).alias("bucket"), "node", "id")
+    members = entries.join(shared, ["band", "value"]).withColumn("bucket", F.xxhash64(*bucket)).drop("value")
     members = stored(members, "members")
     wanted = members.select("id", "node").distinct()
     feats = stored(features(docs, wanted, table, key), "features")
-    places = stored(ranked(members.select("bucket", "node"), ["bucket"], ["node"], "place"), "places")
-    links = near_links(places, lambda pairs: verified(pairs, feats, threshold))
+    able = shared_weights(feats).filter(F.col("shared") >= F.lit(threshold) * F.col("total") - ROUNDING)
+    members = stored(members.drop("id").join(able, "node"), "members")
+    # texts with little of their own come first: they are like the most others
+    own = F.floor((1 - F.col("shared") / F.col("total")) * 64)
+    places = stored(ranked(members, ["bucket"], ["node"], "place", before=own), "places")
+    links = near_links(places.drop("shared"), lambda pairs: verified(pairs, feats, threshold), may_link(threshold))
     labels = components(links)
     signed = signed.join(labels, signed["digest"] == labels["node"], "left").withColumn("label", F.coalesce("label", "digest"))
     names = signed.filter("label IS NOT NULL").groupBy(F.col("label").alias("of")).agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"))

@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 BUCKETS = 1024
 
 
-def ranked(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:
+def ranked(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "rank", *, before: Column | None = None
+) -> DataFrame:
     """Adds ``name``, a number from 0 without gaps inside each group; ``df`` must be stored, as it is read twice.
 
+    Rows with a smaller ``before``, an integer of few values, come first; else the order is a hash's.
+
     No task holds a group: rows go to one of ``BUCKETS`` hash buckets of their group, are numbered
     there, and start behind the rows that earlier buckets of the group hold. Rows that agree in
     ``order`` share a bucket, so ``order`` has to tell most rows apart.
     """
     bucket = F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int")
+    if before is not None:
+        bucket = before.cast("int") * BUCKETS + bucket
     rows = df.withColumn("__bucket", bucket)
     keys = [*groups, "__bucket"]
     earlier = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that one vector operation takes; a longer text is taken alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
