@@ -165,7 +165,7 @@ def shared_weights(feats: DataFrame) -> DataFrame:
         sums = np.bincount(cells, weights=weight[single], minlength=len(names) * CHUNKS)
         some = np.flatnonzero(sums)
         whole = [names[i].ljust(16, b"\0") for i in some // CHUNKS]
-        columns = {"node": pa.array(whole, pa.binary()), "chunk": pa.array((some % CHUNKS).astype(np.int32)), "alone": pa.array(sums[some])}
+        columns = {"node": pa.array(whole, pa.binary()), "chunk": pa.array((some % CHUNKS).astype(np.int32)), "alone": pa.array(sums[some], pa.float64())}
         return pa.table(columns)
 
     dealt = feats.select("node", "hashes", "weights").mapInArrow(deal, "part int, hashes binary, nodes binary, weights binary")
