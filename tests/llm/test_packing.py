@@ -71,8 +71,14 @@ def test_plans_hold_every_length_once(demand):
         for x, n in pattern.items():
             held[x] += n * copies
     assert held == Counter(demand)
-    least = -(-sum(x * n for x, n in demand.items()) // 24)
-    assert sum(copies for _, copies in chosen) <= 1.3 * least + len(demand) + 1
+    rooms = []  # first fit, longest first
+    for x in sorted(Counter(demand).elements(), reverse=True):
+        at = next((i for i, room in enumerate(rooms) if room >= x), None)
+        if at is None:
+            rooms.append(24 - x)
+        else:
+            rooms[at] -= x
+    assert sum(copies for _, copies in chosen) <= len(rooms) + len(demand)
 
 
 def test_knapsack_equals_brute_force():
