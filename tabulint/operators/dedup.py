@@ -16,9 +16,9 @@ RANK = "__dq_rn"
 SLICE = "__dq_slice"
 ORIGIN = "__dq_origin"
 WINNER = "__dq_winner"
-HOT = "__dq_hot"
+HOT = ("__dq_hot_1", "__dq_hot_2")
 SLICES = "__dq_slices"
-DIGEST = "__dq_digest"
+DIGEST = ("__dq_digest_1", "__dq_digest_2")
 ROWS = "__dq_rows"
 GRADE = "__dq_grade"
 
@@ -104,14 +104,17 @@ def mark_superseded(
     shuffle, its rows have no file: store it first if a hot key may consist of exact copies, or give
     an ``origin`` column that tells copies apart.
     """
-    refuse_reserved(df, RANK, SLICE, ORIGIN, WINNER, DIGEST, SLICES)
+    refuse_reserved(df, RANK, SLICE, ORIGIN, WINNER, SLICES, *DIGEST, *HOT)
     columns = df.columns
-    digest = F.unhex(F.md5(F.to_json(F.struct(*_names(key.columns)), {"ignoreNullFields": "false"}).cast("binary")))
-    located = with_origin(df, ORIGIN, origin).withColumn(DIGEST, digest)
+    # 128 bits in two hashes; the NULL flags tell (NULL, x) from (x, NULL)
+    parts = [part for c in _names(key.columns) for part in (c, c.isNull())]
+    digest = [F.xxhash64(F.lit(salt), *parts) for salt in (1, 2)]
+    located = with_origin(df, ORIGIN, origin).withColumns(dict(zip(DIGEST, digest)))
     counts = df.groupBy(*_names(key.columns)).agg(F.count(F.lit(1)).alias(RANK))
     table_rows = counts.agg(F.sum(RANK).alias(RANK)).scalar()
     is_hot = F.col(RANK) > F.greatest(F.lit(float(hot_rows)), table_rows * F.lit(hot_share))
-    hot_keys = counts.filter(is_hot).select(digest.alias(HOT), F.ceil(F.col(RANK) / F.lit(slice_rows)).alias(SLICES))
+    hot_keys = counts.filter(is_hot).select(*(d.alias(h) for d, h in zip(digest, HOT)), F.ceil(F.col(RANK) / F.lit(slice_rows)).alias(SLICES))
+    is_key = [F.col(d) == F.col(h) for d, h in zip(DIGEST, HOT)]
     own_slice = F.pmod(row_hash([*sortable_columns(df), ORIGIN]), F.col(SLICES))
 
     best = F.max(
@@ -122,12 +125,12 @@ def mark_superseded(
         )
     )
     winners = (
-        located.join(F.broadcast(hot_keys), F.col(DIGEST) == F.col(HOT))
-        .groupBy(HOT, SLICES)
+        located.join(F.broadcast(hot_keys), is_key)
+        .groupBy(*HOT, SLICES)
         .agg(best[SLICE].alias(WINNER))
     )
 
-    sliced = located.join(F.broadcast(winners), F.col(DIGEST) == F.col(HOT), "left").select(
+    sliced = located.join(F.broadcast(winners), is_key, "left").select(
         *_names(columns),
         F.when(F.col(WINNER).isNotNull(), own_slice).otherwise(0).alias(SLICE),
         F.coalesce(WINNER, F.lit(0)).alias(WINNER),
