@@ -1,4 +1,4 @@
-"""Operator 2: rare n-gram seeds join passages to benchmark items; Smith-Waterman alignment scores them."""
+"""Operator 2: rare seeds join passages to benchmark items; Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -12,74 +12,72 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulint.llm.words import gram_hash, not_letters, prefix_hash, slices, span_hash, word_bounds
+from tabulint.llm.words import not_letters, prefix_hash, slices, span_hash, word_bounds
 
-SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 # A block of items is what one scan of the documents looks for; it bounds what is broadcast.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 1 << 25
 FILTER_BITS = 22
+# Pairs of an item and a place in a text that one vector operation takes.
+PLACES = 1 << 20
+ROUNDING = 1e-9
 
 
-@dataclass(frozen=True)
-class Row:
-    """One text as word hashes, and the hashes of its n-grams; a shorter text is one n-gram."""
-
-    words: np.ndarray
-    grams: np.ndarray
-
-
-def rows(column: pa.Array) -> Iterator[tuple[int, Row]]:
-    """(row number, its words and n-grams); words are runs of ASCII digits and letters and of all other characters, in lower case."""
+def rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row number, hashes of its words); words are runs of ASCII digits and letters and of all other characters, in lower case."""
     parts = not_letters()
     for first, data, offsets in slices(pc.utf8_lower(column)):
         start, end, row = word_bounds(data, offsets, parts)
         word = span_hash(prefix_hash(data), start, end)
-        grams = gram_hash(word, SEED_WORDS)
         bounds = np.searchsorted(row, np.arange(len(offsets)))
         for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-            if b - a >= SEED_WORDS:
-                yield first + i, Row(word[a:b], grams[a : b - SEED_WORDS + 1])
-            elif b > a:
-                yield first + i, Row(word[a:b], gram_hash(word[a:b], b - a, salt=int(b - a)))
+            if b > a:
+                yield first + i, word[a:b]
 
 
 class Lookup:
-    """Finds the n-grams that occur in a sorted list; most others fail at a table of bits."""
+    """Finds the words that occur in a sorted list; most others fail at a table of bits."""
 
-    def __init__(self, grams: np.ndarray) -> None:
-        self.grams = np.unique(grams)
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = np.unique(words)
         self.some = np.zeros(1 << FILTER_BITS, bool)
-        self.some[self.cell(self.grams)] = True
+        self.some[self.cell(self.words)] = True
 
     @staticmethod
-    def cell(grams: np.ndarray) -> np.ndarray:
-        return (grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    def cell(words: np.ndarray) -> np.ndarray:
+        return (words >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
-    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions in ``grams``, numbers in the list) of what is found."""
-        at = np.flatnonzero(self.some[self.cell(grams)])
-        if not len(at) or not len(self.grams):
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions in ``words``, numbers in the list) of what is found."""
+        at = np.flatnonzero(self.some[self.cell(words)])
+        if not len(at) or not len(self.words):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        number = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
-        found = self.grams[number] == grams[at]
+        number = np.minimum(np.searchsorted(self.words, words[at]), len(self.words) - 1)
+        found = self.words[number] == words[at]
         return at[found], number[found]
 
 
-def seeds(items: list[Row], counts: np.ndarray, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(n-gram, item, offset), sorted by n-gram: of each item the half of its n-grams that fewest documents hold.
+def least_matches(size: np.ndarray, threshold: float) -> np.ndarray:
+    """How many words of an item an alignment has to match for ``threshold``: a match scores most, all else costs."""
+    return np.maximum(np.ceil(threshold * size - ROUNDING), 1).astype(np.int64)
+
+
+def longest_passage(size: np.ndarray, threshold: float) -> np.ndarray:
+    """How many words of a text an alignment can take up that reaches ``threshold``.
+
+    Beside the item's words there are at most as many others as their cost leaves of the score.
+    """
+    left = MATCH * size * (1 - max(threshold, 0))
+    return size + np.floor(left / -max(MISMATCH, GAP) + ROUNDING).astype(np.int64)
+
+
+def seeds(numbers: np.ndarray, counts: np.ndarray, needed: int) -> np.ndarray:
+    """Of an item's words, given by number, those that fewest documents hold: one more than an alignment may leave unmatched.
 
-    All n-grams as rare as the half's last are in. However often an item has leaked, it keeps its seeds.
+    So every alignment that matches ``needed`` words matches a seed, whatever a leak has changed.
     """
-    out = []
-    for i, row in enumerate(items):
-        held = counts[np.searchsorted(lookup.grams, row.grams)]
-        for offset in np.flatnonzero(held <= np.sort(held)[(len(held) - 1) // 2]):
-            out.append((int(row.grams[offset]), i, int(offset)))
-    out.sort()
-    grams, item, offset = zip(*out) if out else ((), (), ())
-    return np.array(grams, np.uint64), np.array(item, np.int64), np.array(offset, np.int64)
+    return np.unique(numbers[np.argsort(counts[numbers], kind="stable")[: max(len(numbers) - needed + 1, 0)]])
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -102,52 +100,115 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers ``first``, first + 1, ... of each run of ``n``, one run behind the other."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def least_within(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The least of ``x`` from each ``low`` to its ``high``, both included."""
+    out = np.empty(len(low), x.dtype)
+    level = np.frexp(high - low + 1)[1] - 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        some = level == k
+        out[some] = np.minimum(x[low[some]], x[high[some] - (1 << k) + 1])
+        x = np.minimum(x[: -(1 << k)], x[1 << k :])
+    return out
+
+
 @dataclass(frozen=True)
 class Index:
-    """The items of a block and the seeds that lead to them."""
+    """The items of a block, their words by number in ``lookup``, and the items that each word is a seed of."""
 
     ids: list
-    items: list[Row]
+    items: list[np.ndarray]
+    threshold: float
     lookup: Lookup
+    numbers: np.ndarray
+    starts: np.ndarray
     first: np.ndarray
     item: np.ndarray
-    offset: np.ndarray
-
-    def leaks(self, row: Row) -> Iterator[tuple[object, float, int, int]]:
+    needed: np.ndarray
+    reach: np.ndarray
+
+    @classmethod
+    def of(cls, ids: list, items: list[np.ndarray], lookup: Lookup, counts: np.ndarray, threshold: float) -> Index:
+        size = np.array([len(words) for words in items])
+        starts = np.r_[0, np.cumsum(size)]
+        numbers = np.searchsorted(lookup.words, np.concatenate(items))
+        needed = least_matches(size, threshold)
+        chosen = [seeds(numbers[a:b], counts, n) for a, b, n in zip(starts[:-1], starts[1:], needed)]
+        seed = np.concatenate(chosen)
+        order = np.argsort(seed, kind="stable")
+        item = np.repeat(np.arange(len(items)), [len(c) for c in chosen])[order]
+        first = np.searchsorted(seed[order], np.arange(len(lookup.words) + 1))
+        return cls(ids, items, threshold, lookup, numbers, starts, first, item, needed, longest_passage(size, threshold))
+
+    def leaks(self, words: np.ndarray) -> Iterator[tuple[object, float, int, int]]:
         """(item id, score, word behind the passage, seeds found) for each item found in a text.
 
-        Around the places where seeds put an item, as many words again as the item has are aligned;
-        places close together are aligned as one stretch. The best stretch counts.
+        An item of which the text has a seed, and enough words, may be found; then it is aligned with
+        the stretches where its words are dense enough for the threshold. The best stretch counts.
+        """
+        at, number = self.lookup.find(words)
+        here, place = np.unique(number, return_inverse=True)
+        items = np.unique(self.item[spread(self.first[here], self.first[here + 1] - self.first[here])])
+        items = items[self.needed[items] <= len(at)]
+        step = max(1, PLACES // max(1, len(at)))
+        for low in range(0, len(items), step):
+            for i, stretches in self.stretches(items[low : low + step], len(words), at, here, place):
+                best, end = 0, 0
+                for a, b in stretches:
+                    score, behind = align(self.items[i], words[a:b])
+                    if score > best:
+                        best, end = score, a + behind
+                n = self.first[number + 1] - self.first[number]
+                yield self.ids[i], best / (MATCH * len(self.items[i])), end, int((self.item[spread(self.first[number], n)] == i).sum())
+
+    def stretches(
+        self, items: np.ndarray, n_words: int, at: np.ndarray, here: np.ndarray, place: np.ndarray
+    ) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """(item, stretches of the text that hold all its alignments of the threshold), where there are any.
+
+        A word of the text that the item has adds at most a match, any other costs a gap or a mismatch;
+        the best sum that ends at a word, over as many words as an alignment can take up, bounds the
+        score of all alignments that end there.
         """
-        at, number = self.lookup.find(row.grams)
-        if not len(at):
+        n = self.starts[items + 1] - self.starts[items]
+        owned = self.numbers[spread(self.starts[items], n)]
+        owner = np.repeat(np.arange(len(items)), n)
+        found = np.minimum(np.searchsorted(here, owned), len(here) - 1)
+        held = here[found] == owned
+        has = np.zeros((len(items), len(here)), bool)
+        has[owner[held], found[held]] = True
+        enough = np.bincount(owner[held], minlength=len(items)) >= self.needed[items]
+        items, has = items[enough], has[enough]
+        owner, word = np.nonzero(has[:, place])
+        if not len(owner):
             return
-        n = self.first[number + 1] - self.first[number]
-        entry = np.repeat(self.first[number] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item, begin = self.item[entry], np.repeat(at, n) - self.offset[entry]
-        order = np.lexsort((begin, item))
-        item, begin = item[order], begin[order]
-        groups = np.flatnonzero(np.r_[True, item[1:] != item[:-1], True])
+        needed, reach, at = self.needed[items], self.reach[items], at[word]
+        line = owner * (n_words + int(reach.max())) + at
+        begin = np.searchsorted(line, line - reach[owner] + 1)
+        last = np.flatnonzero(np.arange(len(line)) - begin >= needed[owner] - 1)
+        drop = max(MISMATCH, GAP)
+        sums = (MATCH - drop) * np.arange(len(line)) + drop * at
+        bound = sums[last] - least_within(sums, begin[last], last) + MATCH
+        size = self.starts[items + 1] - self.starts[items]
+        last = last[bound >= self.threshold * MATCH * size[owner[last]] - ROUNDING]
+        groups = np.flatnonzero(np.r_[True, owner[last][1:] != owner[last][:-1], True]) if len(last) else []
         for a, b in zip(groups[:-1], groups[1:]):
-            words = self.items[item[a]].words
-            size = len(words)
-            cuts = np.flatnonzero(np.diff(begin[a:b]) > 2 * size) + 1
-            best, end = 0, 0
-            for part in np.split(begin[a:b], cuts):
-                low = max(0, int(part[0]) - size // 2)
-                score, behind = align(words, row.words[low : int(part[-1]) + size + size // 2])
-                if score > best:
-                    best, end = score, low + behind
-            yield self.ids[item[a]], best / (MATCH * size), end, int(b - a)
-
-
-def blocks(items: DataFrame, item_key: str) -> Iterator[tuple[list, list[Row]]]:
-    """(ids, rows) of the items that have words, in blocks of at most BLOCK_ITEMS items or, beyond one item, BLOCK_BYTES."""
+            k, ends = owner[last[a]], at[last[a:b]]
+            cuts = np.flatnonzero(np.diff(ends) >= reach[k]) + 1
+            yield int(items[k]), [(max(0, int(part[0] - reach[k]) + 1), int(part[-1]) + 1) for part in np.split(ends, cuts)]
+
+
+def blocks(items: DataFrame, item_key: str) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """(ids, words) of the items that have words, in blocks of at most BLOCK_ITEMS items or, beyond one item, BLOCK_BYTES."""
     ids, texts, size = [], [], 0
 
-    def block() -> tuple[list, list[Row]]:
+    def block() -> tuple[list, list[np.ndarray]]:
         found = list(rows(pa.array(texts, pa.string())))
-        return [ids[i] for i, _ in found], [row for _, row in found]
+        return [ids[i] for i, _ in found], [words for _, words in found]
 
     for item in items.filter(F.col("text").isNotNull()).select(item_key, "text").toLocalIterator():
         ids.append(item[0])
@@ -161,20 +222,20 @@ def blocks(items: DataFrame, item_key: str) -> Iterator[tuple[list, list[Row]]]:
 
 
 def document_counts(docs: DataFrame, lookup: Lookup) -> np.ndarray:
-    """In how many documents each listed n-gram occurs; one number per listed n-gram reaches the driver."""
+    """In how many documents each listed word occurs; one number per listed word reaches the driver."""
     sent = docs.sparkSession.sparkContext.broadcast(lookup)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(len(sent.value.grams), np.int64)
+        held = np.zeros(len(sent.value.words), np.int64)
         for batch in batches:
-            for _, row in rows(batch.column(0)):
-                held[np.unique(sent.value.find(row.grams)[1])] += 1
+            for _, words in rows(batch.column(0)):
+                held[np.unique(sent.value.find(words)[1])] += 1
         some = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(held[some], pa.int64())], ["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(held[some], pa.int64())], ["word", "n"])
 
-    counts = np.zeros(len(lookup.grams), np.int64)
-    for r in docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        counts[r.gram] = r.n
+    counts = np.zeros(len(lookup.words), np.int64)
+    for r in docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        counts[r.word] = r.n
     return counts
 
 
@@ -182,7 +243,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", item_key: s
     """(key, item_key, score, end_word, n_seeds): the items that a document holds, whole or edited.
 
     The score is the best local alignment of the item's words with the text's, as a share of what the
-    item scores against itself; rows below ``threshold`` are left out. Items are looked for in blocks,
+    item scores against itself; rows below ``threshold`` are left out, and all others are found. Items are looked for in blocks,
     each with one scan that counts and one that aligns, so neither driver nor task holds more than a
     block. NULL texts and texts without words hold nothing; items without words are not looked for.
     Equal items are reported each, and repeated documents too.
@@ -194,11 +255,8 @@ def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", item_key: s
     for ids, words in blocks(items, item_key):
         if not words:
             continue
-        lookup = Lookup(np.concatenate([row.grams for row in words]))
-        grams, item, offset = seeds(words, document_counts(docs, lookup), lookup)
-        chosen = Lookup(grams)
-        first = np.r_[np.searchsorted(grams, chosen.grams), len(grams)]
-        sent = context.broadcast(Index(ids, words, chosen, first, item, offset))
+        lookup = Lookup(np.concatenate(words))
+        sent = context.broadcast(Index.of(ids, words, lookup, document_counts(docs, lookup), threshold))
         found.append(docs.select(F.col(key).alias("k"), "text").mapInArrow(_searcher(sent, threshold), schema))
     if not found:
         return docs.sparkSession.createDataFrame([], schema).toDF(key, item_key, "score", "end_word", "n_seeds")
@@ -208,7 +266,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", item_key: s
 def _searcher(sent, threshold: float):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = [(i, *hit) for i, row in rows(batch.column("text")) for hit in sent.value.leaks(row) if hit[1] >= threshold]
+            hits = [(i, *hit) for i, words in rows(batch.column("text")) for hit in sent.value.leaks(words) if hit[1] >= threshold]
             if hits:
                 at, item, score, end, n = zip(*hits)
                 yield pa.RecordBatch.from_arrays(

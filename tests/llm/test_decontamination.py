@@ -80,3 +80,34 @@ def test_odd_texts_short_items_and_empty_tables(odd, empty, planted):
     found = {(r.doc_id, r.item_id) for r in leaks(odd, short).collect()}
     assert (5, 1) in found and (3, 2) in found and not any(d in (0, 1, 2, 4) for d, _ in found)
     assert clean_documents(odd, short).columns == odd.columns
+
+
+def test_all_pairs_of_the_threshold_are_found_however_a_copy_is_changed(llm):
+    r = random.Random(12)
+    vocabulary = [f"word{i}" for i in range(500)] + ["the", "of", "and"] * 60
+    items = [[r.choice(vocabulary) for _ in range(r.randint(1, 50))] for _ in range(25)]
+    fresh = iter(range(10**6))
+    changes = [
+        lambda x: [w if i % 3 < 2 else f"new{next(fresh)}" for i, w in enumerate(x)],
+        lambda x: [w if i % 4 < 3 else f"new{next(fresh)}" for i, w in enumerate(x)],
+        lambda x: [w if i % 5 < 4 else f"new{next(fresh)}" for i, w in enumerate(x)],
+        lambda x: [v for w in x for v in (w, f"new{next(fresh)}")][:-1],
+        lambda x: x[: (len(x) + 1) // 2],
+        lambda x: x[len(x) // 3 :],
+        lambda x: [w for i, w in enumerate(x) if i % 3],
+        lambda x: x,
+    ]
+    docs = []
+    for i, item in enumerate(items):
+        for change in changes:
+            words = [r.choice(vocabulary) for _ in range(r.randint(0, 150))]
+            place = r.randint(0, len(words))
+            docs.append(words[:place] + change(item) + words[place:] + (change(item) if i % 7 == 0 else []))
+    numbers = {w: n for n, w in enumerate({w for words in docs + items for w in words})}
+    spelled = [[np.array([numbers[w] for w in words]) for words in texts] for texts in (docs, items)]
+    scores = {(d, i): align(item, text)[0] / (MATCH * len(item)) for d, text in enumerate(spelled[0]) for i, item in enumerate(spelled[1])}
+    texts = llm.createDataFrame([(d, " ".join(x)) for d, x in enumerate(docs)], "doc_id long, text string").repartition(4)
+    benchmark = llm.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    for threshold in (0.5, 0.35, 0.8):
+        found = {(x.doc_id, x.item_id): x.score for x in leaks(texts, benchmark, threshold=threshold).collect()}
+        assert found == {pair: score for pair, score in scores.items() if score >= threshold}
