@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -10,6 +11,8 @@ from tabulint.llm.words import mixed
 
 CELLS = 256
 BANDS, BAND_CELLS = 16, 8
+# Candidates: the share of pairs at the threshold that may have no band in common, and how many bands that may take.
+MISSED, MOST_BANDS = 1e-3, 600
 BLOCK = 1 << 16
 # Characters that one call walks over together.
 WALK_CHARS = 1 << 24
@@ -100,6 +103,12 @@ def spelled(cells: np.ndarray) -> str:
     return bytes(np.frombuffer(b"0123456789abcdef", np.uint8)[cells]).decode()
 
 
+def read(fingerprint: str) -> np.ndarray:
+    """The cells that ``spelled`` wrote."""
+    digits = np.frombuffer(fingerprint.encode(), np.uint8)
+    return np.where(digits < ord("a"), digits - ord("0"), digits - (ord("a") - 10)).astype(np.uint8)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """The share of cells, filled in either fingerprint, that are equal; 1 for two empty texts."""
     filled = (a != 0) | (b != 0)
@@ -113,5 +122,36 @@ def band_cells() -> np.ndarray:
 
 
 def shared_bands(a: np.ndarray, b: np.ndarray) -> int:
-    """How many bands two fingerprints have in common: one is enough to be compared."""
+    """How many of the BANDS bands two fingerprints have in common."""
     return int((a[band_cells()] == b[band_cells()]).all(axis=1).sum())
+
+
+@lru_cache
+def candidate_cells(threshold: float) -> np.ndarray:
+    """Which cells each band samples in which pairs of the likeness ``threshold`` meet, all but a share of MISSED.
+
+    Bands are as long as MOST_BANDS of them allow, so that few other pairs meet. They are cut from
+    permutations of all cells; with bands of one cell, one permutation misses no pair.
+    """
+    same = min(max(math.ceil(threshold * CELLS), 1), CELLS)
+    for size in range(BAND_CELLS, 0, -1):
+        meet = math.prod(max(same - i, 0) / (CELLS - i) for i in range(size))
+        if size > 1 and meet == 0:
+            continue
+        bands = 1 if size == 1 or meet == 1 else math.ceil(math.log(MISSED) / math.log1p(-meet))
+        rounds = -(-bands // (CELLS // size))
+        if size == 1 or rounds * (CELLS // size) <= MOST_BANDS:
+            break
+    random = np.random.default_rng(6)
+    cut = [random.permutation(CELLS)[: CELLS // size * size].reshape(-1, size) for _ in range(rounds)]
+    return np.concatenate(cut)
+
+
+def candidate_buckets(cells: np.ndarray, threshold: float) -> np.ndarray:
+    """The bucket of each candidate band of a fingerprint; a band of empty cells only has none."""
+    bands = candidate_cells(threshold)
+    digits = cells[bands].astype(np.int64)
+    value = np.arange(len(bands), dtype=np.int64)
+    for column in digits.T:
+        value = value * 16 + column
+    return value[digits.any(axis=1)]

@@ -159,24 +159,36 @@ def key_type(kind: str) -> pa.DataType:
 def near_copies(prints: DataFrame, *, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """(key, class_id): documents whose fingerprints share a sampled band and are like enough, by class.
 
-    Equal fingerprints are one node. Candidates meet in the buckets of BANDS bands of BAND_CELLS cells
-    each; the likeness of whole fingerprints verifies them, and links make classes, named by the least key.
+    Equal fingerprints are one node. Candidates meet in the buckets of ``candidate_cells``, whose bands
+    are fitted to ``threshold``: a pair just at it has none in common less than once in a thousand
+    times. The likeness of whole fingerprints verifies them, and links make classes, named by the least
+    key. Short texts fill few cells, so many of them meet, and are told apart by verification.
     """
 
     def verify(pairs: DataFrame) -> DataFrame:
-        digits = lambda c: F.split(c, "")
-        same = F.zip_with(digits("a"), digits("b"), lambda x, y: F.when((x == "0") & (y == "0"), F.lit(None)).otherwise((x == y).cast("int")))
-        filled = F.filter(same, lambda x: x.isNotNull())
-        share = F.when(F.size(filled) == 0, 1.0).otherwise(F.aggregate(filled, F.lit(0), lambda s, x: s + x) / F.size(filled))
-        return pairs.withColumn("similarity", share.cast("double")).filter(F.col("similarity") >= threshold)
-
-    nodes = prints.filter(F.col("fingerprint").isNotNull()).select(F.col("fingerprint").alias("node")).distinct()
-    bands = F.array(*[F.concat(F.lit(f"{b}:"), *[F.substring("node", int(c) + 1, 1) for c in cells]) for b, cells in enumerate(ee.band_cells())])
-    entries = stored(nodes.select("node", F.explode(bands).alias("bucket")), "bands")
+        both = pairs.join(nodes.toDF("a", "pa"), "a").join(nodes.toDF("b", "pb"), "b")
+        return both.select("a", "b", "pa", "pb").mapInArrow(compare, "a binary, b binary, similarity double").filter(F.col("similarity") >= threshold)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = [ee.likeness(ee.read(a), ee.read(b)) for a, b in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(alike, pa.float64())], ["a", "b", "similarity"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 256):
+                part = batch.slice(low, 256)
+                buckets = [ee.candidate_buckets(ee.read(p), threshold) for p in part.column("fingerprint").to_pylist()]
+                at = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
+                yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(at)), pa.array(np.concatenate(buckets))], ["node", "bucket"])
+
+    node = F.unhex(F.md5("fingerprint"))
+    nodes = stored(prints.filter(F.col("fingerprint").isNotNull()).select(node.alias("node"), "fingerprint").distinct(), "prints")
+    entries = stored(nodes.mapInArrow(meet, "node binary, bucket long"), "bands")
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = stored(entries.join(shared, "bucket"), "members")
     links = near_links(stored(ranked(members, ["bucket"], ["node"], "place"), "places"), verify)
     labels = components(links)
-    named = prints.join(labels, prints["fingerprint"] == labels["node"], "left").withColumn("label", F.coalesce("label", "fingerprint"))
+    named = prints.join(labels, node == labels["node"], "left").withColumn("label", F.coalesce("label", node))
     least = named.groupBy(F.col("label").alias("of")).agg(F.min(key).alias("class_id"))
     return named.join(least, named["label"].eqNullSafe(least["of"])).select(key, "class_id")

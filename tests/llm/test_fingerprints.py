@@ -74,3 +74,41 @@ def test_near_copies(llm):
     docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: r.class_id for r in near_copies(fingerprints(docs)).collect()}
     assert all(found[i] == i // 3 * 3 for i in range(18)) and all(found[18 + g] == 3 * g for g in range(6))
+
+
+def test_classes_equal_those_of_all_pairs_at_the_threshold(llm):
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(600)]
+    texts = []
+    for i in range(90):
+        text = [r.choice(words) for _ in range(r.choice((12, 60, 300, 600)))]
+        changed = list(text)
+        for _ in range(max(1, len(text) * r.randint(1, 8) // 300)):
+            changed[r.randrange(len(text))] = r.choice(words)
+        texts += [" ".join(text), " ".join(changed)]
+    cells = ee.walk([ee.code_points(t) for t in texts])
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if ee.likeness(cells[i], cells[j]) >= 0.5]
+    assert sum(ee.likeness(cells[i], cells[j]) < 0.7 for i, j in alike) > 10
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, j in alike:
+            label[i] = label[j] = min(label[i], label[j])
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x.doc_id: x.class_id for x in near_copies(fingerprints(docs)).collect()}
+    assert found == dict(enumerate(label))
+
+
+def test_bands_fit_the_threshold():
+    r = np.random.default_rng(2)
+    for threshold in (0.05, 0.3, 0.5, 0.6, 0.9, 1.0):
+        bands = ee.candidate_cells(threshold)
+        assert len(bands) <= ee.MOST_BANDS and set(bands.ravel()) == set(range(ee.CELLS))
+        missed = 0
+        for _ in range(3000):
+            same = np.zeros(ee.CELLS, bool)
+            same[r.permutation(ee.CELLS)[: int(np.ceil(threshold * ee.CELLS))]] = True
+            missed += not same[bands].all(axis=1).any()
+        assert missed <= 10
+    cells = r.integers(0, 16, ee.CELLS).astype(np.uint8)
+    assert (ee.read(ee.spelled(cells)) == cells).all()
+    assert not len(ee.candidate_buckets(np.zeros(ee.CELLS, np.uint8), 0.5))
