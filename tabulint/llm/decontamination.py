@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulint.llm.words import not_letters, prefix_hash, slices, span_hash, word_bounds
+from tabulint.llm.words import character_kinds, not_letters, prefix_hash, slices, span_hash, word_bounds
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
@@ -25,10 +25,11 @@ ROUNDING = 1e-9
 
 
 def rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    """(row number, hashes of its words); words are runs of ASCII digits and letters and of all other characters, in lower case."""
+    """(row number, hashes of its words); words are runs of digits and letters, and single characters of
+    scripts without spaces, in lower case."""
     parts = not_letters()
     for first, data, offsets in slices(pc.utf8_lower(column)):
-        start, end, row = word_bounds(data, offsets, parts)
+        start, end, row = word_bounds(data, offsets, parts, character_kinds())
         word = span_hash(prefix_hash(data), start, end)
         bounds = np.searchsorted(row, np.arange(len(offsets)))
         for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tabulint.llm.words import gram_hash, mixed, not_letters, prefix_hash, slices, span_hash, word_bounds
+from tabulint.llm.words import character_kinds, gram_hash, mixed, not_letters, prefix_hash, slices, span_hash, word_bounds
 
 SHINGLE_WORDS = 5
 BANDS, ROWS = 10, 3
@@ -34,12 +34,12 @@ class Shingles:
 def shingles(column: pa.Array) -> Iterator[tuple[int, Shingles]]:
     """(first row, shingles) of slices of a text column.
 
-    Words are runs of ASCII digits and letters and of all other characters, in lower case. A text of one
-    to four words has one shingle, all of its words.
+    Words are runs of digits and letters, and single characters of scripts without spaces, in lower case.
+    A text of one to four words has one shingle, all of its words.
     """
     parts = not_letters()
     for first, data, offsets in slices(pc.utf8_lower(column)):
-        start, end, row = word_bounds(data, offsets, parts)
+        start, end, row = word_bounds(data, offsets, parts, character_kinds())
         word = span_hash(prefix_hash(data), start, end)
         bounds = np.searchsorted(row, np.arange(len(offsets)))
         grams = gram_hash(word, SHINGLE_WORDS, salt=SHINGLE_WORDS)

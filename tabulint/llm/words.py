@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,6 +12,15 @@ import pyarrow as pa
 # Bytes of text that one vector operation takes; a longer text is taken alone.
 SLICE_BYTES = 1 << 19
 
+# What a character beyond ASCII is to words: a part of one, what parts them, or one of its own.
+INSIDE, BETWEEN, ALONE = 0, 1, 2
+# Scripts written without spaces, but for the ideographs from 0x20000 on.
+UNSPACED = [
+    (0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x312F),
+    (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x16FE0, 0x1B2FF),
+]
+
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
@@ -76,12 +86,55 @@ def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of every word; rows end words."""
+@lru_cache(maxsize=1)
+def character_kinds() -> np.ndarray:
+    """INSIDE, BETWEEN or ALONE by code point: punctuation, blanks and controls part words, symbols and characters of
+    scripts without spaces are words of their own."""
+    table = np.zeros(0x110000, np.uint8)
+    for first, last in UNSPACED:
+        table[first : last + 1] = ALONE
+    table[0x20000:0x40000] = ALONE
+    for code in range(0x80, 0x20000):
+        category = unicodedata.category(chr(code))
+        if category[0] in "PZ" or category == "Cc":
+            table[code] = BETWEEN
+        elif category[0] == "S":
+            table[code] = ALONE
+    return table
+
+
+def special_characters(data: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, kind) of the characters of UTF-8 text beyond ASCII that are not INSIDE words."""
+    start = np.flatnonzero(data >= 0xC0)
+    lead = data[start].astype(np.int32)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    code = lead & (0x7F >> size)
+    for k in range(1, 4):
+        more = size > k
+        code[more] = code[more] << 6 | (data[start[more] + k] & 0x3F)
+    kind = kinds[code]
+    some = kind != INSIDE
+    return start[some], (start + size)[some], kind[some]
+
+
+def word_bounds(
+    data: np.ndarray, offsets: np.ndarray, parts: np.ndarray, kinds: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every word; rows end words. With ``kinds``, characters beyond ASCII part words or are words by kind."""
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~parts[data]
+    first = last = np.zeros(0, np.int64)
+    if kinds is not None:
+        first, last, kind = special_characters(data, kinds)
+        for k in range(4):
+            some = (kind == BETWEEN) & (first + k < last)
+            inside[first[some] + k + 1] = 0
+        first, last = first[kind == ALONE], last[kind == ALONE]
     begins = inside[1:] > inside[:-1]
     ends = inside[1:] < inside[:-1]
+    begins[first], ends[last] = True, True
+    ends[first] |= inside[first] == 1
+    begins[last] |= inside[last + 1] == 1
     cuts = offsets[1:-1]
     cuts = cuts[(cuts > 0) & (cuts < len(data))]
     joined = cuts[(inside[cuts] == 1) & (inside[cuts + 1] == 1)]

@@ -111,3 +111,19 @@ def test_all_pairs_of_the_threshold_are_found_however_a_copy_is_changed(llm):
     for threshold in (0.5, 0.35, 0.8):
         found = {(x.doc_id, x.item_id): x.score for x in leaks(texts, benchmark, threshold=threshold).collect()}
         assert found == {pair: score for pair, score in scores.items() if score >= threshold}
+
+
+def test_items_in_scripts_without_spaces_and_short_items_inside_longer_texts(llm):
+    r = random.Random(5)
+    own, other = ("".join(chr(0x4E00 + low + r.randrange(2000)) for _ in range(60)) for low in (0, 5000))
+    items = llm.createDataFrame([(1, f"{own[:20]}，{own[20:40]}。"), (2, "เก็บข้อมูลไว้ที่นี่"), (3, "«zwei Wörter»")], "item_id long, text string")
+    docs = [
+        (1, f"{other}。{own[:20]}，{own[20:40]}、{other}"),
+        (2, f"{other}{own[:9]}{other[3]}{own[10:27]}{other[5]}{own[28:40]}"),
+        (3, f"{other}，{other}"),
+        (4, "ก่อนหน้าเก็บข้อมูลไว้ที่นี่แล้ว"),
+        (5, "Davor “zwei Wörter”, danach noch mehr"),
+    ]
+    found = {(x.doc_id, x.item_id): x.score for x in leaks(llm.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert set(found) == {(1, 1), (2, 1), (4, 2), (5, 3)}
+    assert found[1, 1] == found[4, 2] == found[5, 3] == 1.0

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from tabulint.llm import weighted_minhash as wm
+from tabulint.llm import words
 from tabulint.llm.components import components
 from tabulint.llm.near_dedup import near_duplicates, one_of_each_class
 
@@ -102,3 +103,16 @@ def test_components_of_chains_and_stars(llm):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200)]
     found = {r.node: r.label for r in components(llm.createDataFrame(links, "a long, b long")).collect()}
     assert {found[i] for i in range(41)} == {0} and {found[i] for i in range(100, 130)} == {100}
+
+
+def test_near_copies_in_scripts_without_spaces(llm):
+    r = random.Random(6)
+    one, two = ("".join(chr(0x4E00 + r.randrange(3000)) for _ in range(200)) for _ in range(2))
+    texts = [one, f"{one[:100]}。{one[100:150]}変{one[151:]}", two, f"{two}終"]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x.doc_id: x.class_id for x in near_duplicates(docs).collect()} == {0: 0, 1: 0, 2: 2, 3: 2}
+    column = pa.array(["naïve “quoted”—text　日本語abc¿qué?", "é", "日"])
+    first, data, offsets = next(words.slices(column))
+    start, end, row = words.word_bounds(data, offsets, words.not_letters(), words.character_kinds())
+    found = [(int(i), bytes(data[a:b]).decode()) for a, b, i in zip(start, end, row)]
+    assert found == [(0, w) for w in ("naïve", "quoted", "text", "日", "本", "語", "abc", "qué")] + [(1, "é"), (2, "日")]
