@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulint.llm import language, quality, substring_dedup, suffix_dedup
+from tabulint.llm import language, quality, substring_dedup, suffix_dedup, whitening
 from tabulint.llm.decontamination import leaks
 from tabulint.llm.fingerprints import edited_neighbours
 from tabulint.llm.line_dedup import drop_repeated_lines
@@ -41,6 +41,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/embeddings.parquet")
+
+
 @query("op3_sharding")
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(documents(spark, sf_dir), [1.0] * SHARDS)
@@ -102,3 +106,9 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return substring_dedup.digests(substring_dedup.drop_repeated_words(docs))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = embeddings(spark, sf_dir)
+    return whitening.whitened_components(vectors, whitening.fit(vectors))
