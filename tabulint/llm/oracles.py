@@ -140,5 +140,25 @@ WITH d AS (
 SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept_hex)) AS kept_sha256
 FROM d JOIN texts ON texts.doc_id = d.doc_id LEFT JOIN sums ON sums.doc_id = d.doc_id
+""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v AS a JOIN v AS c ON a.id % 100 = 0
+), positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same AND id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM positive AS p JOIN scored AS s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER best <= 10
 """,
 }

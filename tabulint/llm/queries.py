@@ -13,6 +13,7 @@ from tabulint.llm.decontamination import leaks
 from tabulint.llm.fingerprints import edited_neighbours
 from tabulint.llm.line_dedup import drop_repeated_lines
 from tabulint.llm.near_dedup import near_duplicates
+from tabulint.llm.negatives import hard_negatives
 from tabulint.llm.packing import pack, public_tokenizer
 from tabulint.llm.sharding import assign_shards
 from tabulint.llm.shipping import ship
@@ -112,3 +113,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = embeddings(spark, sf_dir)
     return whitening.whitened_components(vectors, whitening.fit(vectors))
+
+
+@query("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = embeddings(spark, sf_dir)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
