@@ -160,5 +160,14 @@ FROM positive AS p JOIN scored AS s ON s.anchor_id = p.anchor_id AND NOT s.same
 WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
 WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
 QUALIFY row_number() OVER best <= 10
+""",
+    "op12_exact_dedup": """
+WITH t AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents
+)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(lowered) AS text_sha256
+FROM t
+WINDOW same AS (PARTITION BY lowered)
 """,
 }

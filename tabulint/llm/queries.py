@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabulint.llm import language, quality, substring_dedup, suffix_dedup, whitening
 from tabulint.llm.decontamination import leaks
+from tabulint.llm.exact_dedup import exact_duplicates
 from tabulint.llm.fingerprints import edited_neighbours
 from tabulint.llm.line_dedup import drop_repeated_lines
 from tabulint.llm.near_dedup import near_duplicates
@@ -120,3 +121,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = embeddings(spark, sf_dir)
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_exact_dedup")
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(documents(spark, sf_dir))
