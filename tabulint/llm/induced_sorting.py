@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from tabulint.llm.regions import sequence_sums
-from tabulint.llm.words import span_hash
-
 
 def suffix_types(text: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the one behind it; the last suffix counts as smaller."""
@@ -19,17 +16,31 @@ def suffix_types(text: np.ndarray) -> np.ndarray:
     return up[np.minimum.accumulate(decides[::-1])[::-1]]
 
 
+def ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each run of ``n``, one run behind the other."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def run_places(text: np.ndarray) -> np.ndarray:
+    """How many equal letters stand right before each place."""
+    at = np.arange(len(text))
+    begins = np.r_[True, text[1:] != text[:-1]]
+    return at - np.maximum.accumulate(np.where(begins, at, 0))
+
+
 def induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, letters: int) -> np.ndarray:
     """The order of all suffixes that the order of the leftmost-smaller ones (``seeds``) induces.
 
     One pass upward over the letters' buckets places each larger suffix behind the suffix that follows
-    it in the text, one pass downward the smaller ones. A bucket is taken in waves: the suffixes it
-    holds so far place their left neighbours together, in one stable partition by letter.
+    it in the text, one pass downward the smaller ones. A bucket first takes in at once what runs of its
+    own letter add to it, step by step of the runs; then its suffixes place their left neighbours
+    together, in one stable partition by letter.
     """
     n = len(text)
     sizes = np.bincount(text, minlength=letters)
     ends = np.cumsum(sizes)
     begins = ends - sizes
+    before = run_places(text)
     order = np.zeros(n, np.int64)
     first = text[seeds]
     held = np.bincount(first, minlength=letters)
@@ -37,63 +48,68 @@ def induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, letters: in
     sorted_first = first[by_letter]
     order[(ends - held)[sorted_first] + np.arange(len(seeds)) - (np.cumsum(held) - held)[sorted_first]] = seeds[by_letter]
 
-    free = begins.copy()
-
-    def place_up(found: np.ndarray) -> None:
+    def along_runs(found: np.ndarray) -> np.ndarray:
+        """Suffixes of one letter with those that their runs place behind them: all first steps, all second ones, ..."""
+        steps = before[found]
+        if not steps.any():
+            return found
+        at = np.repeat(np.arange(len(found)), steps + 1)
+        step = ranges(np.zeros(len(found), np.int64), steps + 1)
+        by = np.argsort(step, kind="stable")
+        return found[at[by]] - step[by]
+
+    def partition(found: np.ndarray, c: int, larger: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The left neighbours of another letter and the wanted type: sorted by letter, their letters, ranks and counts."""
         left = found[found > 0] - 1
-        left = left[~smaller[left]]
-        if len(left):
-            letter = text[left]
-            by = np.argsort(letter, kind="stable")
-            letter, count = letter[by], np.bincount(letter, minlength=letters)
-            order[free[letter] + np.arange(len(left)) - (np.cumsum(count) - count)[letter]] = left[by]
-            np.add(free, count, out=free)
+        left = left[(smaller[left] != larger) & (text[left] != c)]
+        letter = text[left]
+        by = np.argsort(letter, kind="stable")
+        letter, count = letter[by], np.bincount(letter, minlength=letters)
+        return left[by], letter, np.arange(len(left)) - (np.cumsum(count) - count)[letter], count
 
+    free = begins.copy()
     for c in np.flatnonzero(sizes):
-        done = begins[c]
-        while done < free[c]:
-            wave, done = order[done : free[c]], int(free[c])
-            place_up(wave)
-        if held[c]:
-            place_up(order[ends[c] - held[c] : ends[c]])
+        found = along_runs(order[begins[c] : free[c]])
+        free[c] = begins[c] + len(found)
+        order[begins[c] : free[c]] = found
+        for part in (found, order[ends[c] - held[c] : ends[c]]):
+            left, letter, rank, count = partition(part, c, True)
+            order[free[letter] + rank] = left
+            free += count
 
     larger_ends = free.copy()
     free = ends.copy()
-
-    def place_down(found: np.ndarray) -> None:
-        left = found[found > 0] - 1
-        left = left[smaller[left]]
-        if len(left):
-            letter = text[left]
-            by = np.argsort(letter, kind="stable")
-            letter, count = letter[by], np.bincount(letter, minlength=letters)
-            order[free[letter] - 1 - np.arange(len(left)) + (np.cumsum(count) - count)[letter]] = left[by]
-            np.subtract(free, count, out=free)
-
     last = n - 1  # nothing induces the last suffix, the first of its letter's smaller ones
     for c in np.flatnonzero(sizes)[::-1]:
-        done = ends[c]
-        while True:
-            if free[c] < done:
-                wave, done = order[free[c] : done][::-1], int(free[c])
-                place_down(wave)
-            elif text[last] == c and free[c] > larger_ends[c] and last >= 0:
-                free[c] -= 1
-                order[free[c]] = last
-                last = -1
-            else:
-                break
-        place_down(order[begins[c] : larger_ends[c]][::-1])
+        found = along_runs(order[free[c] : ends[c]][::-1])
+        if text[last] == c:
+            found = np.r_[found, along_runs(np.array([last]))]
+        free[c] = ends[c] - len(found)
+        order[free[c] : ends[c]] = found[::-1]
+        for part in (found, order[begins[c] : larger_ends[c]][::-1]):
+            left, letter, rank, count = partition(part, c, False)
+            order[free[letter] - 1 - rank] = left
+            free -= count
     return order
 
 
-def suffix_array(text: np.ndarray, letters: int, depth: int) -> np.ndarray:
-    """Start positions of all suffixes, sorted by their first ``depth`` letters at least.
+def same_as_before(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether each stretch is equal, letter by letter, to the one before it in the list."""
+    same = np.r_[False, size[1:] == size[:-1]]
+    at = np.flatnonzero(same)
+    if len(at):
+        n = size[at]
+        equal = text[ranges(start[at], n)] == text[ranges(start[at - 1], n)]
+        same[at] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+    return same
+
+
+def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
+    """Start positions of all suffixes, sorted.
 
     ``text`` ends with the letter 0, which it has nowhere else. Suffixes are classified, the leftmost-smaller
     substrings sorted by induction and named, and the string of names, a third as long, is sorted in
-    turn: by doubling, as its alphabet is as large as itself; the doubling ends when all differ or
-    ``depth`` letters are covered. Its order induces that of all suffixes.
+    turn: by doubling, as its alphabet is about as large as itself. Its order induces that of all suffixes.
     """
     smaller = suffix_types(text)
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
@@ -105,12 +121,11 @@ def suffix_array(text: np.ndarray, letters: int, depth: int) -> np.ndarray:
         number = np.zeros(len(text), np.int64)
         number[leftmost] = np.arange(len(leftmost))
         stop = np.minimum(np.r_[leftmost[1:], len(text) - 1] + 1, len(text))[number[rough]]
-        digest, size = span_hash(sequence_sums(text.astype(np.uint64)), rough, stop), stop - rough
-        name = np.cumsum(np.r_[True, (digest[1:] != digest[:-1]) | (size[1:] != size[:-1])]) - 1
+        name = np.cumsum(~same_as_before(text, rough, stop - rough)) - 1
         rank = np.zeros(len(leftmost), np.int64)
         rank[number[rough]] = name
         reach = 1
-        while rank.max() + 1 < len(rank) and 2 * reach < depth + 2:
+        while rank.max() + 1 < len(rank):
             behind = np.zeros(len(rank), np.int64)
             behind[:-reach] = rank[reach:] + 1
             rank = np.unique(rank * (len(rank) + 1) + behind, return_inverse=True)[1]
@@ -119,30 +134,29 @@ def suffix_array(text: np.ndarray, letters: int, depth: int) -> np.ndarray:
     return induce(text, smaller, leftmost, letters)
 
 
-def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, limit: int, *, exact: bool = True) -> np.ndarray:
-    """For each position, how many letters its suffix shares with the one before it in ``order``, up to ``limit``.
+def permuted_common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each position, how many letters its suffix shares with the one before it in ``order``, by comparing them.
 
-    All positions at once, by equal hashes of stretches: the whole limit first, then by halving.
-    Without ``exact``, anything below the limit is 0.
+    Where the letters before both suffixes are equal too, a position shares one letter less than its left
+    neighbour; only the others are compared, and all of them share few letters in sum.
     """
-    before = np.full(len(text), -1, np.int64)
+    n = len(text)
+    before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    sums = sequence_sums(text.astype(np.uint64))
-
-    def equal(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-        same = np.maximum(a, b) + size <= len(text)
-        a, b = a[same], b[same]
-        same[same] = span_hash(sums, a, a + size) == span_hash(sums, b, b + size)
-        return same
-
-    out = np.zeros(len(text), np.int64)
-    at = np.flatnonzero(before >= 0)
-    whole = equal(at, before[at], limit)
-    out[at[whole]] = limit
-    at = at[~whole]
-    step = 1 << (int(limit).bit_length() - 1)
-    while step and exact:
-        fits = at[out[at] + step < limit]
-        out[fits[equal(fits + out[fits], before[fits] + out[fits], step)]] += step
-        step //= 2
-    return out
+    at = np.arange(n)
+    compared = (before <= 0) | (at == 0)
+    rest = np.flatnonzero(~compared)
+    compared[rest] = text[rest - 1] != text[before[rest] - 1]
+    shared = np.zeros(n, np.int64)
+    open_, step = np.flatnonzero(compared & (before >= 0)), 8
+    while len(open_):
+        width = min(step, max(1, (1 << 22) // len(open_)))
+        a, b = open_ + shared[open_], before[open_] + shared[open_]
+        along = np.arange(width)
+        # the last letter occurs once, so no comparison goes beyond it
+        equal = text[np.minimum(a[:, None] + along, n - 1)] == text[np.minimum(b[:, None] + along, n - 1)]
+        same = np.where(equal.all(axis=1), width, np.argmin(equal, axis=1))
+        shared[open_] += same
+        open_, step = open_[same == width], step * 2
+    head = np.maximum.accumulate(np.where(compared, at, 0))
+    return shared[head] - (at - head)

@@ -57,12 +57,16 @@ def frequency_weights(docs: DataFrame) -> np.ndarray:
             yield block_batch(list(sums), list(sums.values()))
 
     def block_batch(numbers: list[int], blocks: list[np.ndarray]) -> pa.RecordBatch:
-        values = [b.astype(np.int64).tobytes() for b in blocks]
+        values = [b.astype(np.min_scalar_type(int(b.max()))).tobytes() for b in blocks]
         return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(values, pa.binary())], ["block", "counts"])
 
+    def read(counts: pa.Buffer, number: int) -> np.ndarray:
+        """The counters of a block, sent in as few bytes each as its largest needs."""
+        return np.frombuffer(counts, f"u{len(counts) // (1 if number < 0 else wm.BLOCK)}")
+
     schema = "block int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema)
-    total = {r.block: np.frombuffer(r.counts, np.int64) for r in parts.repartition("block").mapInArrow(add, schema).collect()}
+    total = {r.block: read(r.counts, r.block).astype(np.int64) for r in parts.repartition("block").mapInArrow(add, schema).collect()}
     if not total:
         return np.ones((wm.SKETCH_ROWS, 1 << wm.SKETCH_BITS), np.float32)
     documents = int(total.pop(-1)[0])
@@ -211,33 +215,28 @@ def verified(pairs: DataFrame, feats: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "ha", "wa", "ta", "hb", "wb", "tb").mapInArrow(compare, schema).filter(F.col("similarity") >= threshold)
 
 
-def near_links(
+def near_classes(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], may: Callable[[Side, Side], Column] | None = None
 ) -> DataFrame:
-    """(a, b, similarity): verified links that connect all that candidates in a common bucket connect.
-
-    ``members`` is (bucket, node, place), places from 0 without gaps; ``verify`` keeps of pairs (a, b)
-    those that are links and adds their similarity. In a round the next few places of
-    a bucket, the pivots, meet the members behind them that are not yet in their group, so a bucket of
-    like texts is done after one round, with as many pairs as members; only members that stay apart
-    from the others go on. Every pair of a bucket is compared unless links already join the two or
+    """(node, label) of the nodes that verified links connect with others, the label being the least node of the class.
+
+    ``members`` is (bucket, node, place), places from 0 without gaps and in one order of nodes in all buckets;
+    ``verify`` keeps of pairs (a, b) those that are links. In a round the next few places of
+    a bucket, the pivots, meet the members behind them that are not yet in their class. First every
+    member tries the foremost pivot of all its buckets, so that a group of like texts is one class after one
+    link for each member; then the pairs that still are in two classes follow. Only members that stay
+    apart go on. Every pair of a bucket is compared unless links already join the two or
     ``may``, of their further columns, says that this is not needed.
     """
-    links, labels, first, width = None, None, 0, 1
+    labels, first, width = None, 0, 1
     while True:
-        now = members
-        if labels is not None:
-            now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        else:
-            now = members.withColumn("label", F.col("node"))
-        open_buckets = now.groupBy("bucket").agg(F.max("place").alias("top"), F.min("label").alias("x"), F.max("label").alias("y")).filter((F.col("x") != F.col("y")) & (F.col("top") > first)).select("bucket")
+        now = labelled(members, labels)
+        ends = now.groupBy("bucket").agg(F.max("place").alias("top"), F.min("label").alias("x"), F.max("label").alias("y"))
+        open_buckets = ends.filter((F.col("x") != F.col("y")) & (F.col("top") > first)).select("bucket")
         now = stored(now.join(open_buckets, "bucket"), "open")
         members = now.drop("label")
         if now.isEmpty():
-            if links is not None:
-                return links
-            nothing = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-            return nothing.withColumn("similarity", F.lit(0.0))
+            return labels if labels is not None else members.select("node", F.col("node").alias("label")).limit(0)
         pivots = now.filter(F.col("place").between(first, first + width - 1)).select(
             "bucket", F.col("node").alias("a"), *(F.col(c).alias(f"a_{c}") for c in now.columns if c not in ("bucket", "node"))
         )
@@ -245,13 +244,38 @@ def near_links(
         if may is not None:
             apart &= may(F.col, lambda name: F.col(f"a_{name}"))
         met = now.join(pivots, "bucket").filter(apart)
-        pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        fresh = verify(pairs)
-        links = stored(fresh if links is None else links.unionByName(fresh), "near")
-        labels = components(links, rounds=2)
+        pairs = stored(met.groupBy("a", F.col("node").alias("b")).agg(F.min("a_place").alias("place")), "pairs")
+        foremost = stored(pairs.groupBy("b").agg(F.min(F.struct("place", "a")).alias("top")).select("top.a", "b"), "foremost")
+        labels = united(labels, verify(foremost))
+        others = pairs.join(foremost, ["a", "b"], "left_anti").select(F.col("a").alias("node"), "b")
+        others = labelled(others, labels).select(F.col("node").alias("a"), F.col("b").alias("node"), F.col("label").alias("a_label"))
+        others = labelled(others, labels).filter("label <> a_label").select("a", F.col("node").alias("b"))
+        labels = united(labels, verify(stored(others, "others")))
         first, width = first + width, width * PIVOT_GROWTH
 
 
+def labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the label of their node, which is the node itself where no link is known."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def united(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """``labels`` after the classes that ``links`` (a, b) connect are one: components of classes, one link for two of them."""
+    links = stored(links.select("a", "b"), "near")
+    if links.isEmpty():
+        return labels
+    if labels is None:
+        return components(links)
+    ends = labelled(links.select(F.col("a").alias("node"), "b"), labels).select(F.col("b").alias("node"), F.col("label").alias("a"))
+    classes = labelled(ends, labels).select("a", F.col("label").alias("b")).filter("a <> b").distinct()
+    joined = components(classes).select(F.col("node").alias("was"), F.col("label").alias("now"))
+    moved = labels.join(joined, labels["label"] == joined["was"], "left").select("node", F.coalesce("now", "label").alias("label"))
+    new = joined.join(labels, joined["was"] == labels["node"], "left_anti").select(F.col("was").alias("node"), F.col("now").alias("label"))
+    return stored(moved.unionByName(new), "labels")
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """(key, class_id, class_size): each document's class, named by the least key in it.
 
@@ -279,8 +303,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", threshold: float =
     # texts with little of their own come first: they are like the most others
     own = F.floor((1 - F.col("shared") / F.col("total")) * 64)
     places = stored(ranked(members, ["bucket"], ["node"], "place", before=own), "places")
-    links = near_links(places.drop("shared"), lambda pairs: verified(pairs, feats, threshold), may_link(threshold))
-    labels = components(links)
+    labels = near_classes(places.drop("shared"), lambda pairs: verified(pairs, feats, threshold), may_link(threshold))
     signed = signed.join(labels, signed["digest"] == labels["node"], "left").withColumn("label", F.coalesce("label", "digest"))
     names = signed.filter("label IS NOT NULL").groupBy(F.col("label").alias("of")).agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"))
     return signed.join(names, signed["label"] == names["of"], "left").select(

@@ -30,6 +30,22 @@ def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return reduced(reduced(a_high * b_high * np.uint64(2) + middle) + a_low * b_low)
 
 
+def shifted(x: np.ndarray) -> np.ndarray:
+    """Numbers below the prime times 2**32: their 61 bits turned by 32."""
+    return ((x << np.uint64(32)) & MASK) | (x >> np.uint64(29))
+
+
+def powers(base: int, size: int) -> np.ndarray:
+    """The first ``size`` powers of a base, by doubling."""
+    out = np.ones(size, np.uint64)
+    done, step = 1, base
+    while done < size:
+        more = min(done, size - done)
+        out[done : done + more] = times(out[:more], np.full(more, step, np.uint64))
+        done, step = done + more, step * step % PRIME
+    return out
+
+
 class Polynomial:
     """Fingerprints with one base: the bytes, one added to each, are the digits of a number in that base.
 

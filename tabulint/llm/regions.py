@@ -6,8 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from tabulint.llm.words import mixed
-
 
 @dataclass(frozen=True)
 class Regions:
@@ -55,13 +53,3 @@ def regions(grams: np.ndarray, width: int, bounds: np.ndarray, window: int) -> R
     places = np.arange(edges[-1]) + np.repeat(first - (edges - spans), spans)
     again = np.add.reduceat((grams[places] == np.repeat(name, spans)).astype(np.int64), edges - spans) > 1
     return Regions(name, first, count, again)
-
-
-def sequence_sums(units: np.ndarray) -> np.ndarray:
-    """Running sums for the digest of any stretch of 64-bit units."""
-    from tabulint.llm.words import powers
-
-    sums = np.empty(len(units) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(mixed(units) * powers(len(units))[0][: len(units)], out=sums[1:])
-    return sums

@@ -1,4 +1,4 @@
-"""Repeated windows of texts over all documents: the frame that substring and suffix-array dedup share.
+"""Repeated windows of bytes over all documents: what brings the strings of suffix-array dedup together.
 
 Equal windows lie in regions of one name (see ``regions``). Regions of a name meet in one shuffle of
 narrow rows; equal regions are settled there, and only regions that share a name but differ are
@@ -18,12 +18,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulint.llm.regions import Regions, regions, sequence_sums
+from tabulint.llm.regions import Regions, regions
 from tabulint.llm.storage import stored
-from tabulint.llm.words import gram_hash, mixed, prefix_hash, slices, spaces, span_hash, word_bounds
+from tabulint.llm.words import byte_values, mixed, rough_span, rough_sums, slices
 
-# A name with more different regions than this is settled window by window, not in one shard.
-GROUP_REGIONS = 2000
+# A name whose different regions have more bytes in sum is settled window by window, not in one shard.
+GROUP_BYTES = 1 << 23
 SHARD_UNITS = 1 << 20
 
 RUNS = "id {key}, first long, n long"
@@ -31,36 +31,31 @@ RUNS = "id {key}, first long, n long"
 
 @dataclass(frozen=True)
 class Units:
-    """What a text is made of, bytes or words, and how long windows and the grams that name regions are."""
+    """How long windows and the grams that name regions are, in bytes."""
 
     window: int
     gram: int
-    by_word: bool
 
     def found(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, Regions, np.ndarray]]:
         """(first row, row of each region, regions with starts inside their text, digests) of slices of a text column."""
         for first, data, offsets in slices(column):
-            sums = prefix_hash(data)
-            if self.by_word:
-                start, end, row = word_bounds(data, offsets, spaces())
-                word = span_hash(sums, start, end)
-                bounds, grams, sums = np.searchsorted(row, np.arange(len(offsets))), gram_hash(word, self.gram), sequence_sums(word)
-            else:
-                at = np.arange(max(len(data) - self.gram + 1, 0))
-                bounds, grams = offsets, span_hash(sums, at, at + self.gram)
-            got = regions(grams, self.window - self.gram + 1, bounds, self.window)
-            row = np.searchsorted(bounds, got.first, "right") - 1
-            digest = span_hash(sums, got.first, got.first + got.starts + self.window - 1)
-            inside = Regions(got.name, got.first - bounds[row], got.starts, got.inner)
+            at = np.arange(max(len(data) - self.gram + 1, 0))
+            grams = rough_span(rough_sums(byte_values()[data]), at, at + self.gram)
+            got = regions(grams, self.window - self.gram + 1, offsets, self.window)
+            row = np.searchsorted(offsets, got.first, "right") - 1
+            digest = digests(memoryview(data), got.first, got.first + got.starts + self.window - 1)
+            inside = Regions(got.name, got.first - offsets[row], got.starts, got.inner)
             yield first, first + row, inside, digest
 
     def cut(self, text: bytes, first: np.ndarray, n: np.ndarray) -> list[bytes]:
-        """The stretches that ``n`` windows from ``first`` on cover; words are joined by one space."""
-        stop = first + n + self.window - 1
-        if not self.by_word:
-            return [text[a:b] for a, b in zip(first, stop)]
-        words = text.split()
-        return [b" ".join(words[a:b]) for a, b in zip(first, stop)]
+        """The stretches that ``n`` windows from ``first`` on cover."""
+        return [text[a:b] for a, b in zip(first, first + n + self.window - 1)]
+
+
+def digests(data: memoryview, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The 128-bit BLAKE2b digest of each stretch, as two numbers a row."""
+    found = b"".join([hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), stop.tolist())])
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
 def narrow_regions(docs: DataFrame, units: Units, key: str) -> DataFrame:
@@ -77,56 +72,56 @@ def narrow_regions(docs: DataFrame, units: Units, key: str) -> DataFrame:
                 continue
             row = np.concatenate([p[1] for p in parts])
             name, first, n, inner = (np.concatenate([getattr(p[2], c) for p in parts]) for c in ("name", "first", "starts", "inner"))
-            digest = np.concatenate([p[3] for p in parts])
+            digest, check = np.concatenate([p[3] for p in parts]).T
             place = pc.rank(batch.column("id"), tiebreaker="dense").to_numpy()[row]
-            order = np.lexsort((first, place, digest, name))
-            row, place, name, first, n, inner, digest = (x[order] for x in (row, place, name, first, n, inner, digest))
-            same = np.r_[False, (name[1:] == name[:-1]) & (digest[1:] == digest[:-1])]
+            order = np.lexsort((first, place, check, digest, name))
+            row, place, name, first, n, inner, digest, check = (x[order] for x in (row, place, name, first, n, inner, digest, check))
+            same = np.r_[False, (name[1:] == name[:-1]) & (digest[1:] == digest[:-1]) & (check[1:] == check[:-1])]
             again = same & np.r_[False, (place[1:] == place[:-1]) & (first[1:] == first[:-1])]
-            row, name, first, n, inner, digest, same = (x[~again] for x in (row, name, first, n, inner, digest, same))
+            row, name, first, n, inner, digest, check, same = (x[~again] for x in (row, name, first, n, inner, digest, check, same))
             kind = np.where(same, 2, np.where(np.r_[same[1:], False], 1, 0))
-            alone = mixed(digest ^ mixed(first.astype(np.uint64) * np.uint64(2654435761) + row.astype(np.uint64)))
+            alone = mixed(digest.view(np.uint64) ^ mixed(first.astype(np.uint64) * np.uint64(2654435761) + row.astype(np.uint64)))
             name = np.where(same, alone, name)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(name.view(np.int64)),
-                    pa.array(digest.view(np.int64)),
+                    pa.array(digest),
+                    pa.array(check),
                     batch.column("id").take(pa.array(row)),
                     pa.array(first),
                     pa.array(n),
                     pa.array(inner),
                     pa.array(kind.astype(np.int8)),
                 ],
-                ["name", "digest", "id", "first", "n", "inner", "kind"],
+                ["name", "digest", "check", "id", "first", "n", "inner", "kind"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
     some = docs.filter(F.col(key).isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("id"), "text")
-    return some.mapInArrow(find, f"name long, digest long, id {kind}, first long, n long, inner boolean, kind tinyint")
+    return some.mapInArrow(find, f"name long, digest long, check long, id {kind}, first long, n long, inner boolean, kind tinyint")
 
 
-def settled(found: DataFrame, keep_first: bool) -> DataFrame:
+def settled(found: DataFrame, window: int) -> DataFrame:
     """(id, first, n, name, crowded, gone, open): regions that go whole, and regions to be compared inside.
 
-    A region goes if an equal one comes before it or, without ``keep_first``, anywhere else. Of equal
-    regions the first is compared, with all different regions of its name, or with itself if its name
-    occurs in it twice. ``crowded`` tells that there are more than GROUP_REGIONS of these.
+    A region goes if an equal one comes before it. Of equal regions the first is compared, with all
+    different regions of its name, or with itself if its name occurs in it twice. ``crowded`` tells that
+    these have more than GROUP_BYTES in sum.
     """
     group = Window.partitionBy("name", "copy")
-    sort = group.orderBy("digest", "id", "first")
-    before = F.lag(F.struct("digest", "id", "first")).over(sort)
+    sort = group.orderBy("digest", "check", "id", "first")
+    before = F.lag(F.struct("digest", "check", "id", "first")).over(sort)
     rows = found.withColumn("copy", F.col("kind") == 2)
     rows = rows.withColumn("before", before)
-    equal = F.coalesce(F.col("before.digest") == F.col("digest"), F.lit(False))
+    equal = F.coalesce((F.col("before.digest") == F.col("digest")) & (F.col("before.check") == F.col("check")), F.lit(False))
     # a repeated row of one document is that document
     rows = rows.filter(~(equal & (F.col("before.id") == F.col("id")) & (F.col("before.first") == F.col("first"))))
-    rows = rows.withColumn("later", equal | F.col("copy")).withColumn("after", F.lead("digest").over(sort))
-    different = F.sum(F.when(F.col("later"), 0).otherwise(1)).over(group)
-    gone = F.col("later") if keep_first else F.col("later") | (F.col("kind") == 1) | F.coalesce(F.col("after") == F.col("digest"), F.lit(False))
-    rows = rows.withColumn("different", different).withColumn("gone", gone)
-    rows = rows.withColumn("open", ~F.col("later") & (F.col("inner") | (F.col("different") > 1)))
+    rows = rows.withColumn("gone", equal | F.col("copy"))
+    different, size = (F.sum(F.when(F.col("gone"), 0).otherwise(x)).over(group) for x in (F.lit(1), F.col("n") + F.lit(window)))
+    rows = rows.withColumn("different", different).withColumn("size", size)
+    rows = rows.withColumn("open", ~F.col("gone") & (F.col("inner") | (F.col("different") > 1)))
     return rows.filter("gone OR open").select(
-        "id", "first", "n", "name", (F.col("different") > GROUP_REGIONS).alias("crowded"), "gone", "open"
+        "id", "first", "n", "name", ((F.col("size") > GROUP_BYTES) & (F.col("different") > 1)).alias("crowded"), "gone", "open"
     )
 
 
@@ -154,7 +149,7 @@ def open_texts(docs: DataFrame, regions_: DataFrame, units: Units, key: str) ->
                 first, n, name = first[at] + inside, np.where(alone, 1, n[at]), name[at]
                 for body, single in zip(units.cut(batch.column("text")[i].as_py().encode(), first, n), alone):
                     bodies.append(None if single else body)
-                    digests.append(hashlib.md5(body).digest() if single else None)
+                    digests.append(hashlib.blake2b(body, digest_size=16).digest() if single else None)
                 parts.append((name, np.full(len(at), i), first, n))
             if parts:
                 name, row, first, n = (np.concatenate(x) for x in zip(*parts))
@@ -166,7 +161,7 @@ def open_texts(docs: DataFrame, regions_: DataFrame, units: Units, key: str) ->
     return texts.mapInArrow(fetch, f"name long, id {kind}, first long, n long, body binary, digest binary")
 
 
-def crowded_windows(texts: DataFrame, keep_first: bool) -> DataFrame:
+def crowded_windows(texts: DataFrame) -> DataFrame:
     """(id, first, n): the windows of crowded names that go.
 
     Their first places and numbers are added up before the shuffle, so however many documents share a
@@ -175,9 +170,7 @@ def crowded_windows(texts: DataFrame, keep_first: bool) -> DataFrame:
     windows = texts.filter("digest IS NOT NULL").select("digest", "id", "first", "n")
     firsts = windows.groupBy("digest").agg(F.min(F.struct("id", "first")).alias("least"), F.count(F.lit(1)).alias("times"))
     again = windows.join(firsts.filter("times > 1"), "digest")
-    if keep_first:
-        again = again.filter((F.col("id") != F.col("least.id")) | (F.col("first") != F.col("least.first")))
-    return again.select("id", "first", "n")
+    return again.filter((F.col("id") != F.col("least.id")) | (F.col("first") != F.col("least.first"))).select("id", "first", "n")
 
 
 Compare = Callable[[list[int], np.ndarray, list[bytes]], np.ndarray]
@@ -223,11 +216,11 @@ def compared(texts: DataFrame, compare: Compare) -> DataFrame:
     return grouped.mapInArrow(run, RUNS.format(key=kind))
 
 
-def runs_to_remove(docs: DataFrame, units: Units, compare: Compare, *, key: str, keep_first: bool) -> DataFrame:
+def runs_to_remove(docs: DataFrame, units: Units, compare: Compare, *, key: str) -> DataFrame:
     """(id, runs): for each document that loses something, its runs (first, n) of window starts that go."""
-    known = stored(settled(narrow_regions(docs, units, key), keep_first), "regions")
+    known = stored(settled(narrow_regions(docs, units, key), units.window), "regions")
     texts = stored(open_texts(docs, known, units, key), "texts")
-    inside = compared(texts, compare).unionByName(crowded_windows(texts, keep_first))
+    inside = compared(texts, compare).unionByName(crowded_windows(texts))
     runs = known.filter("gone").select("id", "first", "n").unionByName(inside)
     return runs.groupBy("id").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
 

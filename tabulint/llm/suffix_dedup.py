@@ -35,8 +35,8 @@ def later_starts(window: int):
         inside = np.ones(len(text), bool)
         inside[begins + sizes - 1] = inside[-1] = False
         text[inside] = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint16) + FIRST_BYTE
-        order = suffix_array(text, 256 + FIRST_BYTE, window)
-        shared = permuted_common_prefixes(text, order, window, exact=False)[order] >= window
+        order = suffix_array(text, 256 + FIRST_BYTE)
+        shared = permuted_common_prefixes(text, order)[order] >= window
         classes = np.flatnonzero(~shared)
         first = np.minimum.reduceat(order, classes)
         later = np.zeros(len(text), bool)
@@ -57,8 +57,8 @@ def drop_repeated_bytes(docs: DataFrame, *, key: str = "doc_id", window: int = W
     same bytes; different texts need different keys. Columns that have the new names are replaced.
     """
     docs = docs.drop("kept", "n_bytes", "n_removed", "spans")
-    units = Units(window=window, gram=min(GRAM_BYTES, window), by_word=False)
-    gone = runs_to_remove(docs, units, later_starts(window), key=key, keep_first=True).withColumnsRenamed({"id": "__key", "runs": "__runs"})
+    units = Units(window=window, gram=min(GRAM_BYTES, window))
+    gone = runs_to_remove(docs, units, later_starts(window), key=key).withColumnsRenamed({"id": "__key", "runs": "__runs"})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

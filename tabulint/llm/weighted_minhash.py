@@ -18,8 +18,9 @@ BANDS, ROWS = 10, 3
 # The sketch of document frequencies: each shingle counts in one cell of each row.
 SKETCH_ROWS, SKETCH_BITS = 2, 20
 BLOCK = 4096
-# A shingle counts in full while at most one document in COMMON has it, and at least half otherwise.
-COMMON, LEAST = 20.0, 0.5
+# A shingle counts in full while at most one document in COMMON has it, and LEAST of that at least. Copies in a large
+# group make what they share common: with LEAST at 0.8 two texts of a plain similarity of 5/6 reach 0.8 in any group.
+COMMON, LEAST = 20.0, 0.8
 
 
 @dataclass(frozen=True)

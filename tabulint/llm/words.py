@@ -9,6 +9,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+from tabulint.llm.polynomial import MASK, PRIME, powers, reduced, shifted, times
+
 # Bytes of text that one vector operation takes; a longer text is taken alone.
 SLICE_BYTES = 1 << 19
 
@@ -21,8 +23,16 @@ UNSPACED = [
     (0xFF66, 0xFF9F), (0x16FE0, 0x1B2FF),
 ]
 
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
+# The base of word hashes, modulo the prime 2**61 - 1. Modulo a power of two a polynomial would not tell a
+# Thue-Morse string from its complement, whatever its base.
+BASE = 0x1E3779B97F4A7C15 % PRIME
+INVERSE = pow(BASE, -1, PRIME)
+# Bytes whose sums, in halves of their terms, stay below 2**64.
+SUM_BYTES = 1 << 22
+
+# Fast sums modulo 2**64, which only name things: what has one name is compared before anything follows from it.
+ROUGH_BASE = np.uint64(0x9E3779B97F4A7C15)
+ROUGH_INVERSE = np.uint64(pow(int(ROUGH_BASE), -1, 2**64))
 
 
 def spaces() -> np.ndarray:
@@ -48,19 +58,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def table_size(size: int) -> int:
+    return max(SLICE_BYTES + 1, 1 << int(size).bit_length())
+
+
 @lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (BASE, INVERSE):
-        powers = np.full(size, base, np.uint64)
-        powers[0] = 1
-        out.append(np.multiply.accumulate(powers))
-    return out[0], out[1]
+    return powers(BASE, size), powers(INVERSE, size)
 
 
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2**64, at least ``size`` of them."""
-    return _powers(max(SLICE_BYTES + 1, 1 << int(size).bit_length()))
+@lru_cache(maxsize=1)
+def _rough_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (ROUGH_BASE, ROUGH_INVERSE):
+        numbers = np.full(size, base, np.uint64)
+        numbers[0] = 1
+        out.append(np.multiply.accumulate(numbers))
+    return out[0], out[1]
 
 
 @lru_cache(maxsize=1)
@@ -145,16 +159,34 @@ def word_bounds(
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running sums of which ``span_hash`` makes the hash of any stretch of bytes."""
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(byte_values()[data] * powers(len(data))[0][: len(data)], out=sums[1:])
+    """Running sums modulo 2**61 - 1 of which ``span_hash`` makes the hash of any stretch of bytes."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    steps, before = _powers(table_size(len(data)))[0], np.uint64(0)
+    for first in range(0, len(data), SUM_BYTES):
+        last = min(first + SUM_BYTES, len(data))
+        digit, step = data[first:last].astype(np.uint64) + np.uint64(1), steps[first:last]
+        high, low = np.cumsum(digit * (step >> np.uint64(32))), np.cumsum(digit * (step & np.uint64(0xFFFFFFFF)))
+        sums[first + 1 : last + 1] = reduced(reduced(low) + shifted(high) + before)
+        before = sums[last]
     return sums
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each stretch, the same wherever it lies."""
-    return mixed((sums[end] - sums[start]) * powers(len(sums))[1][start])
+    apart = reduced(sums[end] + (MASK - sums[start]))
+    return mixed(times(apart, _powers(table_size(len(sums) - 1))[1][start]))
+
+
+def rough_sums(units: np.ndarray) -> np.ndarray:
+    """Running sums modulo 2**64 of scrambled units, for ``rough_span``."""
+    sums = np.zeros(len(units) + 1, np.uint64)
+    np.cumsum(units * _rough_powers(table_size(len(units)))[0][: len(units)], out=sums[1:])
+    return sums
+
+
+def rough_span(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each stretch, the same wherever it lies; long stretches can be made to share one."""
+    return mixed((sums[end] - sums[start]) * _rough_powers(table_size(len(sums) - 1))[1][start])
 
 
 def gram_hash(hashes: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
@@ -162,5 +194,5 @@ def gram_hash(hashes: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     size = max(len(hashes) - n + 1, 0)
     out = np.full(size, np.uint64(salt), np.uint64)
     for k in range(n):
-        out = out * BASE + hashes[k : k + size]
+        out = out * ROUGH_BASE + hashes[k : k + size]
     return mixed(out)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -69,10 +70,11 @@ def test_odd_texts(odd, rows):
     assert set(odd.columns) <= set(substring_dedup.drop_repeated_words(odd).columns)
 
 
-@pytest.mark.parametrize("group_regions", [2000, 2])
-def test_patchwork(llm, patchwork, monkeypatch, group_regions):
+@pytest.mark.parametrize("group_bytes", [1 << 23, 500])
+def test_patchwork(llm, patchwork, monkeypatch, group_bytes):
     """Also with groups counted as crowded that are not, so that single windows settle them."""
-    monkeypatch.setattr(repeats, "GROUP_REGIONS", group_regions)
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", group_bytes)
     docs = llm.createDataFrame(patchwork, "doc_id long, text string").repartition(4)
     assert byte_result(docs) == brute_bytes(patchwork)
     assert word_result(docs) == brute_words(patchwork)
@@ -92,16 +94,32 @@ def test_empty_table_null_and_repeated_keys(llm, empty):
     assert word_result(both)[1][1] == word_result(both)[2][1] == 60
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.integers(1, 4), max_size=80), st.integers(1, 9))
-def test_suffix_arrays_equal_brute_force(letters, limit):
-    text = np.array([*letters, 0], np.uint16)
-    order = suffix_array(text, 8, 100).tolist()
+def common(text, a, b):
+    same = 0
+    while max(a, b) + same < len(text) and text[a + same] == text[b + same]:
+        same += 1
+    return same
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 6)), max_size=40))
+def test_suffix_arrays_equal_brute_force(runs):
+    text = np.array([*(letter for letter, n in runs for _ in range(n)), 0], np.uint16)
+    order = suffix_array(text, 8).tolist()
     assert order == sorted(range(len(text)), key=lambda i: text[i:].tolist())
-    shared = permuted_common_prefixes(text, np.array(order), limit)
-    whole = permuted_common_prefixes(text, np.array(order), limit, exact=False)
-    for a, b in zip(order, order[1:]):
-        same = 0
-        while same < limit and max(a, b) + same < len(text) and text[a + same] == text[b + same]:
-            same += 1
-        assert shared[b] == same and whole[b] == (limit if same == limit else 0)
+    shared = permuted_common_prefixes(text, np.array(order))
+    assert shared[order[0]] == 0
+    assert all(shared[b] == common(text, a, b) for a, b in zip(order, order[1:]))
+
+
+@pytest.mark.parametrize("piece", [b"a", b"ab", b"aab", b"abcab"])
+def test_long_runs_are_sorted_in_a_few_steps(piece):
+    text = np.r_[np.frombuffer(piece * (1_500_000 // len(piece)), np.uint8).astype(np.uint16), 0]
+    started = time.monotonic()
+    order = suffix_array(text, 256)
+    shared = permuted_common_prefixes(text, order)[order]
+    assert time.monotonic() - started < 30
+    assert (np.sort(order) == np.arange(len(text))).all() and shared.max() == len(text) - 1 - len(piece)
+    at = np.random.default_rng(1).integers(1, len(text) - 1, 300)
+    for a, b, n in zip(order[at], order[at + 1], shared[at + 1]):
+        assert a + n == len(text) - 1 or b + n == len(text) - 1 or text[a + n] < text[b + n]
