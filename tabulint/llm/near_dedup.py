@@ -22,27 +22,53 @@ THRESHOLD = 0.8
 PIVOT_GROWTH = 32
 # Parts of the hash space in which shared weights are compared: a power of two.
 CHUNKS = 32
+# A group of copies counts as one document in document frequencies if one document in GROUPS belongs to it.
+GROUPS = 1000
 # The weight that marks a shingle as shared, and what sums of weights may differ by.
 SHARED = -1.0
 ROUNDING = 1e-3
 
 
+def copy_groups(docs: DataFrame) -> dict[int, int]:
+    """Group band -> number of documents, of those that one document in GROUPS has at least.
+
+    Fewer than GROUPS times GROUP_BANDS numbers can be, however many documents there are.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [wm.group_bands(found).ravel() for _, found in wm.shingles(batch.column(0))]
+            if parts:
+                band, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(band.view(np.int64)), pa.array(n)], ["band", "n"])
+
+    some = docs.select("text").filter(F.col("text").isNotNull())
+    counts = some.mapInArrow(find, "band long, n long").groupBy("band").agg(F.sum("n").alias("n"))
+    least = max(2, -(-some.count() // GROUPS))
+    return {r.band: r.n for r in counts.filter(F.col("n") >= least).collect()}
+
+
 def frequency_weights(docs: DataFrame) -> np.ndarray:
     """The inverse document frequency by sketch cell, over all documents.
 
     Each task adds up its own sketch; the sum of all has a fixed size, SKETCH_ROWS times 2**SKETCH_BITS
     cells, and tells how large a share of the documents has a shingle, to within a share that does not
-    grow with their number.
+    grow with their number. The documents of a large group of copies count as one together, so that
+    what they share keeps its weight however many they are.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(copy_groups(docs))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros((wm.SKETCH_ROWS, 1 << wm.SKETCH_BITS), np.int64)
-        documents = 0
+        cells = np.zeros((wm.SKETCH_ROWS, 1 << wm.SKETCH_BITS))
+        documents, groups = 0.0, sent.value
         for batch in batches:
             for _, found in wm.shingles(batch.column(0)):
-                documents += int((np.diff(found.starts) > 0).sum())
+                share = np.array([1 / max(groups.get(b, 1) for b in row) for row in wm.group_bands(found).view(np.int64).tolist()])
+                documents += float(share.sum())
+                sizes = np.diff(found.starts)
+                by_shingle = np.repeat(share, sizes[sizes > 0])
                 for i, c in enumerate(wm.cells(found.hashes)):
-                    cells[i] += np.bincount(c, minlength=1 << wm.SKETCH_BITS)
+                    cells[i] += np.bincount(c, weights=by_shingle, minlength=1 << wm.SKETCH_BITS)
         if documents:
             blocks = cells.reshape(-1, wm.BLOCK)
             yield block_batch([-1, *range(len(blocks))], [np.array([documents]), *blocks])
@@ -51,25 +77,29 @@ def frequency_weights(docs: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for number, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                counts = np.frombuffer(part.as_buffer(), np.int64)
-                sums[number] = sums[number] + counts if number in sums else counts.copy()
+                counts = read(part.as_buffer(), number)
+                sums[number] = sums[number] + counts if number in sums else counts
         if sums:
             yield block_batch(list(sums), list(sums.values()))
 
     def block_batch(numbers: list[int], blocks: list[np.ndarray]) -> pa.RecordBatch:
-        values = [b.astype(np.min_scalar_type(int(b.max()))).tobytes() for b in blocks]
+        values = [narrow(b).tobytes() for b in blocks]
         return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(values, pa.binary())], ["block", "counts"])
 
+    def narrow(counts: np.ndarray) -> np.ndarray:
+        """The counters of a block in one byte each where they are small whole numbers, else in eight."""
+        return counts.astype(np.uint8) if counts.max() < 256 and (counts == np.floor(counts)).all() else counts
+
     def read(counts: pa.Buffer, number: int) -> np.ndarray:
-        """The counters of a block, sent in as few bytes each as its largest needs."""
-        return np.frombuffer(counts, f"u{len(counts) // (1 if number < 0 else wm.BLOCK)}")
+        one_byte = len(counts) == (1 if number < 0 else wm.BLOCK)
+        return np.frombuffer(counts, np.uint8 if one_byte else np.float64).astype(np.float64)
 
     schema = "block int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema)
-    total = {r.block: read(r.counts, r.block).astype(np.int64) for r in parts.repartition("block").mapInArrow(add, schema).collect()}
+    total = {r.block: read(r.counts, r.block) for r in parts.repartition("block").mapInArrow(add, schema).collect()}
     if not total:
         return np.ones((wm.SKETCH_ROWS, 1 << wm.SKETCH_BITS), np.float32)
-    documents = int(total.pop(-1)[0])
+    documents = float(total.pop(-1)[0])
     counts = np.concatenate([total[i] for i in sorted(total)]).reshape(wm.SKETCH_ROWS, -1)
     return wm.inverse_frequency(counts, documents)
 

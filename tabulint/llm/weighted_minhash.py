@@ -18,9 +18,13 @@ BANDS, ROWS = 10, 3
 # The sketch of document frequencies: each shingle counts in one cell of each row.
 SKETCH_ROWS, SKETCH_BITS = 2, 20
 BLOCK = 4096
-# A shingle counts in full while at most one document in COMMON has it, and LEAST of that at least. Copies in a large
-# group make what they share common: with LEAST at 0.8 two texts of a plain similarity of 5/6 reach 0.8 in any group.
-COMMON, LEAST = 20.0, 0.8
+# A shingle counts in full while at most one document in COMMON has it, and at least half otherwise.
+COMMON, LEAST = 20.0, 0.5
+# Steps of an inverse document frequency, far above what the order of summing can change.
+STEPS = 256
+
+# Texts that agree in all least shingles of a group band are copies of one another, nearly, and count as one document together.
+GROUP_BANDS, GROUP_ROWS = 3, 3
 
 
 @dataclass(frozen=True)
@@ -63,10 +67,23 @@ def cells(hashes: np.ndarray) -> list[np.ndarray]:
     return [(mixed(hashes + np.uint64(i + 1)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64) for i in range(SKETCH_ROWS)]
 
 
-def inverse_frequency(counts: np.ndarray, documents: int) -> np.ndarray:
+def group_bands(found: Shingles) -> np.ndarray:
+    """One row of GROUP_BANDS numbers per text that has shingles, of its least shingles in GROUP_ROWS orders each."""
+    draws = np.random.default_rng(11)
+    begins = found.starts[:-1][np.diff(found.starts) > 0]
+    out = np.zeros((len(begins), GROUP_BANDS), np.uint64)
+    if len(begins):
+        for k, salt in enumerate(draws.integers(1 << 62, size=GROUP_BANDS * GROUP_ROWS).astype(np.uint64)):
+            least = np.minimum.reduceat(mixed(found.hashes + salt), begins)
+            out[:, k // GROUP_ROWS] = mixed(out[:, k // GROUP_ROWS] + least + np.uint64(k))
+    return out
+
+
+def inverse_frequency(counts: np.ndarray, documents: float) -> np.ndarray:
     """The weight of a shingle by cell: falls with the logarithm of its share of documents, from 1 to LEAST."""
     share = documents / np.maximum(counts, 1)
-    return np.clip(np.log(np.maximum(share, 1)) / np.log(COMMON), LEAST, 1).astype(np.float32)
+    weight = np.clip(np.log(np.maximum(share, 1)) / np.log(COMMON), LEAST, 1)
+    return (np.round(weight * STEPS) / STEPS).astype(np.float32)
 
 
 def weights(found: Shingles, table: np.ndarray) -> np.ndarray:

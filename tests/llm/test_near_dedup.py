@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from tabulint.llm import weighted_minhash as wm
-from tabulint.llm import words
+from tabulint.llm import near_dedup, words
 from tabulint.llm.components import components
 from tabulint.llm.near_dedup import near_duplicates, one_of_each_class
 
@@ -22,9 +22,16 @@ def shingle_counts(text):
 def classes(rows, threshold=0.8):
     """Connected components by exact weighted Jaccard similarity, all pairs."""
     counts = {i: shingle_counts(t) for i, t in rows if t is not None}
-    held = Counter(g for c in counts.values() for g in c)
-    documents = sum(1 for c in counts.values() if c)
-    weight = {g: min(1, max(wm.LEAST, math.log(documents / n) / math.log(wm.COMMON))) for g, n in held.items()}
+    words = [i for i, c in counts.items() if c]
+    texts = dict(rows)
+    bands = {i: [wm.group_bands(found)[0].tolist() for _, found in wm.shingles(pa.array([texts[i]]))][0] for i in words}
+    copies = Counter(b for i in words for b in bands[i])
+    share = {i: 1 / max(copies[b] for b in bands[i]) for i in words}
+    held = Counter()
+    for i in words:
+        held.update(dict.fromkeys(counts[i], share[i]))
+    documents = sum(share.values())
+    weight = {g: min(1, max(wm.LEAST, math.log(documents / max(n, 1)) / math.log(wm.COMMON))) for g, n in held.items()}
     parent = {i: i for i, _ in rows}
 
     def root(x):
@@ -116,3 +123,45 @@ def test_near_copies_in_scripts_without_spaces(llm):
     start, end, row = words.word_bounds(data, offsets, words.not_letters(), words.character_kinds())
     found = [(int(i), bytes(data[a:b]).decode()) for a, b, i in zip(start, end, row)]
     assert found == [(0, w) for w in ("naïve", "quoted", "text", "日", "本", "語", "abc", "qué")] + [(1, "é"), (2, "日")]
+
+
+@pytest.mark.parametrize("copies", [500, 1500])
+def test_a_hot_group_is_spanned_by_few_links(llm, monkeypatch, copies):
+    """Edited copies of one text, a third of all rows: nearly all like pairs share a class, on no more links than nodes."""
+    r = random.Random(copies)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(copies):
+        changed = list(words)
+        changed[r.randrange(60)] = f"new{i}"
+        rows.append((i, " ".join(changed)))
+    rows += [(copies + i, " ".join(f"z{r.randrange(10**6)}" for _ in range(50))) for i in range(2 * copies)]
+    links = []
+    counted = near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda pairs: links.append(pairs.count()) or counted(pairs))
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {x.doc_id: x.class_id for x in near_duplicates(docs).collect()}
+    assert sum(links) <= copies
+    grams = [set(shingle_counts(t)) for _, t in rows[:500]]
+    like = [(i, j) for i in range(len(grams)) for j in range(i) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])]
+    assert len(like) > 5 * len(grams)
+    assert np.mean([found[i] == found[j] for i, j in like]) >= 0.99
+    assert all(found[i] == i for i in range(copies, len(rows)))
+
+
+def thue_morse(n):
+    """A string over two letters and its complement; a polynomial modulo a power of two does not tell them apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096, 8192])
+def test_words_that_fool_sums_modulo_powers_of_two(llm, n):
+    one, other = thue_morse(n)
+    data = np.frombuffer((one + other).encode(), np.uint8)
+    sums, rough = words.prefix_hash(data), words.rough_sums(words.byte_values()[data])
+    ends = np.array([0, n]), np.array([n, 2 * n])
+    assert len(set(words.span_hash(sums, *ends).tolist())) == 2
+    assert len(set(words.rough_span(rough, *ends).tolist())) == 1
+    docs = llm.createDataFrame([(1, f"a b c d {one}"), (2, f"a b c d {other}")], "doc_id long, text string")
+    assert {x.class_id for x in near_duplicates(docs).collect()} == {1, 2}

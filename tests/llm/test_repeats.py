@@ -45,6 +45,11 @@ def brute_words(rows, window=35):
     return out
 
 
+def thue_morse(n):
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
 def byte_result(docs, **options):
     found = suffix_dedup.digests(suffix_dedup.drop_repeated_bytes(docs, **options)).collect()
     return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found}
@@ -123,3 +128,30 @@ def test_long_runs_are_sorted_in_a_few_steps(piece):
     at = np.random.default_rng(1).integers(1, len(text) - 1, 300)
     for a, b, n in zip(order[at], order[at + 1], shared[at + 1]):
         assert a + n == len(text) - 1 or b + n == len(text) - 1 or text[a + n] < text[b + n]
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_texts_that_fool_sums_modulo_powers_of_two(llm, n):
+    one, other = thue_morse(n)
+    words = [f"w{i}" for i in range(34)]
+    rows = [(1, " ".join([*words[:17], one, *words[17:]])), (2, " ".join([*words[:17], other, *words[17:]])), (3, one), (4, other)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    assert word_result(docs) == brute_words(rows) and byte_result(docs) == brute_bytes(rows)
+    assert {r[1] for r in word_result(docs).values()} == {0}
+
+
+def test_passage_in_a_third_of_many_documents(llm):
+    r = random.Random(9)
+    passage = " ".join(f"hot{i}" for i in range(70))
+    rows = [(i, " ".join(f"u{r.randrange(10**7)}" for _ in range(40))) for i in range(900)]
+    rows = [(i, f"{t} {passage} {t[::-1]}" if i % 3 == 0 else t) for i, t in rows]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert word_result(docs) == brute_words(rows) and byte_result(docs) == brute_bytes(rows)
+
+
+def test_every_node_of_a_subtree():
+    bodies = [b"a b c a b c ", b"x a b c y ", b"q r s "]
+    flags = substring_dedup.repeated_starts([5, 5, 9], np.array([4, 3, 1]), np.array([False, False, True]), bodies, 3)
+    assert flags.tolist() == [True, False, False, True, False, True, False, True]
+    order, shared = substring_dedup.sorted_suffixes(np.array([0, 0, 1]), np.array([0, 2, 0]), np.array([7, 256, 7, 256, 8]), 2)
+    assert order.tolist() == [0, 1, 2] and shared.tolist() == [-1, 2, -1]
