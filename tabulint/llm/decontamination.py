@@ -1,27 +1,28 @@
-"""Operator 2: rare seeds join passages to benchmark items; Smith-Waterman alignment scores them."""
+"""Operator 2: rare n-gram seeds join passages to benchmark items; Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabulint.llm.words import character_kinds, not_letters, prefix_hash, slices, span_hash, word_bounds
+from tabulint.llm.storage import stored
+from tabulint.llm.words import character_kinds, mixed, not_letters, prefix_hash, slices, span_hash, word_bounds
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
-# A block of items is what one scan of the documents looks for; it bounds what is broadcast.
-BLOCK_ITEMS, BLOCK_BYTES = 20_000, 1 << 25
+# A seed is two words in order, at most so many places apart in the item and in the text.
+REACH = 3
+# Two tables of so many bits keep documents' grams from the shuffle that no item has.
 FILTER_BITS = 22
-# Pairs of an item and a place in a text that one vector operation takes.
-PLACES = 1 << 20
 ROUNDING = 1e-9
+SINGLE, FORMER = np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95)
 
 
 def rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -37,48 +38,59 @@ def rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
                 yield first + i, word[a:b]
 
 
-class Lookup:
-    """Finds the words that occur in a sorted list; most others fail at a table of bits."""
+def single_grams(words: np.ndarray) -> np.ndarray:
+    return mixed(words + SINGLE)
 
-    def __init__(self, words: np.ndarray) -> None:
-        self.words = np.unique(words)
-        self.some = np.zeros(1 << FILTER_BITS, bool)
-        self.some[self.cell(self.words)] = True
 
-    @staticmethod
-    def cell(words: np.ndarray) -> np.ndarray:
-        return (words >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def pair_grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the first word, gram) of all pairs of words at most REACH places apart."""
+    former = mixed(words) * FORMER
+    places = [np.arange(max(len(words) - d, 0)) for d in range(1, REACH + 1)]
+    grams = [mixed(former[: len(at)] + words[d : d + len(at)]) for d, at in enumerate(places, start=1)]
+    return np.concatenate(places), np.concatenate(grams)
+
 
-    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions in ``words``, numbers in the list) of what is found."""
-        at = np.flatnonzero(self.some[self.cell(words)])
-        if not len(at) or not len(self.words):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        number = np.minimum(np.searchsorted(self.words, words[at]), len(self.words) - 1)
-        found = self.words[number] == words[at]
-        return at[found], number[found]
+def item_grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, gram) of the pairs of an item; an item of one word has that word."""
+    return pair_grams(words) if len(words) > 1 else (np.zeros(1, np.int64), single_grams(words))
 
 
-def least_matches(size: np.ndarray, threshold: float) -> np.ndarray:
+def least_matches(size: int, threshold: float) -> int:
     """How many words of an item an alignment has to match for ``threshold``: a match scores most, all else costs."""
-    return np.maximum(np.ceil(threshold * size - ROUNDING), 1).astype(np.int64)
+    return max(int(np.ceil(threshold * size - ROUNDING)), 1)
 
 
-def longest_passage(size: np.ndarray, threshold: float) -> np.ndarray:
+def longest_passage(size: int, threshold: float) -> int:
     """How many words of a text an alignment can take up that reaches ``threshold``.
 
     Beside the item's words there are at most as many others as their cost leaves of the score.
     """
-    left = MATCH * size * (1 - max(threshold, 0))
-    return size + np.floor(left / -max(MISMATCH, GAP) + ROUNDING).astype(np.int64)
+    return size + int(np.floor(MATCH * size * (1 - max(threshold, 0)) / -max(MISMATCH, GAP) + ROUNDING))
 
 
-def seeds(numbers: np.ndarray, counts: np.ndarray, needed: int) -> np.ndarray:
-    """Of an item's words, given by number, those that fewest documents hold: one more than an alignment may leave unmatched.
+def places_in_common(size: int, threshold: float) -> int:
+    """At how many places of an item, at least, a text has a pair of the item that reaches ``threshold`` with it.
 
-    So every alignment that matches ``needed`` words matches a seed, whatever a leak has changed.
+    An alignment of m matches has score left for e = MATCH * (m - threshold * size) errors at most. Of the
+    m - 1 pairs of neighbouring matches at most e / REACH have REACH errors between them; the others'
+    words stand at most REACH places apart on both sides.
     """
-    return np.unique(numbers[np.argsort(counts[numbers], kind="stable")[: max(len(numbers) - needed + 1, 0)]])
+    m = np.arange(least_matches(size, threshold), size + 1)
+    errors = np.floor(MATCH * (m - threshold * size) / -max(MISMATCH, GAP) + ROUNDING)
+    return int((m - 1 - np.floor(errors / REACH)).min(initial=size))
+
+
+def seeds(place: np.ndarray, gram: np.ndarray, held: np.ndarray, size: int, threshold: float) -> np.ndarray:
+    """The grams of an item's places that the fewest documents hold, of as many places as no match can be without.
+
+    Of size - 1 places a text has places_in_common at least, so it has one of any size - places_in_common.
+    Where there need be none in common, a text has to hold the whole item, and any place will do.
+    """
+    common = places_in_common(size, threshold)
+    wanted = size - common if common > 0 else 1
+    by_place = np.bincount(place, weights=held)
+    chosen = np.argsort(by_place, kind="stable")[:wanted]
+    return np.unique(gram[np.isin(place, chosen)])
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -101,11 +113,6 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The numbers ``first``, first + 1, ... of each run of ``n``, one run behind the other."""
-    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-
-
 def least_within(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The least of ``x`` from each ``low`` to its ``high``, both included."""
     out = np.empty(len(low), x.dtype)
@@ -117,165 +124,174 @@ def least_within(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return out
 
 
-@dataclass(frozen=True)
-class Index:
-    """The items of a block, their words by number in ``lookup``, and the items that each word is a seed of."""
-
-    ids: list
-    items: list[np.ndarray]
-    threshold: float
-    lookup: Lookup
-    numbers: np.ndarray
-    starts: np.ndarray
-    first: np.ndarray
-    item: np.ndarray
-    needed: np.ndarray
-    reach: np.ndarray
-
-    @classmethod
-    def of(cls, ids: list, items: list[np.ndarray], lookup: Lookup, counts: np.ndarray, threshold: float) -> Index:
-        size = np.array([len(words) for words in items])
-        starts = np.r_[0, np.cumsum(size)]
-        numbers = np.searchsorted(lookup.words, np.concatenate(items))
-        needed = least_matches(size, threshold)
-        chosen = [seeds(numbers[a:b], counts, n) for a, b, n in zip(starts[:-1], starts[1:], needed)]
-        seed = np.concatenate(chosen)
-        order = np.argsort(seed, kind="stable")
-        item = np.repeat(np.arange(len(items)), [len(c) for c in chosen])[order]
-        first = np.searchsorted(seed[order], np.arange(len(lookup.words) + 1))
-        return cls(ids, items, threshold, lookup, numbers, starts, first, item, needed, longest_passage(size, threshold))
-
-    def leaks(self, words: np.ndarray) -> Iterator[tuple[object, float, int, int]]:
-        """(item id, score, word behind the passage, seeds found) for each item found in a text.
-
-        An item of which the text has a seed, and enough words, may be found; then it is aligned with
-        the stretches where its words are dense enough for the threshold. The best stretch counts.
-        """
-        at, number = self.lookup.find(words)
-        here, place = np.unique(number, return_inverse=True)
-        items = np.unique(self.item[spread(self.first[here], self.first[here + 1] - self.first[here])])
-        items = items[self.needed[items] <= len(at)]
-        step = max(1, PLACES // max(1, len(at)))
-        for low in range(0, len(items), step):
-            for i, stretches in self.stretches(items[low : low + step], len(words), at, here, place):
-                best, end = 0, 0
-                for a, b in stretches:
-                    score, behind = align(self.items[i], words[a:b])
-                    if score > best:
-                        best, end = score, a + behind
-                n = self.first[number + 1] - self.first[number]
-                yield self.ids[i], best / (MATCH * len(self.items[i])), end, int((self.item[spread(self.first[number], n)] == i).sum())
-
-    def stretches(
-        self, items: np.ndarray, n_words: int, at: np.ndarray, here: np.ndarray, place: np.ndarray
-    ) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-        """(item, stretches of the text that hold all its alignments of the threshold), where there are any.
-
-        A word of the text that the item has adds at most a match, any other costs a gap or a mismatch;
-        the best sum that ends at a word, over as many words as an alignment can take up, bounds the
-        score of all alignments that end there.
+def stretches(item: np.ndarray, text: np.ndarray, threshold: float) -> Iterator[tuple[int, int]]:
+    """The stretches of the text that hold all its alignments of the threshold with the item.
+
+    A word of the text that the item has adds at most a match, any other costs a gap or a mismatch;
+    the best sum that ends at a word, over as many words as an alignment can take up, bounds the
+    score of all alignments that end there.
+    """
+    own = np.unique(item)
+    at = np.flatnonzero(own[np.minimum(np.searchsorted(own, text), len(own) - 1)] == text)
+    needed, reach, drop = least_matches(len(item), threshold), longest_passage(len(item), threshold), max(MISMATCH, GAP)
+    begin = np.searchsorted(at, at - reach + 1)
+    last = np.flatnonzero(np.arange(len(at)) - begin >= needed - 1)
+    sums = (MATCH - drop) * np.arange(len(at)) + drop * at
+    bound = sums[last] - least_within(sums, begin[last], last) + MATCH
+    ends = at[last[bound >= threshold * MATCH * len(item) - ROUNDING]]
+    if len(ends):
+        for part in np.split(ends, np.flatnonzero(np.diff(ends) >= reach) + 1):
+            yield max(0, int(part[0]) - reach + 1), int(part[-1]) + 1
+
+
+class Text:
+    """A text that items are compared with; the grams of its pairs are sorted once."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+        self.pairs = np.unique(pair_grams(words)[1])
+
+    def score(self, item: np.ndarray, threshold: float) -> tuple[float, int, int] | None:
+        """(score, word behind the passage, places in common) if the text holds the item, whole or edited.
+
+        Only a text with enough places in common is aligned, where the item's words are dense enough.
         """
-        n = self.starts[items + 1] - self.starts[items]
-        owned = self.numbers[spread(self.starts[items], n)]
-        owner = np.repeat(np.arange(len(items)), n)
-        found = np.minimum(np.searchsorted(here, owned), len(here) - 1)
-        held = here[found] == owned
-        has = np.zeros((len(items), len(here)), bool)
-        has[owner[held], found[held]] = True
-        enough = np.bincount(owner[held], minlength=len(items)) >= self.needed[items]
-        items, has = items[enough], has[enough]
-        owner, word = np.nonzero(has[:, place])
-        if not len(owner):
-            return
-        needed, reach, at = self.needed[items], self.reach[items], at[word]
-        line = owner * (n_words + int(reach.max())) + at
-        begin = np.searchsorted(line, line - reach[owner] + 1)
-        last = np.flatnonzero(np.arange(len(line)) - begin >= needed[owner] - 1)
-        drop = max(MISMATCH, GAP)
-        sums = (MATCH - drop) * np.arange(len(line)) + drop * at
-        bound = sums[last] - least_within(sums, begin[last], last) + MATCH
-        size = self.starts[items + 1] - self.starts[items]
-        last = last[bound >= self.threshold * MATCH * size[owner[last]] - ROUNDING]
-        groups = np.flatnonzero(np.r_[True, owner[last][1:] != owner[last][:-1], True]) if len(last) else []
-        for a, b in zip(groups[:-1], groups[1:]):
-            k, ends = owner[last[a]], at[last[a:b]]
-            cuts = np.flatnonzero(np.diff(ends) >= reach[k]) + 1
-            yield int(items[k]), [(max(0, int(part[0] - reach[k]) + 1), int(part[-1]) + 1) for part in np.split(ends, cuts)]
-
-
-def blocks(items: DataFrame, item_key: str) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """(ids, words) of the items that have words, in blocks of at most BLOCK_ITEMS items or, beyond one item, BLOCK_BYTES."""
-    ids, texts, size = [], [], 0
-
-    def block() -> tuple[list, list[np.ndarray]]:
-        found = list(rows(pa.array(texts, pa.string())))
-        return [ids[i] for i, _ in found], [words for _, words in found]
-
-    for item in items.filter(F.col("text").isNotNull()).select(item_key, "text").toLocalIterator():
-        ids.append(item[0])
-        texts.append(item[1])
-        size += len(item[1])
-        if len(ids) >= BLOCK_ITEMS or size >= BLOCK_BYTES:
-            yield block()
-            ids, texts, size = [], [], 0
-    if ids:
-        yield block()
-
-
-def document_counts(docs: DataFrame, lookup: Lookup) -> np.ndarray:
-    """In how many documents each listed word occurs; one number per listed word reaches the driver."""
-    sent = docs.sparkSession.sparkContext.broadcast(lookup)
+        common = places_in_common(len(item), threshold)
+        place, gram = item_grams(item)
+        if len(item) > 1:
+            found = self.pairs[np.minimum(np.searchsorted(self.pairs, gram), len(self.pairs) - 1)] == gram if len(self.pairs) else np.zeros(len(gram), bool)
+            places = len(np.unique(place[found]))
+            if places < max(common, 1):
+                return None
+        else:
+            places = 1
+        best, end = 0, 0
+        for a, b in stretches(item, self.words, threshold):
+            score, behind = align(item, self.words[a:b])
+            if score > best:
+                best, end = score, a + behind
+        likeness = best / (MATCH * len(item))
+        return (likeness, end, places) if likeness >= (threshold if common > 0 else 1) else None
+
+
+class Filter:
+    """Two tables of bits, of fixed size, that all wanted grams pass and few others."""
+
+    def __init__(self, cells: np.ndarray) -> None:
+        self.some = np.zeros(2 << FILTER_BITS, bool)
+        self.some[cells] = True
+
+    @staticmethod
+    def cells(grams: np.ndarray) -> np.ndarray:
+        """The cells of each gram in both tables, one row a table."""
+        first = grams >> np.uint64(64 - FILTER_BITS)
+        second = (grams & np.uint64((1 << FILTER_BITS) - 1)) + np.uint64(1 << FILTER_BITS)
+        return np.stack([first, second]).astype(np.int64)
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """The different grams of a text that may be wanted."""
+        grams = np.concatenate([single_grams(words), pair_grams(words)[1]])
+        first, second = self.cells(grams)
+        grams = grams[self.some[first]]
+        return np.unique(grams[self.some[second[self.some[first]]]]).view(np.int64)
+
+
+def sent_filter(grams: DataFrame) -> Broadcast:
+    """A filter of the ``gram`` column: tasks send the cells that they fill, each once, whatever the number of grams."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = np.zeros(2 << FILTER_BITS, bool)
+        for batch in batches:
+            some[Filter.cells(batch.column(0).to_numpy().view(np.uint64))] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(some).astype(np.int32))], ["cell"])
+
+    cells = grams.select("gram").mapInArrow(fill, "cell int").distinct().toArrow()
+    return grams.sparkSession.sparkContext.broadcast(Filter(cells.column("cell").to_numpy()))
+
+
+def numbered_items(items: DataFrame, item_key: str) -> DataFrame:
+    """(number, item, text): items by a number of their own, as keys may repeat."""
+    some = items.filter(F.col("text").isNotNull()).select(F.col(item_key).alias("item"), "text")
+    return stored(some.withColumn("number", F.monotonically_increasing_id()), "items")
+
+
+def candidates(docs: DataFrame, numbered: DataFrame, *, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """(k, number): the documents and items that have a seed in common, found by a join of grams.
+
+    One scan of the documents counts how many hold each gram of the items, a second one finds the
+    seeds; of both only grams that pass a filter of fixed size are shuffled, and the first are added
+    up before. So all documents can meet all items, and neither side is sent whole to anyone.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    texts = docs.select(F.col(key).alias("k"), "text")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, words in rows(batch.column("text")):
+                place, gram = item_grams(words)
+                columns = [batch.column("number").take(pa.array(np.full(len(gram), i))), pa.array(np.full(len(gram), len(words))), pa.array(place), pa.array(gram.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["number", "size", "place", "gram"])
+
+    grams = stored(numbered.mapInArrow(spell, "number long, size long, place long, gram long"), "grams")
+    wanted = sent_filter(grams)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(len(sent.value.words), np.int64)
         for batch in batches:
-            for _, words in rows(batch.column(0)):
-                held[np.unique(sent.value.find(words)[1])] += 1
-        some = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(held[some], pa.int64())], ["word", "n"])
+            found = [wanted.value.of(words) for _, words in rows(batch.column("text"))]
+            if found:
+                gram, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], ["gram", "n"])
+
+    def choose(item: pa.Table) -> pa.Table:
+        place, gram, held = (item.column(c).to_numpy() for c in ("place", "gram", "held"))
+        chosen = seeds(place, gram, held, item.column("size")[0].as_py(), threshold)
+        return pa.table({"number": pa.array(np.full(len(chosen), item.column("number")[0].as_py())), "gram": pa.array(chosen)})
+
+    counts = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rated = grams.join(counts, "gram", "left").withColumn("held", F.coalesce("n", F.lit(0)))
+    seed = stored(rated.groupBy("number").applyInArrow(choose, "number long, gram long"), "seeds")
+    sought = sent_filter(seed)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, sought.value.of(words)) for i, words in rows(batch.column("text"))]
+            at = np.repeat([i for i, _ in found], [len(g) for _, g in found]).astype(np.int64)
+            gram = np.concatenate([g for _, g in found]) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(at)), pa.array(gram)], ["k", "gram"])
 
-    counts = np.zeros(len(lookup.words), np.int64)
-    for r in docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
-        counts[r.word] = r.n
-    return counts
+    return texts.mapInArrow(find, f"k {kind}, gram long").join(seed, "gram").select("k", "number").distinct()
 
 
 def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", item_key: str = "item_id", threshold: float = THRESHOLD) -> DataFrame:
     """(key, item_key, score, end_word, n_seeds): the items that a document holds, whole or edited.
 
     The score is the best local alignment of the item's words with the text's, as a share of what the
-    item scores against itself; rows below ``threshold`` are left out, and all others are found. Items are looked for in blocks,
-    each with one scan that counts and one that aligns, so neither driver nor task holds more than a
-    block. NULL texts and texts without words hold nothing; items without words are not looked for.
-    Equal items are reported each, and repeated documents too.
+    item scores against itself; rows below ``threshold`` are left out, and all others are found. Items so short
+    that an alignment of the threshold need not have a pair of their words (one or two words at 0.5) are
+    found where the text has them whole. n_seeds tells at how many places of the item the text has a pair
+    of its words, at most REACH apart. NULL texts and texts without words hold nothing; items without
+    words are not looked for. Equal items are reported each, repeated documents too, and a NULL key.
+    A text is compared by one task, in some 40 bytes of memory a byte.
     """
-    context = docs.sparkSession.sparkContext
-    keys = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
-    schema = f"k {keys[0]}, item {keys[1]}, score double, end_word long, n_seeds long"
-    found = []
-    for ids, words in blocks(items, item_key):
-        if not words:
-            continue
-        lookup = Lookup(np.concatenate(words))
-        sent = context.broadcast(Index.of(ids, words, lookup, document_counts(docs, lookup), threshold))
-        found.append(docs.select(F.col(key).alias("k"), "text").mapInArrow(_searcher(sent, threshold), schema))
-    if not found:
-        return docs.sparkSession.createDataFrame([], schema).toDF(key, item_key, "score", "end_word", "n_seeds")
-    return reduce(DataFrame.unionByName, found).toDF(key, item_key, "score", "end_word", "n_seeds")
-
-
-def _searcher(sent, threshold: float):
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    numbered = numbered_items(items, item_key)
+    found = stored(candidates(docs, numbered, key=key, threshold=threshold), "candidates")
+    per_text = found.join(numbered, "number").groupBy("k").agg(F.collect_list(F.struct("item", F.col("text").alias("passage"))).alias("items"))
+    texts = docs.select(F.col(key).alias("of"), "text").join(per_text, F.col("of").eqNullSafe(F.col("k"))).select("k", "text", "items")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = [(i, *hit) for i, words in rows(batch.column("text")) for hit in sent.value.leaks(words) if hit[1] >= threshold]
-            if hits:
-                at, item, score, end, n = zip(*hits)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("k").take(pa.array(at)), pa.array(item), pa.array(score), pa.array(end), pa.array(n)],
-                    ["k", "item", "score", "end_word", "n_seeds"],
-                )
-
-    return search
+            for i, words in rows(batch.column("text")):
+                text, sought = Text(words), batch.column("items")[i].values
+                scored = [(j, text.score(item, threshold)) for j, item in rows(sought.field("passage"))]
+                hits = [(j, *hit) for j, hit in scored if hit]
+                if hits:
+                    at, score, end, n = zip(*hits)
+                    k = batch.column("k").take(pa.array([i] * len(at)))
+                    yield pa.RecordBatch.from_arrays([k, sought.field("item").take(pa.array(at)), pa.array(score), pa.array(end), pa.array(n)], ["k", "item", "score", "end_word", "n_seeds"])
+
+    kinds = docs.schema[key].dataType, items.schema[item_key].dataType
+    schema = T.StructType().add("k", kinds[0]).add("item", kinds[1]).add("score", "double").add("end_word", "long").add("n_seeds", "long")
+    return texts.mapInArrow(compare, schema).toDF(key, item_key, "score", "end_word", "n_seeds")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", item_key: str = "item_id", threshold: float = THRESHOLD) -> DataFrame:

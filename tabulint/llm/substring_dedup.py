@@ -82,7 +82,7 @@ def grouped(known: DataFrame) -> DataFrame:
 
 
 def with_words(docs: DataFrame, runs: DataFrame, window: int, key: str) -> DataFrame:
-    """(name, digest, n, many, crowded, body) of ``runs``: with their words, joined by spaces."""
+    """(name, digest, n, many, crowded, body) of ``runs``: with their words, joined by spaces; again for each repeated row."""
     wanted = runs.groupBy("id").agg(F.collect_list(F.struct("name", "digest", "first", "n", "many", "crowded")).alias("runs"))
     texts = docs.select(F.col(key).alias("of"), "text").join(wanted, F.col("of") == F.col("id")).select("text", "runs")
     names = ["name", "digest", "n", "many", "crowded"]
@@ -102,7 +102,7 @@ def with_words(docs: DataFrame, runs: DataFrame, window: int, key: str) -> DataF
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(body, pa.binary())], [*names, "body"])
 
     schema = "name long, digest binary, n int, many boolean, crowded boolean, body binary"
-    return texts.mapInArrow(fetch, schema).dropDuplicates(["name", "digest"])
+    return texts.mapInArrow(fetch, schema)
 
 
 def sorted_suffixes(roots: np.ndarray, starts: np.ndarray, words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,6 +173,8 @@ def subtrees(texts: DataFrame, window: int) -> DataFrame:
         size = 0
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("name", "digest", "n", "many", "body"))):
+                if held and row[:2] == held[-1][:2]:
+                    continue
                 if size >= SHARD_BYTES and row[0] != held[-1][0]:
                     yield closed(held)
                     held, size = [], 0
@@ -207,7 +209,7 @@ def crowded_suffixes(texts: DataFrame, window: int) -> DataFrame:
                 columns = [pa.array(found, pa.binary()), *(batch.column(c).take(at) for c in ("name", "digest", "many")), pa.array(np.arange(n, dtype=np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, ["prefix", "name", "digest", "many", "first"])
 
-    suffixes = texts.filter("crowded").select("name", "digest", "n", "many", "body")
+    suffixes = texts.filter("crowded").select("name", "digest", "n", "many", "body").dropDuplicates(["name", "digest"])
     suffixes = stored(suffixes.mapInArrow(cut, "prefix binary, name long, digest binary, many boolean, first int"), "suffixes")
     nodes = suffixes.groupBy("prefix").agg(F.sum(F.col("many").cast("int") + 1).alias("places")).filter("places > 1").select("prefix")
     found = suffixes.join(nodes, "prefix").groupBy("name", "digest")

@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from tabulint.llm.decontamination import GAP, MATCH, MISMATCH, align, clean_documents, leaks
+from tabulint.llm import decontamination
+from tabulint.llm.decontamination import GAP, MATCH, MISMATCH, align, clean_documents, leaks, places_in_common
 
 
 def brute_align(a, b):
@@ -85,7 +86,7 @@ def test_odd_texts_short_items_and_empty_tables(odd, empty, planted):
 def test_all_pairs_of_the_threshold_are_found_however_a_copy_is_changed(llm):
     r = random.Random(12)
     vocabulary = [f"word{i}" for i in range(500)] + ["the", "of", "and"] * 60
-    items = [[r.choice(vocabulary) for _ in range(r.randint(1, 50))] for _ in range(25)]
+    items = [[r.choice(vocabulary) for _ in range(n)] for n in [1, 2, 3, *(r.randint(1, 50) for _ in range(22))]]
     fresh = iter(range(10**6))
     changes = [
         lambda x: [w if i % 3 < 2 else f"new{next(fresh)}" for i, w in enumerate(x)],
@@ -110,7 +111,9 @@ def test_all_pairs_of_the_threshold_are_found_however_a_copy_is_changed(llm):
     benchmark = llm.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
     for threshold in (0.5, 0.35, 0.8):
         found = {(x.doc_id, x.item_id): x.score for x in leaks(texts, benchmark, threshold=threshold).collect()}
-        assert found == {pair: score for pair, score in scores.items() if score >= threshold}
+        # an item too short to have a pair of words in every alignment has to be there whole
+        whole = [places_in_common(len(item), threshold) <= 0 for item in items]
+        assert found == {pair: score for pair, score in scores.items() if score >= (1 if whole[pair[1]] else threshold)}
 
 
 def test_items_in_scripts_without_spaces_and_short_items_inside_longer_texts(llm):
@@ -127,3 +130,55 @@ def test_items_in_scripts_without_spaces_and_short_items_inside_longer_texts(llm
     found = {(x.doc_id, x.item_id): x.score for x in leaks(llm.createDataFrame(docs, "doc_id long, text string"), items).collect()}
     assert set(found) == {(1, 1), (2, 1), (4, 2), (5, 3)}
     assert found[1, 1] == found[4, 2] == found[5, 3] == 1.0
+
+
+def test_every_alignment_of_the_threshold_has_the_places_in_common():
+    """Pairs of words in all texts of the cheapest changes: matches with others before, between and instead of words."""
+    r = random.Random(3)
+    tight = 0
+    for _ in range(3000):
+        size, threshold = r.randint(1, 24), r.choice((0.35, 0.5, 0.8))
+        item = np.arange(size).astype(np.uint64)
+        text, other = [], iter(range(1000, 2000))
+        for word in item.tolist():
+            kind = r.random()
+            text += [word] if kind < 0.5 else [next(other) for _ in range(r.randint(1, 3))] + [word] if kind < 0.75 else [next(other)] if kind < 0.9 else []
+        text = np.array(text, np.uint64)
+        if len(text) and align(item, text)[0] >= threshold * MATCH * size:
+            place, gram = decontamination.item_grams(item)
+            held = np.isin(gram, decontamination.pair_grams(text)[1])
+            common, needed = len(np.unique(place[held])), places_in_common(size, threshold)
+            assert common >= needed or size == 1
+            tight += common <= needed + 1
+    assert tight > 50
+    assert places_in_common(1, 0.5) <= 0 and places_in_common(2, 0.5) <= 0 and places_in_common(3, 0.5) == 1
+
+
+def test_candidates_stay_few_when_items_grow(llm, monkeypatch):
+    """Decoys are shuffled stretches of the documents' own words; a document with a copy is compared with few of them."""
+    r = random.Random(6)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    docs = [[r.choice(vocabulary) for _ in range(200)] for _ in range(60)]
+    items = [list(docs[i][50:80]) for i in range(20)]
+    texts = llm.createDataFrame([(d, " ".join(x)) for d, x in enumerate(docs)], "doc_id long, text string")
+
+    def decoy():
+        words = r.choice(docs)
+        at = r.randrange(170)
+        return r.sample(words[at : at + 30], 30)
+
+    decoys = [decoy() for _ in range(4000)]
+    aligned = {}
+    for n in (40, 4000):
+        numbered = llm.createDataFrame([(i, i, " ".join(x)) for i, x in enumerate(items + decoys[:n])], "number long, item long, text string")
+        pairs = decontamination.candidates(texts, numbered).collect()
+        words = [w for _, w in decontamination.rows(decontamination.pa.array([" ".join(x) for x in docs + items + decoys[:n]]))]
+        compared = 0
+        for p in pairs:
+            item, text = words[len(docs) + p.number], words[p.k]
+            place, gram = decontamination.item_grams(item)
+            found = np.isin(gram, decontamination.pair_grams(text)[1])
+            compared += len(np.unique(place[found])) >= places_in_common(len(item), 0.5)
+        assert {(p.k, p.number) for p in pairs} >= {(i, i) for i in range(20)}
+        aligned[n] = (len(pairs) / len(docs), compared / len(docs))
+    assert aligned[4000][0] < 3 and aligned[4000][1] < 2
