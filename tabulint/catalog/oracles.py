@@ -316,6 +316,10 @@ UNION ALL SELECT * FROM orders_d WHERE {scrambled('o_orderkey', 1)} % 64 = 0""",
         + " FROM records"
     ),
     "inject_out_of_range": over_records(select=f"SELECT {replaced(COLUMNS, **MOVED)} FROM records"),
+    "inject_out_of_range_decimal": f"""WITH {ORDERS}
+SELECT * REPLACE (CASE WHEN {scrambled('o_orderkey', 7)} % 50 = 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 1999.99 ELSE 400000.01 END
+                       ELSE CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) END::DOUBLE AS o_totalprice)
+FROM orders_d""",
     "select_k_rows": f"""WITH {ORDERS}
 SELECT * FROM orders_d ORDER BY {scrambled('o_orderkey', 5)}, o_orderkey LIMIT 800""",
     "select_k_rows_by_threshold": f"""WITH {ORDERS}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulint.catalog.records import records, text_records
+from tabulint.functions import InRange
 from tabulint.operators import checks, inject, profile, standardize
 from tabulint.operators.dedup import keep_latest
 from tabulint.operators.validity import keep_valid
@@ -320,6 +321,15 @@ def inject_out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("inject_out_of_range_decimal")
+def inject_out_of_range_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices as decimals, a hundredth being the least that one can lie beyond its range."""
+    df = orders(spark, sf_dir).withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
+    rule = InRange("o_totalprice", 2_000, 400_000)
+    moved = inject.inject_out_of_range(df, inject.one_in(F.col("o_orderkey"), 50, seed=7), F.col("o_custkey"), [rule], distance=0.001)
+    return moved.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
 @query("select_k_rows")
 def select_k_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inject.select_k_rows(orders(spark, sf_dir), 800, "o_orderkey", seed=5)

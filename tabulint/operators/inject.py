@@ -8,7 +8,9 @@ projections: one scan, no shuffle.
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Iterable
+from decimal import ROUND_CEILING, ROUND_FLOOR, Context, Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,19 +50,21 @@ def inject_duplicates(df: DataFrame, selected: Column, copies: int = 1) -> DataF
 
 
 def inject_nulls(df: DataFrame, selected: Column, variant: Column, columns: Iterable[str]) -> DataFrame:
-    """Blank one of ``columns`` in each selected row; ``variant`` (an integer) decides which."""
+    """Blank one of ``columns`` in each selected row; ``variant`` (an integer, NULL being 0) decides which."""
     names = list(columns)
-    hit = {c: selected & (F.pmod(variant, F.lit(len(names))) == i) for i, c in enumerate(names)}
+    place = F.pmod(F.coalesce(variant, F.lit(0)), F.lit(len(names)))
+    hit = {c: selected & (place == i) for i, c in enumerate(names)}
     return df.withColumns({c: F.when(~F.coalesce(hit[c], F.lit(False)), quoted(c)) for c in names})
 
 
 def inject_invalid_codes(
     df: DataFrame, selected: Column, variant: Column, column: str, bad_values: Iterable[str]
 ) -> DataFrame:
-    """Replace the code of each selected row by one of ``bad_values``; ``variant`` decides which."""
+    """Replace the code of each selected row by one of ``bad_values``; ``variant`` (NULL being 0) decides which."""
     values = list(bad_values)
-    pick = F.element_at(F.array(*map(F.lit, values)), (F.pmod(variant, F.lit(len(values))) + 1).cast("int"))
-    return df.withColumn(column, F.when(selected, pick).otherwise(F.col(column)))
+    place = F.pmod(F.coalesce(variant, F.lit(0)), F.lit(len(values)))
+    pick = F.element_at(F.array(*map(F.lit, values)), (place + 1).cast("int"))
+    return df.withColumn(column, F.when(selected, pick).otherwise(quoted(column)))
 
 
 def inject_out_of_range(
@@ -68,21 +72,58 @@ def inject_out_of_range(
 ) -> DataFrame:
     """Move every ruled field of each selected row ``distance`` below or above its range.
 
-    The side alternates from field to field and with ``variant``. Column types are kept: in a whole-number
-    column the value moves on to the next whole number away from the range.
+    The side alternates from field to field and with ``variant``, NULL being 0. Column types are kept: where
+    one has no value at that distance, the next one away from the range is taken. A type that has
+    none beyond both ends of a range is refused.
     """
     moved = {}
     for i, rule in enumerate(rules):
-        kind = df.schema[rule.column].dataType
-        ends = rule.lo - distance, rule.hi + distance
-        if isinstance(kind, T.IntegralType):
-            ends = math.floor(ends[0]), math.ceil(ends[1])
-        below, above = (F.lit(v).cast(kind) for v in ends)
-        side = F.when(F.pmod(variant + F.lit(i), F.lit(2)) == 0, below).otherwise(above)
-        moved[rule.column] = F.when(selected, side).otherwise(F.col(rule.column))
+        below, above = (F.lit(v).cast(df.schema[rule.column].dataType) for v in beyond(df.schema[rule.column].dataType, rule, distance))
+        side = F.when(F.pmod(F.coalesce(variant, F.lit(0)) + F.lit(i), F.lit(2)) == 0, below).otherwise(above)
+        moved[rule.column] = F.when(selected, side).otherwise(quoted(rule.column))
     return df.withColumns(moved)
 
 
+# Bytes of the whole-number types.
+WHOLE_BYTES = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8}
+
+
+def beyond(kind: T.DataType, rule: InRange, distance: float) -> tuple[object, object]:
+    """The values of a type that lie ``distance`` below and above the range of ``rule``, or next to that outwards."""
+    if not distance > 0:
+        raise ValueError("values out of range lie at a distance above 0")
+    low, high = (Decimal(str(end)) for end in (rule.lo, rule.hi))
+    ends = low - Decimal(str(distance)), high + Decimal(str(distance))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        single = isinstance(kind, T.FloatType)
+        return _outwards(float(ends[0]), float(rule.lo), -math.inf, single), _outwards(float(ends[1]), float(rule.hi), math.inf, single)
+    if isinstance(kind, T.IntegralType):
+        limit = 2 ** (8 * WHOLE_BYTES[type(kind)] - 1)
+        ends = math.floor(ends[0]), math.ceil(ends[1])
+        fits = -limit <= ends[0] and ends[1] < limit
+    elif isinstance(kind, T.DecimalType):
+        step, exact = Decimal(1).scaleb(-kind.scale), Context(prec=100)
+        ends = ends[0].quantize(step, ROUND_FLOOR, exact), ends[1].quantize(step, ROUND_CEILING, exact)
+        fits = max(map(abs, ends)) < Decimal(10) ** (kind.precision - kind.scale)
+    else:
+        return rule.lo - distance, rule.hi + distance
+    if not fits:
+        raise ValueError(f"{kind.simpleString()} of column {rule.column} has no values {distance} beyond {rule.lo} and {rule.hi}")
+    return ends
+
+
+def _outwards(value: float, end: float, away: float, single: bool) -> float:
+    """The number nearest to ``value`` that the type has and that lies beyond ``end``."""
+
+    def held(x: float) -> float:
+        return struct.unpack("f", struct.pack("f", x))[0] if single else x
+
+    step = abs(value) * 2.0**-24 if single else 0.0
+    while (held(value) >= end) if away < 0 else (held(value) <= end):
+        value = math.nextafter(value + math.copysign(step, away), away)
+    return held(value)
+
+
 def select_k_rows(df: DataFrame, k: int, key: str, seed: int = 0) -> DataFrame:
     """Exactly ``k`` rows, or all if there are fewer: those whose keys have the lowest numbers.
 

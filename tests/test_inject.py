@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulint.catalog.queries import patient_number
 from tabulint.catalog.records import records
-from tabulint.functions import RuleSet
+from tabulint.functions import InRange, RuleSet
 from tabulint.operators import checks, inject, profile
 from tabulint.operators.validity import keep_valid
 from tabulint.plans import cleaning, presets
@@ -138,3 +138,40 @@ def test_one_in_has_no_limit(every):
     assert inject.NUMBERS // every > 10**8
     picked = len(range(0, inject.NUMBERS, every)) / inject.NUMBERS
     assert abs(picked * every - 1) < 1e-8
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint", "decimal(5,1)", "decimal(20,6)", "float", "double"])
+@pytest.mark.parametrize("lo,hi,distance", [(0, 100, 0.01), (0, 100, 1), (-3.5, 99.5, 0.25), (0, 100, 20)])
+def test_every_planted_value_is_out_of_range_in_any_type(spark, kind, lo, hi, distance):
+    rule = InRange("a.b", lo, hi)
+    df = spark.range(40).select("id", F.lit(50).cast(kind).alias("a.b"))
+    moved = inject.inject_out_of_range(df, F.col("id") % 2 == 0, F.when(F.col("id") > 5, F.col("id") / 2).cast("long"), [rule], distance)
+    assert moved.schema["a.b"].dataType == df.schema["a.b"].dataType
+    assert keep_valid(moved, rule).count() == 20
+    values = {float(r[0]) for r in moved.filter("id % 2 = 0").select("`a.b`").collect()}
+    assert len(values) == 2 and min(values) < lo and max(values) > hi
+    assert min(values) > lo - distance - 1.1 and max(values) < hi + distance + 1.1
+
+
+@pytest.mark.parametrize("kind,lo,hi", [("float", 1e8, 2e8), ("float", -1e30, 1e30), ("double", 1e17, 1e18), ("double", 0.1, 0.3)])
+def test_values_next_to_a_range_whose_ends_swallow_the_distance(spark, kind, lo, hi):
+    rule = InRange("x", lo, hi)
+    df = spark.range(10).select(F.lit((lo + hi) / 2).cast(kind).alias("x"), "id")
+    assert keep_valid(inject.inject_out_of_range(df, F.lit(True), F.col("id"), [rule], 1e-3), rule).count() == 0
+
+
+@pytest.mark.parametrize("kind,distance", [("tinyint", 100), ("decimal(3,0)", 900), ("smallint", 1e6)])
+def test_types_that_cannot_hold_the_value_are_refused(spark, kind, distance):
+    df = spark.range(3).select(F.lit(1).cast(kind).alias("x"), "id")
+    with pytest.raises(ValueError, match="x has no values"):
+        inject.inject_out_of_range(df, F.lit(True), F.col("id"), [InRange("x", 0, 120)], distance)
+    with pytest.raises(ValueError, match="above 0"):
+        inject.inject_out_of_range(df, F.lit(True), F.col("id"), [InRange("x", 0, 120)], 0)
+
+
+def test_null_variants_and_names_with_dots(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else i, "A00.1") for i in range(8)], "id int, v int, `c.d` string")
+    coded = inject.inject_invalid_codes(df, F.lit(True), F.col("v"), "c.d", ["bad", "worse"])
+    assert {r["c.d"] for r in coded.collect()} == {"bad"} and coded.columns == df.columns
+    blank = inject.inject_nulls(df, F.lit(True), F.col("v"), ["c.d", "id"])
+    assert blank.filter("`c.d` IS NULL").count() == 8
