@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulint.llm.names import free_name
 from tabulint.llm.polynomial import CHUNK, PRIME, polynomial
 from tabulint.llm.storage import stored
 
@@ -220,6 +221,7 @@ def drop_exact_duplicates(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each text, as ``exact_duplicates`` decides; all its columns stay."""
     kept = exact_duplicates(docs, key=key).filter("kept").select(F.col(key).alias("__key"), F.col("text_sha256").alias("__sha"))
     digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER).cast("binary"), 256)
-    rows = docs.withColumn("__text", digest)
-    found = rows.join(kept, rows[key].eqNullSafe(kept["__key"]) & (rows["__text"] == kept["__sha"]), "left_semi")
-    return found.dropDuplicates([key, "__text"]).drop("__text")
+    own = free_name(docs, "__sha")
+    rows = docs.withColumn(own, digest)
+    found = rows.join(kept, rows[key].eqNullSafe(kept["__key"]) & (rows[own] == kept["__sha"]), "left_semi")
+    return found.dropDuplicates([key, own]).drop(own)

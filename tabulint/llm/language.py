@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabulint.llm.names import free_name
 from tabulint.llm.quality import held_out, sampled
 from tabulint.llm.words import mixed, slices
 
@@ -158,6 +159,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     ``rejected`` tells that its score is below what the calibration trusts. Columns that have the new names are replaced.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
+    lang, p_name = free_name(docs, "__lang"), free_name(docs, "__p")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def predictions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,13 +168,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             found = [used.predict(data, offsets) for _, data, offsets in slices(batch.column("text"))]
             names = [used.names[i] for best, _ in found for i in best]
             p = np.concatenate([p for _, p in found]) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(p, pa.float64())], [*batch.schema.names, "__lang", "__p"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(p, pa.float64())], [*batch.schema.names, lang, p_name])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__p", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(p_name, T.DoubleType())])
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return docs.mapInArrow(predictions, schema).select(
         *docs.columns,
-        F.when(letters, F.col("__lang")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(letters, F.col("__p")).otherwise(0.0).alias("score"),
-        (~letters | (F.col("__p") < model.reject_below)).alias("rejected"),
+        F.when(letters, F.col(lang)).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(letters, F.col(p_name)).otherwise(0.0).alias("score"),
+        (~letters | (F.col(p_name) < model.reject_below)).alias("rejected"),
     )

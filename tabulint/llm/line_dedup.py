@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabulint.llm.names import free_name
+
 WINDOW_LINES = 3
 CUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType())])
 
@@ -75,13 +77,14 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     share a key and a text lose the same lines, if any. A document all of whose lines go has an empty text. Columns that have the new names are replaced.
     """
     docs = docs.drop("n_lines", "n_removed")
-    found = later_windows(docs, key).withColumnRenamed(key, "__key")
-    joined = docs.join(found, docs[key].eqNullSafe(found["__key"]), "left")
-    result = joined.withColumn("__cut", _cut("text", "positions"))
+    of, positions, cut = (free_name(docs, name) for name in ("__of", "__positions", "__cut"))
+    found = later_windows(docs, key).toDF(of, positions)
+    joined = docs.join(found, docs[key].eqNullSafe(found[of]), "left")
+    result = joined.withColumn(cut, _cut("text", positions))
     n_lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
     return result.select(
         *[docs[c] for c in docs.columns if c != "text"],
-        F.col("__cut.text").alias("text"),
+        F.col(f"{cut}.text").alias("text"),
         n_lines.cast("long").alias("n_lines"),
-        F.col("__cut.n_removed").alias("n_removed"),
+        F.col(f"{cut}.n_removed").alias("n_removed"),
     )

@@ -233,9 +233,9 @@ def covered(size: int, first: np.ndarray, n: np.ndarray, window: int) -> np.ndar
     return np.cumsum(edges[:-1]) > 0
 
 
-def runs_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first, n) of the ``__runs`` of one row; none for NULL."""
-    runs = batch.column("__runs")[i]
+def runs_of(batch: pa.RecordBatch, i: int, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """(first, n) of the runs of one row; none for NULL."""
+    runs = batch.column(column)[i]
     if not runs.is_valid:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return runs.values.field("first").to_numpy(), runs.values.field("n").to_numpy()

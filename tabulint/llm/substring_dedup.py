@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabulint.llm.names import free_name
 from tabulint.llm.regions import regions
 from tabulint.llm.repeats import covered, runs_of
 from tabulint.llm.storage import stored
@@ -237,26 +238,27 @@ def drop_repeated_words(docs: DataFrame, *, key: str = "doc_id", window: int = W
     different keys. Columns that have the new names are replaced.
     """
     docs = docs.drop("kept_text", "n_words", "n_removed")
-    gone = runs_to_remove(docs, window, key).withColumnsRenamed({"id": "__key", "runs": "__runs"})
+    of, gone_at = free_name(docs, "__of"), free_name(docs, "__runs")
+    gone = runs_to_remove(docs, window, key).toDF(of, gone_at)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, removed = [], [], []
             for i, text in enumerate(batch.column("text")):
                 words = (text.as_py() or "").encode().split()
-                first, n = runs_of(batch, i)
+                first, n = runs_of(batch, i, gone_at)
                 away = covered(len(words), first, n, window)
                 kept.append(b" ".join([w for w, a in zip(words, away) if not a]) if len(first) else b" ".join(words))
                 sizes.append(len(words))
                 removed.append(int(away.sum()))
-            others = batch.drop_columns(["__runs"])
+            others = batch.drop_columns([gone_at])
             yield pa.RecordBatch.from_arrays(
                 [*others.columns, pa.array(kept, pa.binary()).cast(pa.string()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64())],
                 [*others.schema.names, "kept_text", "n_words", "n_removed"],
             )
 
     added = T.StructType([*docs.schema.fields]).add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
-    joined = docs.join(gone, docs[key] == gone["__key"], "left").select(*[docs[c] for c in docs.columns], F.col("__runs"))
+    joined = docs.join(gone, docs[key] == gone[of], "left").select(*[docs[c] for c in docs.columns], gone[gone_at])
     return joined.mapInArrow(cut, added)
 
 

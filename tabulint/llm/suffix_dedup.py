@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulint.llm.induced_sorting import permuted_common_prefixes, suffix_array
+from tabulint.llm.names import free_name
 from tabulint.llm.repeats import Units, covered, runs_of, runs_to_remove
 
 WINDOW_BYTES = 100
@@ -58,14 +59,15 @@ def drop_repeated_bytes(docs: DataFrame, *, key: str = "doc_id", window: int = W
     """
     docs = docs.drop("kept", "n_bytes", "n_removed", "spans")
     units = Units(window=window, gram=min(GRAM_BYTES, window))
-    gone = runs_to_remove(docs, units, later_starts(window), key=key).withColumnsRenamed({"id": "__key", "runs": "__runs"})
+    of, gone_at = free_name(docs, "__of"), free_name(docs, "__runs")
+    gone = runs_to_remove(docs, units, later_starts(window), key=key).toDF(of, gone_at)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, removed, spans = [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                first, n = runs_of(batch, i)
+                first, n = runs_of(batch, i, gone_at)
                 away = covered(len(data), first, n, window)
                 edges = np.flatnonzero(np.diff(np.r_[False, away, False]))
                 kept.append(data[~away].tobytes() if len(first) else data.tobytes())
@@ -73,7 +75,7 @@ def drop_repeated_bytes(docs: DataFrame, *, key: str = "doc_id", window: int = W
                 removed.append(int(away.sum()))
                 spans.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            others = batch.drop_columns(["__runs"])
+            others = batch.drop_columns([gone_at])
             yield pa.RecordBatch.from_arrays(
                 [*others.columns, pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind)],
                 [*others.schema.names, "kept", "n_bytes", "n_removed", "spans"],
@@ -82,7 +84,7 @@ def drop_repeated_bytes(docs: DataFrame, *, key: str = "doc_id", window: int = W
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     added = T.StructType([*docs.schema.fields]).add("kept", "binary").add("n_bytes", "long").add("n_removed", "long")
     added = added.add("spans", T.ArrayType(span))
-    joined = docs.join(gone, docs[key] == gone["__key"], "left").select(*[docs[c] for c in docs.columns], F.col("__runs"))
+    joined = docs.join(gone, docs[key] == gone[of], "left").select(*[docs[c] for c in docs.columns], gone[gone_at])
     return joined.mapInArrow(cut, added)
 
 

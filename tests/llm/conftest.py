@@ -41,9 +41,9 @@ def rows():
 @pytest.fixture(scope="session")
 def odd(llm, rows):
     """The rows as documents, with further columns whose names the operators use inside."""
-    extra = "id long, k long, name string, first long, n long, digest string, rank int, score_ string, part int, runs string"
+    extra = "id long, k long, name string, first long, n long, digest string, rank int, score_ string, part int, runs string, positions string, __cut int, __runs int, __p string, __lang int, __key int, __of int, __sha string, label int"
     schema = f"doc_id long, text string, lang string, source string, n_chars long, {extra}"
-    data = [(i, t, "en", "s", len(t or ""), i, i, "x", 1, 2, "d", 3, "z", 4, "r") for i, t in rows]
+    data = [(i, t, "en", "s", len(t or ""), i, i, "x", 1, 2, "d", 3, "z", 4, "r", "p", 5, 6, "q", 7, 8, 9, "s", 10) for i, t in rows]
     return llm.createDataFrame(data, schema).repartition(3)
 
 
