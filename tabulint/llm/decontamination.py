@@ -19,23 +19,33 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 # A seed is two words in order, at most so many places apart in the item and in the text.
 REACH = 3
+# At so many of an item's seed places a text has to have a seed, where as many are sure to be in common.
+SEED_PLACES = 3
 # Two tables of so many bits keep documents' grams from the shuffle that no item has.
 FILTER_BITS = 22
 ROUNDING = 1e-9
+# Items whose words a task keeps for the next texts.
+KNOWN_ITEMS = 1 << 14
 SINGLE, FORMER = np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95)
 
 
-def rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    """(row number, hashes of its words); words are runs of digits and letters, and single characters of
-    scripts without spaces, in lower case."""
+def word_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, number of rows, hashes of all words, row of each) of slices of a text column.
+
+    Words are runs of digits and letters, and single characters of scripts without spaces, in lower case.
+    """
     parts = not_letters()
     for first, data, offsets in slices(pc.utf8_lower(column)):
         start, end, row = word_bounds(data, offsets, parts, character_kinds())
-        word = span_hash(prefix_hash(data), start, end)
-        bounds = np.searchsorted(row, np.arange(len(offsets)))
-        for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-            if b > a:
-                yield first + i, word[a:b]
+        yield first, len(offsets) - 1, span_hash(prefix_hash(data), start, end), first + row
+
+
+def rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row number, hashes of its words) of the rows that have words."""
+    for first, n, word, row in word_slices(column):
+        bounds = np.searchsorted(row, np.arange(first, first + n + 1))
+        for i in np.flatnonzero(np.diff(bounds)).tolist():
+            yield first + i, word[bounds[i] : bounds[i + 1]]
 
 
 def single_grams(words: np.ndarray) -> np.ndarray:
@@ -80,17 +90,17 @@ def places_in_common(size: int, threshold: float) -> int:
     return int((m - 1 - np.floor(errors / REACH)).min(initial=size))
 
 
-def seeds(place: np.ndarray, gram: np.ndarray, held: np.ndarray, size: int, threshold: float) -> np.ndarray:
-    """The grams of an item's places that the fewest documents hold, of as many places as no match can be without.
+def seeds(place: np.ndarray, held: np.ndarray, size: int, threshold: float) -> tuple[np.ndarray, int]:
+    """(chosen grams, places needed): the places of an item whose grams the fewest documents hold, and at how many a text has to hit.
 
-    Of size - 1 places a text has places_in_common at least, so it has one of any size - places_in_common.
-    Where there need be none in common, a text has to hold the whole item, and any place will do.
+    Of size - 1 places a text has places_in_common at least, so of any size - 1 - places_in_common + n it
+    has n. Where there need be none in common, a text has to hold the whole item, and any place will do.
     """
     common = places_in_common(size, threshold)
-    wanted = size - common if common > 0 else 1
-    by_place = np.bincount(place, weights=held)
-    chosen = np.argsort(by_place, kind="stable")[:wanted]
-    return np.unique(gram[np.isin(place, chosen)])
+    needed = min(common, SEED_PLACES) if common > 0 else 1
+    wanted = size - 1 - common + needed if common > 0 else 1
+    chosen = np.argsort(np.bincount(place, weights=held), kind="stable")[:wanted]
+    return np.flatnonzero(np.isin(place, chosen)), needed
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -188,12 +198,28 @@ class Filter:
         second = (grams & np.uint64((1 << FILTER_BITS) - 1)) + np.uint64(1 << FILTER_BITS)
         return np.stack([first, second]).astype(np.int64)
 
-    def of(self, words: np.ndarray) -> np.ndarray:
-        """The different grams of a text that may be wanted."""
-        grams = np.concatenate([single_grams(words), pair_grams(words)[1]])
-        first, second = self.cells(grams)
-        grams = grams[self.some[first]]
-        return np.unique(grams[self.some[second[self.some[first]]]]).view(np.int64)
+    def wanted(self, grams: np.ndarray) -> np.ndarray:
+        """The places of the grams that may be wanted."""
+        at = np.flatnonzero(self.some[(grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        return at[self.some[self.cells(grams[at])[1]]]
+
+    def of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(row, gram) of the grams of texts that may be wanted, each once a row; all texts of a slice at once."""
+        found_rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for _, _, word, row in word_slices(column):
+            former = mixed(word) * FORMER
+            for d in range(REACH + 1):
+                n = max(len(word) - d, 0)
+                grams = mixed(former[:n] + word[d:]) if d else single_grams(word)
+                at = self.wanted(grams)
+                at = at[row[at] == row[at + d]]
+                found_rows.append(row[at])
+                found.append(grams[at])
+        row, gram = np.concatenate(found_rows), np.concatenate(found)
+        order = np.lexsort((gram, row))
+        row, gram = row[order], gram[order]
+        new = np.r_[True, (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])] if len(row) else np.zeros(0, bool)
+        return row[new], gram[new].view(np.int64)
 
 
 def sent_filter(grams: DataFrame) -> Broadcast:
@@ -216,7 +242,7 @@ def numbered_items(items: DataFrame, item_key: str) -> DataFrame:
 
 
 def candidates(docs: DataFrame, numbered: DataFrame, *, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """(k, number): the documents and items that have a seed in common, found by a join of grams.
+    """(k, number): the documents and items that have enough seeds in common, found by a join of grams.
 
     One scan of the documents counts how many hold each gram of the items, a second one finds the
     seeds; of both only grams that pass a filter of fixed size are shuffled, and the first are added
@@ -237,29 +263,26 @@ def candidates(docs: DataFrame, numbered: DataFrame, *, key: str = "doc_id", thr
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [wanted.value.of(words) for _, words in rows(batch.column("text"))]
-            if found:
-                gram, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], ["gram", "n"])
+            gram, n = np.unique(wanted.value.of(batch.column("text"))[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], ["gram", "n"])
 
     def choose(item: pa.Table) -> pa.Table:
-        place, gram, held = (item.column(c).to_numpy() for c in ("place", "gram", "held"))
-        chosen = seeds(place, gram, held, item.column("size")[0].as_py(), threshold)
-        return pa.table({"number": pa.array(np.full(len(chosen), item.column("number")[0].as_py())), "gram": pa.array(chosen)})
+        chosen, needed = seeds(item.column("place").to_numpy(), item.column("held").to_numpy(), item.column("size")[0].as_py(), threshold)
+        picked = item.select(["number", "place", "gram"]).take(pa.array(chosen))
+        return picked.append_column("needed", pa.array(np.full(len(chosen), needed)))
 
     counts = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     rated = grams.join(counts, "gram", "left").withColumn("held", F.coalesce("n", F.lit(0)))
-    seed = stored(rated.groupBy("number").applyInArrow(choose, "number long, gram long"), "seeds")
+    seed = stored(rated.groupBy("number").applyInArrow(choose, "number long, place long, gram long, needed long"), "seeds")
     sought = sent_filter(seed)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(i, sought.value.of(words)) for i, words in rows(batch.column("text"))]
-            at = np.repeat([i for i, _ in found], [len(g) for _, g in found]).astype(np.int64)
-            gram = np.concatenate([g for _, g in found]) if found else np.zeros(0, np.int64)
+            at, gram = sought.value.of(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("k").take(pa.array(at)), pa.array(gram)], ["k", "gram"])
 
-    return texts.mapInArrow(find, f"k {kind}, gram long").join(seed, "gram").select("k", "number").distinct()
+    hits = texts.mapInArrow(find, f"k {kind}, gram long").join(seed, "gram").select("k", "number", "place", "needed").distinct()
+    return hits.groupBy("k", "number").agg(F.count(F.lit(1)).alias("places"), F.max("needed").alias("needed")).filter("places >= needed").select("k", "number")
 
 
 def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", item_key: str = "item_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -275,14 +298,21 @@ def leaks(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", item_key: s
     """
     numbered = numbered_items(items, item_key)
     found = stored(candidates(docs, numbered, key=key, threshold=threshold), "candidates")
-    per_text = found.join(numbered, "number").groupBy("k").agg(F.collect_list(F.struct("item", F.col("text").alias("passage"))).alias("items"))
+    per_text = found.join(numbered, "number").groupBy("k").agg(F.collect_list(F.struct("number", "item", F.col("text").alias("passage"))).alias("items"))
     texts = docs.select(F.col(key).alias("of"), "text").join(per_text, F.col("of").eqNullSafe(F.col("k"))).select("k", "text", "items")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, words in rows(batch.column("text")):
                 text, sought = Text(words), batch.column("items")[i].values
-                scored = [(j, text.score(item, threshold)) for j, item in rows(sought.field("passage"))]
+                numbers = sought.field("number").to_pylist()
+                new = [j for j, number in enumerate(numbers) if number not in known]
+                if len(known) + len(new) > KNOWN_ITEMS:
+                    known, new = {}, list(range(len(numbers)))
+                if new:
+                    known.update((numbers[new[j]], item) for j, item in rows(sought.field("passage").take(pa.array(new))))
+                scored = [(j, text.score(known[number], threshold)) for j, number in enumerate(numbers)]
                 hits = [(j, *hit) for j, hit in scored if hit]
                 if hits:
                     at, score, end, n = zip(*hits)
