@@ -27,7 +27,7 @@ UNSPACED = [
 # Thue-Morse string from its complement, whatever its base.
 BASE = 0x1E3779B97F4A7C15 % PRIME
 INVERSE = pow(BASE, -1, PRIME)
-# Bytes whose sums, in halves of their terms, stay below 2**64.
+# Bytes of which the sums of halves of their terms stay below 2**64.
 SUM_BYTES = 1 << 22
 
 # Fast sums modulo 2**64, which only name things: what has one name is compared before anything follows from it.
@@ -63,8 +63,10 @@ def table_size(size: int) -> int:
 
 
 @lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return powers(BASE, size), powers(INVERSE, size)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of the base, in their upper and lower 32 bits, and of its inverse."""
+    steps = powers(BASE, size)
+    return steps >> np.uint64(32), steps & np.uint64(0xFFFFFFFF), powers(INVERSE, size)
 
 
 @lru_cache(maxsize=1)
@@ -159,22 +161,32 @@ def word_bounds(
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running sums modulo 2**61 - 1 of which ``span_hash`` makes the hash of any stretch of bytes."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    steps, before = _powers(table_size(len(data)))[0], np.uint64(0)
-    for first in range(0, len(data), SUM_BYTES):
-        last = min(first + SUM_BYTES, len(data))
-        digit, step = data[first:last].astype(np.uint64) + np.uint64(1), steps[first:last]
-        high, low = np.cumsum(digit * (step >> np.uint64(32))), np.cumsum(digit * (step & np.uint64(0xFFFFFFFF)))
-        sums[first + 1 : last + 1] = reduced(reduced(low) + shifted(high) + before)
-        before = sums[last]
+    """Running sums of which ``span_hash`` makes the hash of any stretch of bytes, in two rows.
+
+    Each byte's term, a digit times a power of the base, is summed in two halves. The sums may run over 64 bits;
+    the differences of two of them do not, for up to SUM_BYTES.
+    """
+    sums = np.zeros((2, len(data) + 1), np.uint64)
+    high, low, _ = _powers(table_size(len(data)))
+    digit = data.astype(np.uint64)
+    digit += np.uint64(1)
+    np.cumsum(digit * high[: len(data)], out=sums[0, 1:])
+    np.cumsum(digit * low[: len(data)], out=sums[1, 1:])
     return sums
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each stretch, the same wherever it lies."""
-    apart = reduced(sums[end] + (MASK - sums[start]))
-    return mixed(times(apart, _powers(table_size(len(sums) - 1))[1][start]))
+    """A 64-bit hash of each stretch, the same wherever it lies: its polynomial modulo 2**61 - 1, scrambled."""
+    total = np.zeros(len(start), np.uint64)
+    first = start
+    while True:
+        last = np.minimum(end, first + SUM_BYTES)
+        high, low = sums[:, last] - sums[:, first]
+        total = reduced(total + reduced(shifted(reduced(high)) + reduced(low)))
+        if (last == end).all():
+            break
+        first = last
+    return mixed(times(total, _powers(table_size(sums.shape[1] - 1))[2][start]))
 
 
 def rough_sums(units: np.ndarray) -> np.ndarray:
