@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+# A string is induced by whole buckets if it has this many places for each letter, else suffix by suffix.
+BUCKET_LETTERS = 256
+
 
 def suffix_types(text: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the one behind it; the last suffix counts as smaller."""
@@ -104,17 +107,67 @@ def same_as_before(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.
     return same
 
 
+def induce_singly(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, letters: int) -> np.ndarray:
+    """What ``induce`` gives, one suffix at a time: for strings of names, whose buckets hold few suffixes each."""
+    n = len(text)
+    ends = np.cumsum(np.bincount(text, minlength=letters))
+    first = text[seeds]
+    held = np.bincount(first, minlength=letters)
+    by = np.argsort(first, kind="stable")
+    start = np.full(n, -1, np.int64)
+    start[(ends - held)[first[by]] + np.arange(len(seeds)) - (np.cumsum(held) - held)[first[by]]] = seeds[by]
+    order, last = start.tolist(), int(text[-1])
+    # the letter before each suffix if the one that begins there is of the type which a pass places, else -1, as for free slots
+    left = np.r_[-1, text[:-1].astype(np.int64)]
+    is_smaller = np.r_[False, smaller[:-1]]
+    to_larger, to_smaller = ([*np.where(placed, left, -1).tolist(), -1] for placed in (~is_smaller, is_smaller))
+
+    free = (ends - np.bincount(text, minlength=letters)).tolist()
+    for i in order:  # meets what it places further on
+        c = to_larger[i]
+        if c >= 0:
+            order[free[c]] = i - 1
+            free[c] += 1
+
+    free = ends.tolist()
+    free[last] -= 1  # nothing induces the last suffix, the first of its letter's smaller ones
+    order[free[last]] = n - 1
+    for i in reversed(order):
+        c = to_smaller[i]
+        if c >= 0:
+            free[c] -= 1
+            order[free[c]] = i - 1
+    return np.array(order, np.int64)
+
+
+def names_sorted(names: np.ndarray) -> np.ndarray:
+    """The suffix array of a string of names, numbered without gaps, of which some occur more than once.
+
+    A name that occurs once decides any comparison that reaches it, so what follows it is looked at only
+    from its own start: of neighbours that occur once each, the recursion keeps the first, and the last name.
+    """
+    single = np.bincount(names)[names] == 1
+    kept = ~(single & np.r_[False, single[:-1]])
+    kept[-1] = True
+    at, away = np.flatnonzero(kept), np.flatnonzero(~kept)
+    found, letter = np.unique(names[at], return_inverse=True)
+    known = np.r_[at[suffix_array(letter, len(found))], away]
+    return known[np.argsort(names[known], kind="stable")]
+
+
 def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     """Start positions of all suffixes, sorted.
 
     ``text`` ends with the letter 0, which it has nowhere else. Suffixes are classified, the leftmost-smaller
-    substrings sorted by induction and named, and the string of names, a third as long, is sorted in
-    turn: by doubling, as its alphabet is about as large as itself. Its order induces that of all suffixes.
+    substrings sorted by induction and named, and the string of names, at most half as long, is sorted by
+    recursion, unless each name occurs once. Its order induces that of all suffixes. Strings of names have
+    nearly as many letters as places and are induced suffix by suffix; bytes go by whole buckets.
     """
+    place = induce if letters * BUCKET_LETTERS <= len(text) else induce_singly
     smaller = suffix_types(text)
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     if len(leftmost) > 1:
-        rough = induce(text, smaller, leftmost, letters)
+        rough = place(text, smaller, leftmost, letters)
         is_leftmost = np.zeros(len(text), bool)
         is_leftmost[leftmost] = True
         rough = rough[is_leftmost[rough]]
@@ -122,16 +175,13 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
         number[leftmost] = np.arange(len(leftmost))
         stop = np.minimum(np.r_[leftmost[1:], len(text) - 1] + 1, len(text))[number[rough]]
         name = np.cumsum(~same_as_before(text, rough, stop - rough)) - 1
-        rank = np.zeros(len(leftmost), np.int64)
-        rank[number[rough]] = name
-        reach = 1
-        while rank.max() + 1 < len(rank):
-            behind = np.zeros(len(rank), np.int64)
-            behind[:-reach] = rank[reach:] + 1
-            rank = np.unique(rank * (len(rank) + 1) + behind, return_inverse=True)[1]
-            reach *= 2
-        leftmost = leftmost[np.argsort(rank, kind="stable")]
-    return induce(text, smaller, leftmost, letters)
+        if name[-1] + 1 == len(leftmost):
+            leftmost = rough
+        else:
+            reduced = np.zeros(len(leftmost), np.int64)
+            reduced[number[rough]] = name
+            leftmost = leftmost[names_sorted(reduced)]
+    return place(text, smaller, leftmost, letters)
 
 
 def permuted_common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:

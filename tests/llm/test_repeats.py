@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tabulint.llm import repeats, substring_dedup, suffix_dedup
+from tabulint.llm import induced_sorting
 from tabulint.llm.induced_sorting import permuted_common_prefixes, suffix_array
 
 
@@ -107,16 +108,37 @@ def common(text, a, b):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 6)), max_size=40))
-def test_suffix_arrays_equal_brute_force(runs):
-    text = np.array([*(letter for letter, n in runs for _ in range(n)), 0], np.uint16)
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 6)), max_size=40), st.integers(1, 4), st.sampled_from([1, 256]))
+def test_suffix_arrays_equal_brute_force(runs, times, places):
+    text = np.array([*[letter for letter, n in runs for _ in range(n)] * times, 0], np.uint16)
+    before, induced_sorting.BUCKET_LETTERS = induced_sorting.BUCKET_LETTERS, places
     order = suffix_array(text, 8).tolist()
+    induced_sorting.BUCKET_LETTERS = before
     assert order == sorted(range(len(text)), key=lambda i: text[i:].tolist())
     shared = permuted_common_prefixes(text, np.array(order))
     assert shared[order[0]] == 0
     assert all(shared[b] == common(text, a, b) for a, b in zip(order, order[1:]))
 
 
+def fibonacci(n):
+    one, other = [1], [1, 2]
+    while len(other) < n:
+        one, other = other, other + one
+    return other
+
+
+@pytest.mark.parametrize("letters", [fibonacci(3000), [1 + c for c in thue_morse(2048)[0].encode()], [1, 2, 3] * 700, [3, 1, 2, 1] * 500])
+def test_recursion_goes_deep(letters, monkeypatch):
+    depth = []
+    inner = induced_sorting.names_sorted
+    monkeypatch.setattr(induced_sorting, "names_sorted", lambda names: depth.append(len(names)) or inner(names))
+    text = np.array([*letters, 0], np.uint16)
+    order = suffix_array(text, 256)
+    spelled = text.astype(np.uint8).tobytes()
+    assert order.tolist() == sorted(range(len(text)), key=lambda i: spelled[i:])
+    assert depth and all(b * 2 <= a + 1 for a, b in zip(depth, depth[1:]))
+
+
 @pytest.mark.parametrize("piece", [b"a", b"ab", b"aab", b"abcab"])
 def test_long_runs_are_sorted_in_a_few_steps(piece):
     text = np.r_[np.frombuffer(piece * (1_500_000 // len(piece)), np.uint8).astype(np.uint16), 0]
