@@ -3,7 +3,8 @@
 Equal windows lie in regions of one name (see ``regions``). Regions of a name meet in one shuffle of
 narrow rows; equal regions are settled there, and only regions that share a name but differ are
 fetched with their text and compared inside, group by group. Where very many different regions share
-a name, single windows are settled in the same way as regions, by digests.
+a name, single windows are settled in the same way as regions, by digests. Names with so many regions
+that one task should not hold them are known beforehand, from a sample, and meet by name and digest.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ from tabulint.llm.words import byte_values, mixed, rough_span, rough_sums, slice
 # A name whose different regions have more bytes in sum is settled window by window, not in one shard.
 GROUP_BYTES = 1 << 23
 SHARD_UNITS = 1 << 20
+# Share of the documents in which names with many regions are looked for, and how many such names there can be.
+HOT_SAMPLE = 1 / 64
+HOT_NAMES = 100_000
+# What a region is among the equal ones of its batch, or by its name.
+ALONE, FOREMOST, COPY, HOT = 0, 1, 2, 3
 
 RUNS = "id {key}, first long, n long"
 
@@ -58,12 +64,27 @@ def digests(data: memoryview, start: np.ndarray, stop: np.ndarray) -> np.ndarray
     return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
-def narrow_regions(docs: DataFrame, units: Units, key: str) -> DataFrame:
-    """(name, digest, id, first, n, inner, copy): the regions of all texts, each batch's equal ones marked.
+def hot_names(docs: DataFrame, units: Units, key: str) -> np.ndarray:
+    """Names with so many regions, copies of a batch aside, that they have more than GROUP_BYTES if these differ.
+
+    Counts come from a sample of the documents. They decide how regions of a name meet and not what is
+    found, so a name that the sample misses costs time only. At most HOT_NAMES reach the driver.
+    """
+    least = GROUP_BYTES / units.window * HOT_SAMPLE
+    some = docs.sample(HOT_SAMPLE, seed=1) if HOT_SAMPLE < 1 else docs
+    counts = narrow_regions(some, units, key, np.zeros(0, np.uint64)).filter(F.col("kind") != COPY).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "name").limit(HOT_NAMES).collect()
+    return np.sort(np.array([r.name for r in found], np.int64).view(np.uint64))
+
+
+def narrow_regions(docs: DataFrame, units: Units, key: str, hot: np.ndarray) -> DataFrame:
+    """(name, digest, check, id, first, n, inner, kind): the regions of all texts, each batch's equal ones marked.
 
     In a batch the first of equal regions, by key and place, stands for all; the others are copies and
     get a name of their own, so that a stretch that very many documents share meets once per batch.
+    Regions of ``hot`` names get one name for each digest.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,9 +100,10 @@ def narrow_regions(docs: DataFrame, units: Units, key: str) -> DataFrame:
             same = np.r_[False, (name[1:] == name[:-1]) & (digest[1:] == digest[:-1]) & (check[1:] == check[:-1])]
             again = same & np.r_[False, (place[1:] == place[:-1]) & (first[1:] == first[:-1])]
             row, name, first, n, inner, digest, check, same = (x[~again] for x in (row, name, first, n, inner, digest, check, same))
-            kind = np.where(same, 2, np.where(np.r_[same[1:], False], 1, 0))
+            crowd = np.isin(name, sent.value)
+            kind = np.select([same, crowd, np.r_[same[1:], False]], [COPY, HOT, FOREMOST], ALONE)
             alone = mixed(digest.view(np.uint64) ^ mixed(first.astype(np.uint64) * np.uint64(2654435761) + row.astype(np.uint64)))
-            name = np.where(same, alone, name)
+            name = np.select([same, crowd], [alone, mixed(name ^ mixed(digest.view(np.uint64)))], name)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(name.view(np.int64)),
@@ -106,12 +128,12 @@ def settled(found: DataFrame, window: int) -> DataFrame:
 
     A region goes if an equal one comes before it. Of equal regions the first is compared, with all
     different regions of its name, or with itself if its name occurs in it twice. ``crowded`` tells that
-    these have more than GROUP_BYTES in sum.
+    these have more than GROUP_BYTES in sum, or that the name is a hot one.
     """
     group = Window.partitionBy("name", "copy")
     sort = group.orderBy("digest", "check", "id", "first")
     before = F.lag(F.struct("digest", "check", "id", "first")).over(sort)
-    rows = found.withColumn("copy", F.col("kind") == 2)
+    rows = found.withColumn("copy", F.col("kind") == COPY).withColumn("hot", F.col("kind") == HOT)
     rows = rows.withColumn("before", before)
     equal = F.coalesce((F.col("before.digest") == F.col("digest")) & (F.col("before.check") == F.col("check")), F.lit(False))
     # a repeated row of one document is that document
@@ -119,10 +141,9 @@ def settled(found: DataFrame, window: int) -> DataFrame:
     rows = rows.withColumn("gone", equal | F.col("copy"))
     different, size = (F.sum(F.when(F.col("gone"), 0).otherwise(x)).over(group) for x in (F.lit(1), F.col("n") + F.lit(window)))
     rows = rows.withColumn("different", different).withColumn("size", size)
-    rows = rows.withColumn("open", ~F.col("gone") & (F.col("inner") | (F.col("different") > 1)))
-    return rows.filter("gone OR open").select(
-        "id", "first", "n", "name", ((F.col("size") > GROUP_BYTES) & (F.col("different") > 1)).alias("crowded"), "gone", "open"
-    )
+    rows = rows.withColumn("open", ~F.col("gone") & (F.col("inner") | F.col("hot") | (F.col("different") > 1)))
+    crowded = F.col("hot") | ((F.col("size") > GROUP_BYTES) & (F.col("different") > 1))
+    return rows.filter("gone OR open").select("id", "first", "n", "name", crowded.alias("crowded"), "gone", "open")
 
 
 def open_texts(docs: DataFrame, regions_: DataFrame, units: Units, key: str) -> DataFrame:
@@ -218,7 +239,8 @@ def compared(texts: DataFrame, compare: Compare) -> DataFrame:
 
 def runs_to_remove(docs: DataFrame, units: Units, compare: Compare, *, key: str) -> DataFrame:
     """(id, runs): for each document that loses something, its runs (first, n) of window starts that go."""
-    known = stored(settled(narrow_regions(docs, units, key), units.window), "regions")
+    found = narrow_regions(docs, units, key, hot_names(docs, units, key))
+    known = stored(settled(found, units.window), "regions")
     texts = stored(open_texts(docs, known, units, key), "texts")
     inside = compared(texts, compare).unionByName(crowded_windows(texts))
     runs = known.filter("gone").select("id", "first", "n").unionByName(inside)

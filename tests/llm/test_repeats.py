@@ -76,9 +76,10 @@ def test_odd_texts(odd, rows):
     assert set(odd.columns) <= set(substring_dedup.drop_repeated_words(odd).columns)
 
 
-@pytest.mark.parametrize("group_bytes", [1 << 23, 500])
-def test_patchwork(llm, patchwork, monkeypatch, group_bytes):
-    """Also with groups counted as crowded that are not, so that single windows settle them."""
+@pytest.mark.parametrize("group_bytes, hot_sample", [(1 << 23, 1 / 64), (500, 1 / 64), (500, 1.0), (1, 0.5)])
+def test_patchwork(llm, patchwork, monkeypatch, group_bytes, hot_sample):
+    """Also with groups counted as crowded that are not, so that single windows settle them, and names as hot, some or all."""
+    monkeypatch.setattr(repeats, "HOT_SAMPLE", hot_sample)
     monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
     monkeypatch.setattr(substring_dedup, "GROUP_BYTES", group_bytes)
     docs = llm.createDataFrame(patchwork, "doc_id long, text string").repartition(4)
@@ -171,6 +172,25 @@ def test_passage_in_a_third_of_many_documents(llm):
     assert word_result(docs) == brute_words(rows) and byte_result(docs) == brute_bytes(rows)
 
 
+def test_hot_names_meet_by_digest(llm, monkeypatch):
+    """A passage between neighbours that all differ: its name is found in the sample, and no group holds its regions."""
+    r = random.Random(4)
+    passage = "".join(chr(r.randrange(97, 123)) for _ in range(140))
+    rows = [(i, "".join(chr(r.randrange(65, 91)) for _ in range(90)) + passage + "".join(chr(r.randrange(65, 91)) for _ in range(90))) for i in range(300)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    units = repeats.Units(100, 32)
+
+    def largest():
+        found = repeats.narrow_regions(docs, units, "doc_id", repeats.hot_names(docs, units, "doc_id"))
+        return max(r["count"] for r in found.groupBy("name", "kind").count().collect())
+
+    assert largest() >= 300
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 100 * 50)
+    monkeypatch.setattr(repeats, "HOT_SAMPLE", 0.9)
+    assert largest() <= 50
+    assert byte_result(docs) == brute_bytes(rows)
+
+
 def test_every_node_of_a_subtree():
     bodies = [b"a b c a b c ", b"x a b c y ", b"q r s "]
     flags = substring_dedup.repeated_starts([5, 5, 9], np.array([4, 3, 1]), np.array([False, False, True]), bodies, 3)
