@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,8 @@ from tabulint.llm.storage import stored
 
 THRESHOLD = 0.5
 LEAST_KEY = -(2**63)
+# A document's place in the order of all: its key (LEAST_KEY for NULL) and the hash of its text.
+Place = tuple[int, int]
 
 
 def edited(text: str, following: str) -> str:
@@ -48,26 +51,34 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id") -> DataFrame:
     return docs.select(F.col(key).alias("k"), "text").mapInArrow(embed, f"k {kind}, fingerprint string").withColumnRenamed("k", key)
 
 
-def ranges(docs: DataFrame, key: str, parts: int) -> tuple[list[int], dict[int, set[int]]]:
-    """(bounds, key -> parts before it): key ranges of like size, and the parts that need a range's largest key.
+def place(key: str) -> list[Column]:
+    return [F.coalesce(F.col(key).cast("long"), F.lit(LEAST_KEY)).alias("o"), F.xxhash64("text").alias("h")]
 
-    Both hold at most one entry per part, however many documents there are.
+
+def ranges(docs: DataFrame, key: str, parts: int) -> tuple[list[Place], dict[Place, set[int]]]:
+    """(bounds, place -> parts before it): ranges of places of like size, and the parts that need a range's largest place.
+
+    A key that takes up several ranges is cut by the hashes of its texts. Both hold at most one entry per
+    part, however many documents there are.
     """
-    order = F.coalesce(F.col(key).cast("long"), F.lit(LEAST_KEY)).alias("k")
+    order, text_hash = place(key)
     cuts = docs.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else []
-    bounds = sorted(set(cuts or []))
+    bounds: list[Place] = []
+    for k, n in sorted(Counter(cuts or []).items()):
+        bounds += [(k, -(2**63) + 2**64 * j // n - 1) for j in range(1, n + 1)]
 
     def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, int] = {}
+        found: dict[int, Place] = {}
         for batch in batches:
-            for k in batch.column(0).to_pylist():
-                part = bisect.bisect_left(bounds, k)
-                found[part] = max(k, found.get(part, k))
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(found.values(), pa.int64())], ["part", "k"])
-
-    tops = docs.select(order).mapInArrow(largest, "part int, k long").groupBy("part").agg(F.max("k").alias("k"))
-    heads = sorted((r.part, r.k) for r in tops.collect())
-    before: dict[int, set[int]] = {}
+            for at in zip(batch.column("o").to_pylist(), batch.column("h").to_pylist()):
+                part = bisect.bisect_left(bounds, at)
+                found[part] = max(at, found.get(part, at))
+        columns = [pa.array(found, pa.int32()), *(pa.array([at[i] for at in found.values()], pa.int64()) for i in (0, 1))]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "o", "h"])
+
+    tops = docs.select(order, text_hash).mapInArrow(largest, "part int, o long, h long").groupBy("part").agg(F.max(F.struct("o", "h")).alias("top"))
+    heads = sorted((r.part, (r.top.o, r.top.h)) for r in tops.collect())
+    before: dict[Place, set[int]] = {}
     for (_, head), (part, _) in zip(heads, heads[1:] + heads[:1]):
         before.setdefault(head, set()).add(part)
     return bounds, before
@@ -76,12 +87,12 @@ def ranges(docs: DataFrame, key: str, parts: int) -> tuple[list[int], dict[int,
 def edited_neighbours(docs: DataFrame, *, key: str = "doc_id", parts: int | None = None) -> DataFrame:
     """Each document beside its edited text: fingerprints of both, and how like they are.
 
-    The next document is the one with the next smaller key, after the last one the first; among rows
-    with one key the texts order them, and a NULL key comes last. Columns: key, n_chars, edited_sha256,
+    The next document is the one with the next smaller key, after the last one the first; rows with one
+    key go by a hash of their texts, falling, and a NULL key comes last, as -2**63 does. Columns: key, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next (0 to 1), bands_edited (bands in common with
     the edited text's fingerprint). Texts are shuffled once, by ranges of keys; besides its own rows a
-    range gets the first row of the range below, so that no task sees more than its range. Keys have to
-    be whole numbers. A text is walked by one task, at about 12 microseconds a character in Python's
+    range gets the first row of the range below, so that no task sees more than its range; a key with very
+    many rows takes up several ranges. Keys have to be whole numbers. A text is walked by one task, at about 12 microseconds a character in Python's
     numpy where it has no companions, so one of 100 MB takes some 20 minutes.
     """
     if not isinstance(docs.schema[key].dataType, T.IntegralType):
@@ -94,17 +105,16 @@ def edited_neighbours(docs: DataFrame, *, key: str = "doc_id", parts: int | None
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, to, extra = [], [], []
-            for i, k in enumerate(batch.column("k").to_pylist()):
-                order = LEAST_KEY if k is None else k
+            for i, at in enumerate(zip(batch.column("o").to_pylist(), batch.column("h").to_pylist())):
                 rows.append(i)
-                to.append(bisect.bisect_left(bounds, order))
+                to.append(bisect.bisect_left(bounds, at))
                 extra.append(False)
-                for part in before.get(order, ()):
+                for part in before.get(at, ()):
                     rows.append(i)
                     to.append(part)
                     extra.append(True)
             picked = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(to, pa.int32()), pa.array(extra)], ["k", "text", "part", "extra"])
+            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(to, pa.int32()), pa.array(extra)], [*picked.schema.names, "part", "extra"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, str, str]]:
         """(key, text, next text); the first extra row of a range is the next of its last own row."""
@@ -147,8 +157,10 @@ def edited_neighbours(docs: DataFrame, *, key: str = "doc_id", parts: int | None
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    dealt = docs.select(F.col(key).alias("k"), "text").mapInArrow(deal, f"k {kind}, text string, part int, extra boolean")
-    placed = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "extra", F.desc_nulls_last("k"), F.asc_nulls_first("text"))
+    rows = docs.select(F.col(key).alias("k"), "text", *place(key))
+    dealt = rows.mapInArrow(deal, f"k {kind}, text string, o long, h long, part int, extra boolean")
+    in_order = ("part", "extra", F.desc("o"), F.desc("h"), F.asc_nulls_first("text"))
+    placed = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions(*in_order)
     schema = (
         f"k {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double, bands_edited long"

@@ -1,10 +1,12 @@
+import bisect
 import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tabulint.llm import edit_embedding as ee
-from tabulint.llm.fingerprints import edited, edited_neighbours, fingerprints, near_copies
+from tabulint.llm.fingerprints import edited, edited_neighbours, fingerprints, near_copies, place, ranges
 
 
 def brute_walk(text):
@@ -67,6 +69,23 @@ def test_single_empty_and_repeated(llm, empty):
     assert edited_neighbours(same, parts=3).count() == 4
 
 
+def test_key_with_a_third_of_all_rows_takes_several_ranges(llm):
+    r = random.Random(5)
+    text = lambda: "".join(r.choice("abcdef ") for _ in range(r.randint(0, 40)))
+    rows = [(7 if i % 3 == 0 else None if i % 11 == 0 else i, text()) for i in range(900)] + [(7, None), (-(2**63), "abc"), (5, "x"), (5, "x")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    bounds, before = ranges(docs, "doc_id", 12)
+    own = docs.select(*place("doc_id")).collect()
+    sizes = np.bincount([bisect.bisect_left(bounds, tuple(at)) for at in own], minlength=12)
+    assert sizes.max() < 200 and sum(len(p) for p in before.values()) <= 12
+
+    placed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *place("doc_id")).collect()
+    order = sorted(placed, key=lambda x: (-x.o, -x.h, x.text))
+    found = edited_neighbours(docs, parts=12).collect()
+    changed = [(x.doc_id, hashlib.sha256(edited(x.text, y.text).encode()).hexdigest()) for x, y in zip(order, order[1:] + order[:1])]
+    assert sorted(map(str, changed)) == sorted(str((x.doc_id, x.edited_sha256)) for x in found)
+
+
 def test_near_copies(llm):
     r = random.Random(3)
     base = ["".join(r.choice("abcdefghij ") for _ in range(3000)) for _ in range(6)]
