@@ -23,6 +23,9 @@ GRAM_WORDS = 8
 # window. A task grows the subtrees of several groups together, about SHARD_BYTES of text.
 GROUP_BYTES = 1 << 23
 SHARD_BYTES = 1 << 20
+# One in so many different runs is looked at for names of larger groups, of which there can be HOT_NAMES.
+HOT_SAMPLE = 64
+HOT_NAMES = 100_000
 
 
 def joined_by_spaces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[memoryview, np.ndarray]:
@@ -67,19 +70,33 @@ def paths(docs: DataFrame, window: int, key: str) -> DataFrame:
     return some.mapInArrow(find, f"name long, digest binary, id {kind}, first int, n int, inner boolean, size int")
 
 
+def hot_names(known: DataFrame) -> DataFrame:
+    """(hot): names whose different runs have more than GROUP_BYTES, as a sample of the runs tells; HOT_NAMES at most.
+
+    They decide how runs meet and not what is found, so a name that the sample misses costs time only.
+    """
+    some = known.filter(F.pmod(F.xxhash64("digest"), F.lit(HOT_SAMPLE)) == 0).groupBy("name", "digest").agg(F.max("size").alias("size"))
+    bytes_ = some.groupBy("name").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") * HOT_SAMPLE > GROUP_BYTES)
+    return bytes_.orderBy(F.desc("bytes"), "name").limit(HOT_NAMES).select(F.col("name").alias("hot"))
+
+
 def grouped(known: DataFrame) -> DataFrame:
     """(name, digest, id, first, n, many, crowded): each different run of a name once, from one of its places.
 
     ``many`` tells that it has several places. Names with one run at one place are leaves and left out.
-    ``crowded`` tells that the runs of the name have more than GROUP_BYTES in sum.
+    ``crowded`` tells that the runs of the name have more than GROUP_BYTES in sum; those of hot names are
+    not brought together to see it, so no task gets all runs of a very frequent name.
     """
     place = F.struct("id", "first")
     runs = known.groupBy("name", "digest").agg(
         F.min(place).alias("place"), F.max(place).alias("last"), F.max("n").alias("n"), F.max("inner").alias("inner"), F.max("size").alias("size")
     )
-    name = Window.partitionBy("name")
+    runs = runs.join(F.broadcast(hot_names(known)), F.col("name") == F.col("hot"), "left")
+    apart = F.when(F.col("hot").isNotNull(), F.xxhash64("digest")).otherwise(0)
+    name = Window.partitionBy("name", apart)
     runs = runs.withColumn("many", F.col("place") != F.col("last")).withColumn("runs", F.count(F.lit(1)).over(name)).withColumn("bytes", F.sum("size").over(name))
-    return runs.filter("many OR inner OR runs > 1").select("name", "digest", "place.*", "n", "many", (F.col("bytes") > GROUP_BYTES).alias("crowded"))
+    runs = runs.withColumn("crowded", F.col("hot").isNotNull() | (F.col("bytes") > GROUP_BYTES))
+    return runs.filter("many OR inner OR runs > 1 OR hot IS NOT NULL").select("name", "digest", "place.*", "n", "many", "crowded")
 
 
 def with_words(docs: DataFrame, runs: DataFrame, window: int, key: str) -> DataFrame:

@@ -80,6 +80,7 @@ def test_odd_texts(odd, rows):
 def test_patchwork(llm, patchwork, monkeypatch, group_bytes, hot_sample):
     """Also with groups counted as crowded that are not, so that single windows settle them, and names as hot, some or all."""
     monkeypatch.setattr(repeats, "HOT_SAMPLE", hot_sample)
+    monkeypatch.setattr(substring_dedup, "HOT_SAMPLE", round(1 / hot_sample))
     monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
     monkeypatch.setattr(substring_dedup, "GROUP_BYTES", group_bytes)
     docs = llm.createDataFrame(patchwork, "doc_id long, text string").repartition(4)
@@ -191,6 +192,22 @@ def test_hot_names_meet_by_digest(llm, monkeypatch):
     assert byte_result(docs) == brute_bytes(rows)
 
 
+def test_hot_names_of_words_meet_by_digest(llm, monkeypatch):
+    r = random.Random(6)
+    passage = " ".join(f"hot{i}" for i in range(50))
+    fresh = lambda: " ".join(f"u{r.randrange(10**8)}" for _ in range(30))
+    rows = [(i, f"{fresh()} {passage} {fresh()}") for i in range(300)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    known = substring_dedup.paths(docs, 35, "doc_id")
+    assert substring_dedup.hot_names(known).count() == 0 and not any(r.crowded for r in substring_dedup.grouped(known).collect())
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", 30_000)
+    monkeypatch.setattr(substring_dedup, "HOT_SAMPLE", 4)
+    hot = {r.hot for r in substring_dedup.hot_names(known).collect()}
+    assert hot and {r.name for r in substring_dedup.grouped(known).collect() if r.crowded} >= hot
+    assert "hashpartitioning(name" in substring_dedup.grouped(known)._jdf.queryExecution().executedPlan().toString()
+    assert word_result(docs) == brute_words(rows)
+
+
 def test_every_node_of_a_subtree():
     bodies = [b"a b c a b c ", b"x a b c y ", b"q r s "]
     flags = substring_dedup.repeated_starts([5, 5, 9], np.array([4, 3, 1]), np.array([False, False, True]), bodies, 3)
