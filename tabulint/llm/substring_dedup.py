@@ -91,12 +91,13 @@ def grouped(known: DataFrame) -> DataFrame:
     runs = known.groupBy("name", "digest").agg(
         F.min(place).alias("place"), F.max(place).alias("last"), F.max("n").alias("n"), F.max("inner").alias("inner"), F.max("size").alias("size")
     )
-    runs = runs.join(F.broadcast(hot_names(known)), F.col("name") == F.col("hot"), "left")
-    apart = F.when(F.col("hot").isNotNull(), F.xxhash64("digest")).otherwise(0)
-    name = Window.partitionBy("name", apart)
-    runs = runs.withColumn("many", F.col("place") != F.col("last")).withColumn("runs", F.count(F.lit(1)).over(name)).withColumn("bytes", F.sum("size").over(name))
-    runs = runs.withColumn("crowded", F.col("hot").isNotNull() | (F.col("bytes") > GROUP_BYTES))
-    return runs.filter("many OR inner OR runs > 1 OR hot IS NOT NULL").select("name", "digest", "place.*", "n", "many", "crowded")
+    hot = F.broadcast(stored(hot_names(known), "hot"))
+    some, rest = (runs.join(hot, F.col("name") == F.col("hot"), kind) for kind in ("left_semi", "left_anti"))
+    columns, many = ("name", "digest", "place.*", "n"), (F.col("place") != F.col("last")).alias("many")
+    name = Window.partitionBy("name")
+    rest = rest.withColumn("runs", F.count(F.lit(1)).over(name)).withColumn("bytes", F.sum("size").over(name))
+    rest = rest.filter(many | F.col("inner") | (F.col("runs") > 1))
+    return rest.select(*columns, many, (F.col("bytes") > GROUP_BYTES).alias("crowded")).unionByName(some.select(*columns, many, F.lit(True).alias("crowded")))
 
 
 def with_words(docs: DataFrame, runs: DataFrame, window: int, key: str) -> DataFrame:
